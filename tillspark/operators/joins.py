@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# A scan of less than this per core is spread over all cores; one file part is at most this large.
+SPREAD_BYTES_PER_CORE = 128 << 20
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
@@ -37,21 +39,32 @@ def if_small(dim: DataFrame) -> DataFrame:
     return F.broadcast(dim) if 0 <= scanned_bytes(dim) <= limit else dim
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input whose files have fewer row groups than there are cores.
+
+    Only inputs too small to fill the cores are shuffled; a large scan has more
+    file parts than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scanned_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df
+
+
 def lookup(left: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Many-to-one join to a dimension with unique keys."""
     return left.join(if_small(dim), on, how)
 
 
-def not_in(rows: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys do not occur in ``present``; a NULL key never matches.
+def occurring(rows: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of ``present``, which may be the whole history, reduced to those that ``rows`` may have.
 
-    ``present`` may be the whole history.  When the new rows are small, their
-    keys first reduce it in a map-side semi join, so that the history is
-    scanned for two columns but not shuffled.
+    When the new rows are small their keys are broadcast, so that the history is
+    scanned for the key columns but not shuffled.
     """
-    known = present.select(*keys)
-    wanted = rows.select(*keys)
+    known, wanted = present.select(*keys), rows.select(*keys)
     reduced = if_small(wanted)
-    if reduced is not wanted:
-        known = known.join(reduced, keys, "left_semi")
-    return rows.join(known, keys, "left_anti")
+    return known if reduced is wanted else known.join(reduced, keys, "left_semi")
+
+
+def not_in(rows: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys do not occur in ``present``; a NULL key never matches."""
+    return rows.join(occurring(rows, present, keys), keys, "left_anti")

@@ -50,7 +50,7 @@ def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, columns: list[str], q: float, rows_at_most: int, direct_limit: int = 2_000_000
+    df: DataFrame, columns: list[str], q: float, rows_at_most: int, direct_limit: int = 500_000
 ) -> dict[str, Column]:
     """Exact, linearly interpolated ``q``-quantile of each column, as expressions.
 
@@ -77,7 +77,7 @@ def _interpolated(df: DataFrame, column: str, q: float, n: int, direct_limit: in
 
 
 def value_at_rank(
-    df: DataFrame, column: str, rank: int, n: int, direct_limit: int = 2_000_000, accuracy: int = 10_000
+    df: DataFrame, column: str, rank: int, n: int, direct_limit: int = 500_000, accuracy: int = 10_000
 ) -> float:
     """Exact value at a 0-based rank of the ``n`` non-NULL values of a column.
 

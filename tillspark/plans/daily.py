@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark import schemas as S
-from tillspark.plans import churn_model, customers, insights, inventory, sales, sales_load
+from tillspark.plans import churn_model, customers, insights, inventory, sales, sales_load, views
 from tillspark.sources import extracts
 from tillspark.sources.warehouse import BATCH, Warehouse
 
@@ -62,18 +62,18 @@ def refresh_inventory(warehouse: Warehouse, as_of: dt.date) -> None:
     warehouse.put_snapshot("FactInventory", snapshot)
 
 
-def day_context(warehouse: Warehouse, as_of: dt.date) -> DataFrame:
-    """KPI context of the warehouse as it is."""
+def refresh_context(warehouse: Warehouse, as_of: dt.date) -> DataFrame:
+    """KPI context of the warehouse as it is; stored, because prompts and insights both quote it."""
     read = warehouse.read
     fact, products = read("FactSales"), read("DimProduct")
-    churn = customers.churn_dashboard(read("DimCustomer"), read("FactCustomerActivity"))
-    stock = inventory.inventory_intelligence(read("FactInventory"), products, read("DimStore"), read("DimDate"))
-    return insights.kpi_context(
-        sales.kpi_summary(fact, read("DimCustomer"), churn, stock, as_of),
+    churn, stock = views.churn_dashboard(warehouse), views.inventory_intelligence(warehouse)
+    context = insights.kpi_context(
+        views.kpi_summary(warehouse, as_of),
         sales.top_product_groups(fact, products, as_of),
         customers.churn_by_region(churn),
         inventory.inventory_alerts(stock),
     )
+    return warehouse.replace("KPIContext", context)
 
 
 def run_day(
@@ -100,7 +100,7 @@ def run_day(
     refresh_scores(warehouse, as_of, model_path)
     refresh_inventory(warehouse, as_of)
     if write_texts is not None:
-        context = day_context(warehouse, as_of)
+        context = refresh_context(warehouse, as_of)
         prompts = insights.insight_prompts(insights.area_list(warehouse.spark), context, as_of)
         texts = write_texts(prompts)
         insights.save_insights(warehouse, insights.as_insights(texts, context, model_version, as_of), batch_id)

@@ -26,7 +26,7 @@ def _list_of(df: DataFrame, order: list[Column], fields: dict[str, Column]) -> C
 def kpi_context(
     summary: DataFrame, top_products: DataFrame, churn_by_region: DataFrame, inventory_alerts: DataFrame
 ) -> DataFrame:
-    """All key figures as one JSON document in one row."""
+    """All key figures as one JSON document in one row: compact for storage, indented for reading."""
     products = _list_of(
         top_products,
         [-F.col("NetSales"), F.col("Category"), F.col("SubCategory")],
@@ -65,7 +65,10 @@ def kpi_context(
         regions.alias("churn_by_region"),
         alerts.alias("inventory_alerts"),
     )
-    return summary.select(F.to_json(document, _JSON).alias("KPIContext"))
+    return summary.select(
+        F.to_json(document, _JSON).alias("KPIContext"),
+        F.to_json(document, {**_JSON, "pretty": "true"}).alias("KPIText"),
+    )
 
 
 def insight_prompts(areas: DataFrame, context: DataFrame, as_of: dt.date) -> DataFrame:
@@ -73,16 +76,11 @@ def insight_prompts(areas: DataFrame, context: DataFrame, as_of: dt.date) -> Dat
     task = F.lit(V.PROMPT_TASKS[V.FALLBACK_AREA])
     for area, text in V.PROMPT_TASKS.items():
         task = F.when(F.col("InsightArea") == area, F.lit(text)).otherwise(task)
-    context_json = context.scalar()
+    figures = context.select("KPIText").scalar()
     prompt = F.concat(
-        F.lit(V.PROMPT_OPENING),
-        long_date(F.lit(as_of)),
-        F.lit(V.PROMPT_RULES),
-        context_json,
-        F.lit("\n\n"),
-        task,
+        F.lit(V.PROMPT_OPENING), long_date(F.lit(as_of)), F.lit(V.PROMPT_RULES), figures, F.lit("\n\n"), task
     )
-    return areas.select("InsightArea", prompt.alias("Prompt"), context_json.alias("KPIContext"))
+    return areas.select("InsightArea", prompt.alias("Prompt"))
 
 
 def area_list(spark: SparkSession) -> DataFrame:
@@ -96,7 +94,7 @@ def as_insights(texts: DataFrame, context: DataFrame, model_version: str, as_of:
         F.lit(as_of).alias("InsightDate"),
         "InsightArea",
         F.trim("InsightText").alias("InsightText"),
-        context.scalar().alias("KPIContext"),
+        context.select("KPIContext").scalar().alias("KPIContext"),
         F.lit(model_version).alias("ModelVersion"),
         F.lit(as_of).cast("timestamp").alias("GeneratedAt"),
     )

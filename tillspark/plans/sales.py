@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillspark import fixed_values as V
 from tillspark.functions.dates import date_key_of, month_bounds
 from tillspark.functions.money import guarded_ratio, percent_of
+from tillspark.operators.grouping import group_codes
 from tillspark.operators.joins import lookup
 from tillspark.operators.ranking import top_rows
 from tillspark.sources.warehouse import MONTH
@@ -62,20 +63,31 @@ def sales_summary(
 ) -> DataFrame:
     """Sales without returns per day, place, product group and customer segment.
 
-    Days are grouped by their key; the calendar columns, which depend on the
-    key, are joined to the result so that they are neither shuffled nor compared.
+    Two distinct counts make Spark shuffle every sale three times, so the sales
+    carry codes for the store and product columns and the key of the day; the
+    descriptive columns are joined to the groups afterwards.
     """
-    sales = lookup(kept_sales(fact), stores.select("StoreKey", *STORE_COLUMNS), "StoreKey")
-    sales = lookup(sales, products.select("ProductKey", *PRODUCT_COLUMNS), "ProductKey")
+    store_codes, store_groups = group_codes(stores, "StoreKey", STORE_COLUMNS, "StoreGroup")
+    product_codes, product_groups = group_codes(products, "ProductKey", PRODUCT_COLUMNS, "ProductGroup")
+    sales = lookup(kept_sales(fact), store_codes, "StoreKey")
+    sales = lookup(sales, product_codes, "ProductKey")
     sales = lookup(
         sales, customers.select("CustomerKey", F.col("Segment").alias("CustomerSegment")), "CustomerKey"
     )
-    groups = [*STORE_COLUMNS, *PRODUCT_COLUMNS, "CustomerSegment"]
     totals = _sales_totals()
-    grouped = sales.groupBy("DateKey", *groups).agg(*[c.alias(name) for name, c in totals.items()])
-    dated = lookup(grouped, dates.select("DateKey", *DATE_COLUMNS), "DateKey")
-    return dated.select(
-        *DATE_COLUMNS, *groups, *totals, percent_of(F.col("GrossProfit"), F.col("NetSales")).alias("GrossMarginPct")
+    groups = sales.groupBy("DateKey", "StoreGroup", "ProductGroup", "CustomerSegment").agg(
+        *[c.alias(name) for name, c in totals.items()]
+    )
+    described = lookup(groups, dates.select("DateKey", *DATE_COLUMNS), "DateKey")
+    described = lookup(described, store_groups, "StoreGroup")
+    described = lookup(described, product_groups, "ProductGroup")
+    return described.select(
+        *DATE_COLUMNS,
+        *STORE_COLUMNS,
+        *PRODUCT_COLUMNS,
+        "CustomerSegment",
+        *totals,
+        percent_of(F.col("GrossProfit"), F.col("NetSales")).alias("GrossMarginPct"),
     )
 
 
@@ -84,13 +96,11 @@ def kpi_summary(
 ) -> DataFrame:
     """One row of key figures for the month of ``as_of``, also when nothing was sold."""
     is_high = F.col("ChurnRiskCategory") == "High"
-    net, profit = F.sum("NetSales"), F.sum("GrossProfit")
-    buyers = F.count_distinct("CustomerKey")
     month = kept_sales(current_month(fact, as_of)).agg(
-        net.alias("TotalRevenue"),
-        profit.alias("TotalGrossProfit"),
+        F.sum("NetSales").alias("TotalRevenue"),
+        F.sum("GrossProfit").alias("TotalGrossProfit"),
         F.count_distinct("OrderID").alias("TotalOrders"),
-        buyers.alias("ActiveCustomers"),
+        F.count_distinct("CustomerKey").alias("ActiveCustomers"),
     )
     high_customers = customers.filter(is_high & F.col("IsActive")).agg(F.count(F.lit(1)))
     at_risk = churn.filter(is_high).agg(F.sum("RevenueAtRisk"))

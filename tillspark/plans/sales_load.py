@@ -12,7 +12,7 @@ from tillspark.fixed_values import REJECT_REASON
 from tillspark.functions.dates import date_key
 from tillspark.functions.money import MONEY, gross_sales, net_sales
 from tillspark.functions.rules import is_loadable, is_rejected
-from tillspark.operators.joins import lookup, not_in
+from tillspark.operators.joins import lookup, not_in, occurring
 from tillspark.schemas import FACT_SALES
 from tillspark.sources.warehouse import BATCH, Warehouse
 
@@ -77,11 +77,10 @@ def outcomes(
     def flag(dim: DataFrame, key: str, name: str) -> DataFrame:
         return dim.select(key).withColumn(name, F.lit(True))
 
-    seen = loaded.select(*LINE_KEY)
     marked = lookup(raw, flag(customers, "CustomerID", "__customer"), "CustomerID", "left")
     marked = lookup(marked, flag(products, "ProductID", "__product"), "ProductID", "left")
     marked = lookup(marked, flag(stores, "StoreID", "__store"), "StoreID", "left")
-    repeats = seen.join(raw.select(*LINE_KEY), LINE_KEY, "left_semi").distinct()
+    repeats = occurring(raw, loaded, LINE_KEY).distinct()
     marked = marked.join(repeats.withColumn("__loaded", F.lit(True)), LINE_KEY, "left")
     outcome = (
         F.when(is_rejected(), "rejected")

@@ -91,6 +91,7 @@ FACT_CUSTOMER_ACTIVITY = _schema(
 INSIGHTS = _schema(
     "InsightDate:date InsightArea:str InsightText:str KPIContext:str ModelVersion:str GeneratedAt:ts"
 )
+KPI_CONTEXT = _schema("KPIContext:str KPIText:str")
 
 # --- constraints ------------------------------------------------------------
 BUSINESS_KEYS = {"DimCustomer": ["CustomerID"], "DimProduct": ["ProductID"], "DimStore": ["StoreID"]}

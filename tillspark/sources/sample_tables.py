@@ -17,10 +17,26 @@ from tillspark.fixed_values import INSIGHT_AREAS
 from tillspark.functions.dates import date_key
 from tillspark.functions.money import MONEY, unit_margin_percent
 from tillspark.functions.rules import churn_category
-from tillspark.operators.joins import if_small, lookup
+from tillspark.operators.joins import if_small, lookup, spread
 from tillspark.plans.calendar import calendar_between
 from tillspark.plans.sales_load import with_measures
 
+# Column types of the sample tables, stated so that opening a table starts no job.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
 AS_OF = dt.date(2001, 7, 31)
 CALENDAR = ("1992-01-01", "2002-12-31")
 HISTORY_END = dt.date(1998, 1, 1)
@@ -53,7 +69,7 @@ class SampleTables:
         self.as_of = as_of
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # --- dimensions ---------------------------------------------------------
     @cached_property
@@ -175,7 +191,7 @@ class SampleTables:
             orders = orders.filter(_since("o_orderdate", since))
         if before is not None:
             orders = orders.filter(_before("o_orderdate", before))
-        lines = self.table("lineitem").select(
+        lines = spread(self.table("lineitem")).select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
         )
         dated = lines.join(

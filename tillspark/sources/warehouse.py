@@ -33,6 +33,7 @@ TABLES: dict[str, StructType] = {
     "DimProduct": S.DIM_PRODUCT,
     "DimCustomer": S.DIM_CUSTOMER,
     "FactCustomerActivity": S.FACT_CUSTOMER_ACTIVITY,
+    "KPIContext": S.KPI_CONTEXT,
 }
 BATCH_TABLES: dict[str, StructType] = {
     "FactSales": S.FACT_SALES,
