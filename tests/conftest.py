@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         master="local[4]",
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="10000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

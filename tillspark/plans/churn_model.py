@@ -11,7 +11,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark import fixed_values as V
@@ -110,25 +110,28 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     auc = BinaryClassificationEvaluator(
         labelCol="ChurnLabel", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
     ).evaluate(predicted)
+    is_class, said_class = F.col("ChurnLabel") == F.col("Class"), F.col("Predicted") == F.col("Class")
+
+    def rows_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("count")).otherwise(0))
+
     counts = predicted.groupBy("ChurnLabel", F.col("prediction").cast("int").alias("Predicted")).count()
     per_class = (
         counts.select(
-            F.explode(
-                F.array_distinct(F.array(F.col("ChurnLabel"), F.col("Predicted")))
-            ).alias("Class"),
+            F.explode(F.array_distinct(F.array("ChurnLabel", "Predicted"))).alias("Class"),
             "ChurnLabel",
             "Predicted",
             "count",
         )
         .groupBy("Class")
         .agg(
-            F.sum(F.when((F.col("ChurnLabel") == F.col("Class")) & (F.col("Predicted") == F.col("Class")), F.col("count")).otherwise(0)).alias("__hits"),
-            F.sum(F.when(F.col("Predicted") == F.col("Class"), F.col("count")).otherwise(0)).alias("__predicted"),
-            F.sum(F.when(F.col("ChurnLabel") == F.col("Class"), F.col("count")).otherwise(0)).alias("Support"),
+            rows_where(is_class & said_class).alias("__hits"),
+            rows_where(said_class).alias("__predicted"),
+            rows_where(is_class).alias("Support"),
         )
     )
 
-    def share(part: str, whole: str):
+    def share(part: str, whole: str) -> Column:
         return F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0))
 
     precision, recall = share("__hits", "__predicted"), share("__hits", "Support")
@@ -151,8 +154,8 @@ def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
 
 
 def score(model: PipelineModel, prepared: DataFrame, as_of: dt.date) -> DataFrame:
-    """Churn probability of every row, to four places."""
-    churn = vector_to_array(F.col("probability"))[1]
+    """Churn probability of every row, to four places; 0 when the model never saw a churned customer."""
+    churn = F.coalesce(F.get(vector_to_array(F.col("probability")), F.lit(1)), F.lit(0.0))
     return model.transform(prepared).select(
         "CustomerID",
         F.round(churn, 4).cast("decimal(5,4)").alias("ChurnProbability"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark import schemas as S
@@ -41,23 +41,12 @@ AS_OF = dt.date(2001, 7, 31)
 CALENDAR = ("1992-01-01", "2002-12-31")
 HISTORY_END = dt.date(1998, 1, 1)
 TARGET_GROWTH = "1.10"
+_PROBABILITY = "CAST(CAST({} * 37 % 10000 AS DECIMAL(10,0)) * 0.0001BD AS DECIMAL(5,4))"
 
 
-def _day(column: str) -> Column:
-    return F.col(column).cast("date")
-
-
-def _before(column: str, day: dt.date) -> Column:
+def _on_day(column: str, comparison: str, day: dt.date) -> str:
     """Comparison on the stored timestamp, so that it reaches the scan."""
-    return F.col(column) < F.expr(f"TIMESTAMP_NTZ '{day.isoformat()} 00:00:00'")
-
-
-def _since(column: str, day: dt.date) -> Column:
-    return F.col(column) >= F.expr(f"TIMESTAMP_NTZ '{day.isoformat()} 00:00:00'")
-
-
-def _shape(df: DataFrame, schema, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schema])
+    return f"{column} {comparison} TIMESTAMP_NTZ '{day.isoformat()} 00:00:00'"
 
 
 class SampleTables:
@@ -80,143 +69,121 @@ class SampleTables:
     def geography(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         joined = nation.join(if_small(region), nation["n_regionkey"] == region["r_regionkey"])
-        return joined.select("n_nationkey", F.col("n_name").alias("State"), F.col("r_name").alias("Region"))
+        return joined.selectExpr("n_nationkey", "n_name AS State", "r_name AS Region")
+
+    def _placed(self, table: str, nation_key: str) -> DataFrame:
+        rows = self.table(table)
+        return rows.join(if_small(self.geography), rows[nation_key] == self.geography["n_nationkey"])
 
     @cached_property
     def stores(self) -> DataFrame:
-        supplier = self.table("supplier")
-        placed = supplier.join(if_small(self.geography), F.col("s_nationkey") == F.col("n_nationkey"))
-        key = F.col("s_suppkey")
-        kind = F.element_at(
-            F.array(F.lit("Physical"), F.lit("Online"), F.lit("Outlet")), (key % 3 + 1).cast("int")
-        )
-        return _shape(
-            placed,
-            S.DIM_STORE,
-            {
-                "StoreKey": key,
-                "StoreID": key,
-                "StoreName": F.col("s_name"),
-                "Region": F.col("Region"),
-                "State": F.col("State"),
-                "City": F.col("State"),
-                "StoreType": kind,
-                "OpenDate": F.date_add(F.lit(dt.date(1990, 1, 1)), (key % 1000).cast("int")),
-                "IsActive": F.lit(True),
-            },
+        return self._placed("supplier", "s_nationkey").selectExpr(
+            "s_suppkey AS StoreKey",
+            "CAST(s_suppkey AS STRING) AS StoreID",
+            "s_name AS StoreName",
+            "Region",
+            "State",
+            "State AS City",
+            "CASE s_suppkey % 3 WHEN 0 THEN 'Physical' WHEN 1 THEN 'Online' ELSE 'Outlet' END AS StoreType",
+            "date_add(DATE '1990-01-01', CAST(s_suppkey % 1000 AS INT)) AS OpenDate",
+            "true AS IsActive",
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(10,2)")
-        cost = F.round(price * F.expr("0.60BD"), 2).cast("decimal(10,2)")
-        return _shape(
-            self.table("part"),
-            S.DIM_PRODUCT,
-            {
-                "ProductKey": F.col("p_partkey"),
-                "ProductID": F.col("p_partkey"),
-                "ProductName": F.col("p_name"),
-                "Category": F.col("p_type"),
-                "SubCategory": F.col("p_name"),
-                "Brand": F.col("p_brand"),
-                "UnitCost": cost,
-                "UnitPrice": price,
-                "GrossMarginPct": unit_margin_percent(price, cost),
-                "IsActive": F.lit(True),
-            },
+        priced = self.table("part").selectExpr(
+            "*",
+            "CAST(p_retailprice AS DECIMAL(10,2)) AS UnitPrice",
+            "CAST(round(CAST(p_retailprice AS DECIMAL(10,2)) * 0.60BD, 2) AS DECIMAL(10,2)) AS UnitCost",
+        )
+        return priced.select(
+            F.col("p_partkey").alias("ProductKey"),
+            F.col("p_partkey").cast("string").alias("ProductID"),
+            F.col("p_name").alias("ProductName"),
+            F.col("p_type").alias("Category"),
+            F.col("p_name").alias("SubCategory"),
+            F.col("p_brand").alias("Brand"),
+            "UnitCost",
+            "UnitPrice",
+            unit_margin_percent(F.col("UnitPrice"), F.col("UnitCost")).alias("GrossMarginPct"),
+            F.lit(True).alias("IsActive"),
         )
 
     @cached_property
     def customers(self) -> DataFrame:
         """Customers that have not been scored yet."""
-        customer = self.table("customer")
-        placed = customer.join(if_small(self.geography), F.col("c_nationkey") == F.col("n_nationkey"))
-        key, market = F.col("c_custkey"), F.col("c_mktsegment")
-        segment = (
-            F.when(market == "AUTOMOBILE", "Premium")
-            .when(market.isin("BUILDING", "FURNITURE"), "Regular")
-            .otherwise("At-Risk")
-        )
-        return _shape(
-            placed,
-            S.DIM_CUSTOMER,
-            {
-                "CustomerKey": key,
-                "CustomerID": key,
-                "FirstName": F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)),
-                "LastName": F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)),
-                "Email": F.concat(F.lit("c"), key.cast("string"), F.lit("@mail.example")),
-                "Segment": segment,
-                "Region": F.col("Region"),
-                "State": F.col("State"),
-                "City": F.col("State"),
-                "ZipCode": F.lit(None),
-                "JoinDate": F.date_add(F.lit(dt.date(1994, 1, 1)), (key % 365).cast("int")),
-                "IsActive": F.col("c_acctbal") >= 0,
-                "ChurnRiskScore": F.lit(None),
-                "ChurnRiskCategory": F.lit(None),
-                "LastScoredDate": F.lit(None),
-            },
+        return self._placed("customer", "c_nationkey").selectExpr(
+            "c_custkey AS CustomerKey",
+            "CAST(c_custkey AS STRING) AS CustomerID",
+            "split_part(c_name, '#', 1) AS FirstName",
+            "split_part(c_name, '#', 2) AS LastName",
+            "concat('c', c_custkey, '@mail.example') AS Email",
+            "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Premium'"
+            " WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'Regular' ELSE 'At-Risk' END AS Segment",
+            "Region",
+            "State",
+            "State AS City",
+            "CAST(NULL AS STRING) AS ZipCode",
+            "date_add(DATE '1994-01-01', CAST(c_custkey % 365 AS INT)) AS JoinDate",
+            "c_acctbal >= 0 AS IsActive",
+            "CAST(NULL AS DECIMAL(5,4)) AS ChurnRiskScore",
+            "CAST(NULL AS STRING) AS ChurnRiskCategory",
+            "CAST(NULL AS DATE) AS LastScoredDate",
         )
 
     @cached_property
     def churn_scores(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return _shape(
-            self.table("customer"),
-            S.CHURN_SCORES,
-            {
-                "CustomerID": key,
-                "ChurnProbability": (key * 37 % 10000).cast("decimal(10,0)") * F.expr("0.0001BD"),
-                "ScoredDate": F.lit(self.as_of),
-            },
+        return self.table("customer").select(
+            F.col("c_custkey").cast("string").alias("CustomerID"),
+            F.expr(_PROBABILITY.format("c_custkey")).alias("ChurnProbability"),
+            F.lit(self.as_of).alias("ScoredDate"),
         )
 
     @cached_property
     def scored_customers(self) -> DataFrame:
         """Customers with the scores of :attr:`churn_scores`, computed in place."""
-        probability = (F.col("CustomerKey") * 37 % 10000).cast("decimal(10,0)") * F.expr("0.0001BD")
         return (
-            self.customers.withColumn("ChurnRiskScore", probability.cast("decimal(5,4)"))
+            self.customers.withColumn("ChurnRiskScore", F.expr(_PROBABILITY.format("CustomerKey")))
             .withColumn("ChurnRiskCategory", churn_category(F.col("ChurnRiskScore")))
             .withColumn("LastScoredDate", F.lit(self.as_of))
         )
 
     # --- facts --------------------------------------------------------------
     def order_lines(self, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
-        """Order lines with their order's customer and date, and the list price."""
-        orders = self.table("orders").filter(_before("o_orderdate", self.as_of + dt.timedelta(days=1)))
+        """Order lines with their order's customer and date, and price and cost of the product."""
+        orders = self.table("orders").filter(_on_day("o_orderdate", "<", self.as_of + dt.timedelta(days=1)))
         if since is not None:
-            orders = orders.filter(_since("o_orderdate", since))
+            orders = orders.filter(_on_day("o_orderdate", ">=", since))
         if before is not None:
-            orders = orders.filter(_before("o_orderdate", before))
-        lines = spread(self.table("lineitem")).select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"
-        )
-        dated = lines.join(
-            orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
+            orders = orders.filter(_on_day("o_orderdate", "<", before))
+        dated = spread(self.table("lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = dated.selectExpr(
+            "l_orderkey",
+            "l_linenumber AS OrderLineID",
+            "o_custkey AS CustomerKey",
+            "l_partkey AS ProductKey",
+            "l_suppkey AS StoreKey",
+            "CAST(o_orderdate AS DATE) AS OrderDate",
+            "CAST(l_quantity AS INT) AS Quantity",
+            "CAST(CAST(round(l_discount * 100) AS INT) AS DECIMAL(5,2)) AS Discount",
+            "l_returnflag",
         )
-        return dated.withColumn("OrderDate", _day("o_orderdate"))
+        return lookup(lines, self.products.select("ProductKey", "UnitPrice", "UnitCost"), "ProductKey")
 
     def sales(self, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
         """Loaded sales fact."""
-        lines = self.order_lines(since, before).withColumn("ProductKey", F.col("l_partkey"))
-        priced = lookup(lines, self.products.select("ProductKey", "UnitPrice", "UnitCost"), "ProductKey")
-        quantity = F.col("l_quantity").cast("int")
-        sales = priced.select(
+        sales = self.order_lines(since, before).select(
             F.col("l_orderkey").cast("string").alias("OrderID"),
-            F.col("l_linenumber").alias("OrderLineID"),
+            "OrderLineID",
             date_key(F.col("OrderDate")).alias("DateKey"),
-            F.col("o_custkey").alias("CustomerKey"),
+            "CustomerKey",
             "ProductKey",
-            F.col("l_suppkey").alias("StoreKey"),
-            quantity.alias("Quantity"),
+            "StoreKey",
+            "Quantity",
             "UnitPrice",
-            F.round(F.col("l_discount") * 100).cast("int").cast("decimal(5,2)").alias("Discount"),
-            (F.col("UnitCost") * quantity).cast(MONEY).alias("COGS"),
+            "Discount",
+            (F.col("UnitCost") * F.col("Quantity")).cast(MONEY).alias("COGS"),
             (F.col("l_returnflag") == "R").alias("ReturnFlag"),
-            "OrderDate",
         )
         return with_measures(sales)
 
@@ -228,28 +195,19 @@ class SampleTables:
     @cached_property
     def sales_raw(self) -> DataFrame:
         """Sales staging with faults put in by rule, so that every outcome occurs."""
-        lines = self.order_lines().withColumn("ProductKey", F.col("l_partkey"))
-        priced = lookup(lines, self.products.select("ProductKey", "UnitPrice"), "ProductKey")
-        order, line = F.col("l_orderkey"), F.col("l_linenumber")
-        quantity = F.col("l_quantity").cast("int")
-        discount = F.round(F.col("l_discount") * 100).cast("int").cast("decimal(5,2)")
-        return _shape(
-            priced,
-            S.SALES_RAW,
-            {
-                "OrderID": F.when(order % 97 != 0, order.cast("string")),
-                "OrderLineID": line,
-                "CustomerID": F.when(order % 79 == 0, F.lit("unknown")).otherwise(F.col("o_custkey").cast("string")),
-                "ProductID": F.when(order % 73 == 0, F.lit("unknown")).otherwise(F.col("l_partkey").cast("string")),
-                "StoreID": F.when(order % 71 == 0, F.lit("unknown")).otherwise(F.col("l_suppkey").cast("string")),
-                "OrderDate": F.col("OrderDate"),
-                "Quantity": F.when(order % 89 == 0, F.lit(0)).when(order % 83 != 0, quantity),
-                "UnitPrice": F.when(order % 101 == 0, -F.col("UnitPrice")).otherwise(F.col("UnitPrice")),
-                "Discount": F.when(discount != 0, discount),
-                "ReturnFlag": F.when(F.col("l_returnflag") != "N", F.col("l_returnflag") == "R"),
-                "ProcessedFlag": F.lit(False),
-                "ProcessedDate": F.lit(None),
-            },
+        return self.order_lines().selectExpr(
+            "CASE WHEN l_orderkey % 97 <> 0 THEN CAST(l_orderkey AS STRING) END AS OrderID",
+            "OrderLineID",
+            "CASE WHEN l_orderkey % 79 = 0 THEN 'unknown' ELSE CAST(CustomerKey AS STRING) END AS CustomerID",
+            "CASE WHEN l_orderkey % 73 = 0 THEN 'unknown' ELSE CAST(ProductKey AS STRING) END AS ProductID",
+            "CASE WHEN l_orderkey % 71 = 0 THEN 'unknown' ELSE CAST(StoreKey AS STRING) END AS StoreID",
+            "OrderDate",
+            "CASE WHEN l_orderkey % 89 = 0 THEN 0 WHEN l_orderkey % 83 <> 0 THEN Quantity END AS Quantity",
+            "CAST(CASE WHEN l_orderkey % 101 = 0 THEN -UnitPrice ELSE UnitPrice END AS DECIMAL(10,2)) AS UnitPrice",
+            "nullif(Discount, 0) AS Discount",
+            "CASE WHEN l_returnflag <> 'N' THEN l_returnflag = 'R' END AS ReturnFlag",
+            "false AS ProcessedFlag",
+            "CAST(NULL AS TIMESTAMP) AS ProcessedDate",
         )
 
     @cached_property
@@ -272,60 +230,49 @@ class SampleTables:
     @cached_property
     def stock(self) -> DataFrame:
         """Stock per product and store that ever met in an order line."""
-        pairs = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
-        part, store = F.col("l_partkey"), F.col("l_suppkey")
-        return _shape(
-            pairs,
-            S.INVENTORY_EXTRACT,
-            {
-                "ProductID": part,
-                "StoreID": store,
-                "QuantityOnHand": (part * 7 + store * 13) % 200,
-                "ReorderPoint": part % 50 + 1,
-            },
+        pairs = spread(self.table("lineitem")).select("l_partkey", "l_suppkey").distinct()
+        return pairs.selectExpr(
+            "CAST(l_partkey AS STRING) AS ProductID",
+            "CAST(l_suppkey AS STRING) AS StoreID",
+            "CAST((l_partkey * 7 + l_suppkey * 13) % 200 AS INT) AS QuantityOnHand",
+            "CAST(l_partkey % 50 + 1 AS INT) AS ReorderPoint",
         )
 
     @cached_property
     def tickets(self) -> DataFrame:
         """Error events as support tickets, spread over the year before ``as_of``."""
-        errors = self.table("events").filter(F.col("event_type") == "error")
-        created = F.date_sub(F.lit(self.as_of), (F.col("event_id") % 365).cast("int"))
-        return _shape(
-            errors, S.SUPPORT_TICKETS, {"CustomerID": F.col("user_id"), "CreatedDate": created.cast("timestamp")}
+        errors = self.table("events").filter("event_type = 'error'")
+        created = F.date_sub(F.lit(self.as_of), F.expr("CAST(event_id % 365 AS INT)"))
+        return errors.select(
+            F.col("user_id").cast("string").alias("CustomerID"), created.cast("timestamp").alias("CreatedDate")
         )
 
     @cached_property
     def targets(self) -> DataFrame:
         """Monthly targets: order value of the same month one year before, plus growth."""
-        placed = F.col("o_orderdate")
-        total = F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).cast("decimal(22,0)")
+        cents = "CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DECIMAL(22,0))"
+        target = F.expr(f"CAST(round({cents} * {TARGET_GROWTH}BD * 0.01BD, 2) AS DECIMAL(20,2))")
         return (
             self.table("orders")
-            .groupBy(F.month(placed).alias("Month"), (F.year(placed) + 1).alias("Year"))
-            .agg(F.round(total * F.expr(f"{TARGET_GROWTH}BD") * F.expr("0.01BD"), 2).cast("decimal(20,2)").alias("MonthlyTarget"))
+            .groupBy(F.month("o_orderdate").alias("Month"), (F.year("o_orderdate") + 1).alias("Year"))
+            .agg(target.alias("MonthlyTarget"))
         )
 
     @cached_property
     def user_regions(self) -> DataFrame:
         """One manager per nation, responsible for its region."""
-        return self.geography.select(
-            F.concat(F.lower("State"), F.lit("@stores.example")).alias("UserEmail"), "Region"
-        )
+        return self.geography.selectExpr("concat(lower(State), '@stores.example') AS UserEmail", "Region")
 
     @cached_property
     def insights(self) -> DataFrame:
         """Assistant turns as stored narratives."""
-        turns = self.table("conversations").filter(F.col("role") == "assistant")
-        area = F.element_at(F.array(*[F.lit(a) for a in INSIGHT_AREAS]), (F.col("conv_id") % 4 + 1).cast("int"))
-        return _shape(
-            turns,
-            S.INSIGHTS,
-            {
-                "InsightDate": F.date_sub(F.lit(self.as_of), (F.col("conv_id") % 30).cast("int")),
-                "InsightArea": area,
-                "InsightText": F.col("text"),
-                "KPIContext": F.lit(None),
-                "ModelVersion": F.lit("sample"),
-                "GeneratedAt": F.lit(None),
-            },
+        turns = self.table("conversations").filter("role = 'assistant'")
+        areas = ", ".join(f"'{a}'" for a in INSIGHT_AREAS)
+        return turns.select(
+            F.date_sub(F.lit(self.as_of), F.expr("CAST(conv_id % 30 AS INT)")).alias("InsightDate"),
+            F.expr(f"element_at(array({areas}), CAST(conv_id % 4 + 1 AS INT))").alias("InsightArea"),
+            F.col("text").alias("InsightText"),
+            F.lit(None).cast("string").alias("KPIContext"),
+            F.lit("sample").alias("ModelVersion"),
+            F.lit(None).cast("timestamp").alias("GeneratedAt"),
         )
