@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.golden_rows import AS_OF
 from tillspark import schemas as S
 from tillspark.plans import sales_load
-from tillspark.plans.sales_load import MissingDateError, load_sales
+from tillspark.plans.sales_load import InvalidSaleError, load_sales
 
 MEASURES = ["OrderID", "OrderLineID", "DateKey", "CustomerKey", "ProductKey", "StoreKey", "NetSales", "GrossProfit"]
 
@@ -129,14 +129,14 @@ def test_marking_covers_rejected_rows_and_keeps_old_dates(spark):
 
 def test_unknown_dates_stop_the_load(spark, golden_warehouse):
     raw = raw_rows(spark, {}, {"OrderID": "late", "OrderDate": dt.date(2026, 5, 5)})
-    with pytest.raises(MissingDateError):
+    with pytest.raises(InvalidSaleError):
         load_sales(golden_warehouse, raw, AS_OF, "first")
     assert golden_warehouse.read("FactSales").count() == 0
 
 
 def test_unknown_dates_can_be_rejected(spark, golden_warehouse):
     raw = raw_rows(spark, {}, {"OrderID": "late", "OrderDate": dt.date(2026, 5, 5)})
-    counts = load_sales(golden_warehouse, raw, AS_OF, "first", reject_unknown_dates=True)
+    counts = load_sales(golden_warehouse, raw, AS_OF, "first", reject_invalid=True)
     assert (counts.inserted, counts.rejected) == (1, 1)
     assert golden_warehouse.read("SalesRejects").first().RejectReason == "Date not in calendar"
 
@@ -144,3 +144,11 @@ def test_unknown_dates_can_be_rejected(spark, golden_warehouse):
 def test_an_unknown_date_on_an_unknown_customer_is_no_error(spark, golden_warehouse):
     raw = raw_rows(spark, {}, {"OrderID": "late", "OrderDate": dt.date(2026, 5, 5), "CustomerID": "?"})
     assert load_sales(golden_warehouse, raw, AS_OF, "first").inserted == 1
+
+
+def test_a_missing_line_number_stops_the_load(spark, golden_warehouse):
+    raw = raw_rows(spark, {}, {"OrderID": "lineless", "OrderLineID": None})
+    with pytest.raises(InvalidSaleError, match="Line number missing"):
+        load_sales(golden_warehouse, raw, AS_OF, "first")
+    counts = load_sales(golden_warehouse, raw, AS_OF, "first", reject_invalid=True)
+    assert (counts.inserted, counts.rejected) == (1, 1)

@@ -17,20 +17,17 @@ def date_key_of(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
-def key_date(key: Column) -> Column:
-    """Date of a ``YYYYMMDD`` key."""
-    return F.make_date(
-        (key / 10000).cast("int"),
-        (key / 100 % 100).cast("int"),
-        key % 100,
-    )
-
-
 def month_of_key(key: Column) -> Column:
     """``YYYYMM`` of a date key: the partition column of the sales fact."""
     return F.floor(key / 100).cast("int")
 
 
+def key_date(key: Column) -> Column:
+    """Date of a ``YYYYMMDD`` key."""
+    month = month_of_key(key)
+    return F.make_date(F.floor(month / 100).cast("int"), month % 100, key % 100)
+
+
 def month_bounds(as_of: dt.date) -> tuple[int, int]:
     """First and last possible date key of the month of ``as_of``."""
     base = as_of.year * 10000 + as_of.month * 100

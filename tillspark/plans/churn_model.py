@@ -64,7 +64,8 @@ def split_by_label(df: DataFrame, test_share: float = V.TEST_SHARE, seed: int =
     """Train and test rows; every label has exactly its share (rounded) in the test rows."""
     ranked = numbered(df, ["CustomerID"], by=["ChurnLabel"], name="__rank", seed=seed)
     sizes = df.groupBy("ChurnLabel").agg(F.round(F.count(F.lit(1)) * test_share).alias("__tests"))
-    tagged = ranked.join(sizes, "ChurnLabel").withColumn("__test", F.col("__rank") <= F.col("__tests"))
+    # Two labels, so two rows: joining by shuffle would gather all customers in two tasks.
+    tagged = ranked.join(F.broadcast(sizes), "ChurnLabel").withColumn("__test", F.col("__rank") <= F.col("__tests"))
     rows = tagged.drop("__rank", "__tests")
     return rows.filter(~F.col("__test")).drop("__test"), rows.filter("__test").drop("__test")
 

@@ -85,7 +85,8 @@ def insight_prompts(areas: DataFrame, context: DataFrame, as_of: dt.date) -> Dat
 
 def area_list(spark: SparkSession) -> DataFrame:
     """The areas that insights are written for."""
-    return spark.createDataFrame([(a,) for a in V.INSIGHT_AREAS], "InsightArea string")
+    areas = F.array(*[F.lit(a) for a in V.INSIGHT_AREAS])
+    return spark.range(0, 1, 1, 1).select(F.explode(areas).alias("InsightArea"))
 
 
 def as_insights(texts: DataFrame, context: DataFrame, model_version: str, as_of: dt.date) -> DataFrame:

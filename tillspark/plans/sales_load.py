@@ -19,8 +19,11 @@ from tillspark.sources.warehouse import BATCH, Warehouse
 LINE_KEY = ["OrderID", "OrderLineID"]
 
 
-class MissingDateError(ValueError):
-    """A loadable sale falls on a day that the calendar does not have."""
+MISSING_LINE, MISSING_DATE = "Line number missing", "Date not in calendar"
+
+
+class InvalidSaleError(ValueError):
+    """A sale that passed the checks has no line number or no calendar day, which the fact requires."""
 
 
 def rejects(raw: DataFrame, as_of: dt.date) -> DataFrame:
@@ -104,6 +107,20 @@ def silent_drops(classified: DataFrame) -> DataFrame:
     return outcome_counts(classified.filter(silent))
 
 
+def _with_fault(sales: DataFrame, dates: DataFrame) -> DataFrame:
+    """Add ``Fault``: why the fact cannot hold a row, else NULL."""
+    days = dates.select("DateKey").withColumn("__day", F.lit(True))
+    fault = F.when(F.col("OrderLineID").isNull(), MISSING_LINE).when(F.col("__day").isNull(), MISSING_DATE)
+    return lookup(sales, days, "DateKey", "left").withColumn("Fault", fault).drop("__day")
+
+
+def _may_be_faulty(raw: DataFrame, dates: DataFrame) -> bool:
+    """Look at the different days of a batch only, not at its sales."""
+    line = F.when(F.col("OrderLineID").isNotNull(), F.lit(0)).alias("OrderLineID")
+    kinds = raw.filter(is_loadable()).select(date_key(F.col("OrderDate")).alias("DateKey"), line).distinct()
+    return not _with_fault(kinds, dates).filter(F.col("Fault").isNotNull()).isEmpty()
+
+
 @dataclass
 class LoadCounts:
     """Rows written by one load."""
@@ -113,41 +130,35 @@ class LoadCounts:
 
 
 def load_sales(
-    warehouse: Warehouse,
-    raw: DataFrame,
-    as_of: dt.date,
-    batch_id: str,
-    reject_unknown_dates: bool = False,
+    warehouse: Warehouse, raw: DataFrame, as_of: dt.date, batch_id: str, reject_invalid: bool = False
 ) -> LoadCounts:
     """Load one batch into the warehouse.
 
     Facts and rejects are written as the batch ``batch_id``.  A replay compares
     with the other batches only and replaces its own folders, so a load that
-    broke off half-way is repaired by running it again.
+    broke off half-way is repaired by running it again.  A sale the fact cannot
+    hold stops the load before anything is written; ``reject_invalid`` logs it
+    as a reject instead.
     """
     loaded = warehouse.read("FactSales").filter(F.col(BATCH) != batch_id)
+    dates = warehouse.read("DimDate")
     facts = new_facts(
         raw, warehouse.read("DimCustomer"), warehouse.read("DimProduct"), warehouse.read("DimStore"), loaded
     )
     log = rejects(raw, as_of)
-    days = warehouse.read("DimDate").select("DateKey")
-    undated = lookup(facts, days, "DateKey", "left_anti")
-    if reject_unknown_dates:
+    if _may_be_faulty(raw, dates):
+        checked = _with_fault(facts, dates)
+        faulty = checked.filter(F.col("Fault").isNotNull())
+        if not reject_invalid:
+            example = faulty.limit(1).collect()
+            if example:
+                raise InvalidSaleError(f"{example[0].Fault}: {example[0].asDict()}")
         log = log.unionByName(
-            undated.select(
-                "OrderID",
-                F.lit("Date not in calendar").alias("RejectReason"),
-                F.lit(as_of).cast("timestamp").alias("RejectDate"),
+            faulty.select(
+                "OrderID", F.col("Fault").alias("RejectReason"), F.lit(as_of).cast("timestamp").alias("RejectDate")
             )
         )
-        facts = lookup(facts, days, "DateKey", "left_semi")
-    else:
-        # One row per day, not per sale: only the lookups of the dates run.
-        dates = raw.filter(is_loadable()).select(date_key(F.col("OrderDate")).alias("DateKey")).distinct()
-        if lookup(dates, days, "DateKey", "left_anti").limit(1).count():
-            example = undated.limit(1).collect()
-            if example:
-                raise MissingDateError(f"no calendar day for {example[0].asDict()}")
+        facts = checked.filter(F.col("Fault").isNull()).drop("Fault")
     warehouse.put_batch("FactSales", facts, batch_id)
     warehouse.put_batch("SalesRejects", log, batch_id)
     mine = F.col(BATCH) == batch_id

@@ -14,8 +14,12 @@ SETTINGS = {
     # Split skewed join inputs even where the next operator then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Dimensions up to this size are broadcast; the plans check every size against it.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
+_LOCAL_WORK_DIR = "tillspark.local.work.dir"
+
 
 def build_session(app_name: str = "tillspark", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings the plans are written for; ``extra`` keys use ``__`` for dots."""
@@ -35,8 +39,8 @@ def work_dir(spark: SparkSession) -> str:
     A cluster names the shared folder in ``spark.checkpoint.dir``.  Only where
     that is unset (a local test) a temporary folder is made, once per session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_WORK_DIR, None)
     if not root:
         root = tempfile.mkdtemp(prefix="tillspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set(_LOCAL_WORK_DIR, root)
     return f"{root.rstrip('/')}/tillspark-{spark.sparkContext.applicationId}"
