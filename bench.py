@@ -7,8 +7,10 @@ import os
 import statistics
 import time
 
-from tillspark.checks.queries import QUERIES
+from tillspark.checks.queries import QUERIES, prepared_features
+from tillspark.plans import churn_model
 from tillspark.session import build_session
+from tillspark.sources.sample_tables import SampleTables
 
 HEADLINE = [
     "sales_summary",
@@ -37,11 +39,7 @@ def run(name: str, spark, folder: str) -> float:
 
 def fit_seconds(spark, folder: str) -> float:
     """Seconds to train the forest on stored features."""
-    from tillspark.checks.queries import _features
-    from tillspark.plans import churn_model
-    from tillspark.sources.sample_tables import SampleTables
-
-    prepared = _features(SampleTables(spark, folder))
+    prepared = prepared_features(SampleTables(spark, folder))
     train = churn_model.split_by_label(prepared)[0]
     started = time.perf_counter()
     churn_model.train(train)

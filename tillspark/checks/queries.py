@@ -310,10 +310,13 @@ def _month_sales(t: SampleTables) -> DataFrame:
 def _inventory(t: SampleTables) -> DataFrame:
     """Two stored days: a week ago and today."""
     recent = _window_sales(t)
-    earlier = t.as_of - dt.timedelta(days=7)
-    return inventory.inventory_snapshot(t.stock, t.products, t.stores, recent, earlier).unionByName(
-        inventory.inventory_snapshot(t.stock, t.products, t.stores, recent, t.as_of)
+    earlier, today = (
+        inventory.inventory_snapshot(t.stock, t.products, t.stores, recent, day)
+        for day in (t.as_of - dt.timedelta(days=7), t.as_of)
     )
+    warehouse = _stored(t.spark, t.folder, "inventory")
+    warehouse.put_snapshot("FactInventory", earlier.unionByName(today))
+    return warehouse.read("FactInventory")
 
 
 def _intelligence(t: SampleTables) -> DataFrame:
@@ -377,13 +380,16 @@ def insights_last_updated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _context(t: SampleTables) -> DataFrame:
-    board, stock, month = _dashboard(t), _intelligence(t), _month_sales(t)
-    return insights.kpi_context(
+    """Stored context over stored activity and inventory, which several of its parts read."""
+    board = customers.churn_dashboard(t.scored_customers, _stored_activity(t))
+    stock, month = _intelligence(t), _month_sales(t)
+    context = insights.kpi_context(
         sales.kpi_summary(month, t.scored_customers, board, stock, t.as_of),
         sales.top_product_groups(month, t.products, t.as_of),
         customers.churn_by_region(board),
         inventory.inventory_alerts(stock),
     )
+    return _stored(t.spark, t.folder, "context").replace("KPIContext", context)
 
 
 CONTEXT_SCHEMA = (
@@ -455,12 +461,17 @@ def saved_insights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --- churn model ------------------------------------------------------------
+def _stored_activity(t: SampleTables) -> DataFrame:
+    """Activity as a written table, for plans that read it several times."""
+    return _stored(t.spark, t.folder, "activity").replace("FactCustomerActivity", _activity(t))
+
+
 def _features(t: SampleTables) -> DataFrame:
-    """Prepared features over a stored activity table: training reads them many times."""
-    warehouse = _stored(t.spark, t.folder, "churn")
-    stored = warehouse.replace("FactCustomerActivity", _activity(t))
-    features = churn_model.load_features(t.customers, stored, t.as_of)
-    return churn_model.prepare_features(features, rows_at_most=t.table("customer").count())
+    return churn_model.load_features(t.customers, _stored_activity(t), t.as_of)
+
+
+def prepared_features(t: SampleTables) -> DataFrame:
+    return churn_model.prepare_features(_features(t), rows_at_most=t.table("customer").count())
 
 
 def _model(t: SampleTables, prepared: DataFrame) -> PipelineModel:
@@ -469,9 +480,7 @@ def _model(t: SampleTables, prepared: DataFrame) -> PipelineModel:
 
 @query
 def churn_features(spark: SparkSession, folder: str) -> DataFrame:
-    t = SampleTables(spark, folder)
-    features = churn_model.load_features(t.customers, _activity(t), t.as_of)
-    return comparable(churn_model.prepare_features(features, rows_at_most=t.table("customer").count()))
+    return comparable(prepared_features(SampleTables(spark, folder)))
 
 
 @query
@@ -481,8 +490,7 @@ def feature_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
-    t = SampleTables(spark, folder)
-    features = churn_model.load_features(t.customers, _activity(t), t.as_of).select("CustomerID", "ChurnLabel")
+    features = _features(SampleTables(spark, folder)).select("CustomerID", "ChurnLabel")
     train, test = churn_model.split_by_label(features)
     parts = train.withColumn("Part", F.lit("train")).unionByName(test.withColumn("Part", F.lit("test")))
     return parts.groupBy("Part", "ChurnLabel").agg(
@@ -493,28 +501,28 @@ def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def churn_scores(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)
-    prepared = _features(t)
+    prepared = prepared_features(t)
     return comparable(churn_model.score(_model(t, prepared), prepared, t.as_of), {"ChurnProbability": 4})
 
 
 @query
 def churn_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)
-    prepared = _features(t)
+    prepared = prepared_features(t)
     return churn_model.evaluate(_model(t, prepared), churn_model.split_by_label(prepared)[1])
 
 
 @query
 def churn_importance(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)
-    return churn_model.feature_importance(_model(t, _features(t)), spark)
+    return churn_model.feature_importance(_model(t, prepared_features(t)), spark)
 
 
 @query
 def score_preview(spark: SparkSession, folder: str) -> DataFrame:
     """The preview file, read back."""
     t = SampleTables(spark, folder)
-    prepared = _features(t)
+    prepared = prepared_features(t)
     preview = churn_model.score_preview(churn_model.score(_model(t, prepared), prepared, t.as_of))
     path = f"{_stored(spark, folder, 'preview').root}/scores"
     extracts.write_extract(preview, path)

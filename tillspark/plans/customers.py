@@ -31,22 +31,22 @@ def customer_activity(
 ) -> DataFrame:
     """One row per active customer, with or without sales; returns count as sales.
 
-    Sales are aggregated before they meet the customers: a customer who owns a
-    third of the fact is one row at the join, and the distinct counts spread
-    their work over orders and categories.
+    Sales are aggregated before they meet the customers and the calendar: a
+    customer who owns a third of the fact is one row at these joins, and the
+    distinct counts spread their work over orders and categories.
     """
     bought = fact.select("CustomerKey", "OrderID", "DateKey", "ProductKey", "NetSales")
     bought = lookup(bought, products.select("ProductKey", "Category"), "ProductKey", "left")
-    bought = lookup(bought, dates.select("DateKey", "FullDate"), "DateKey", "left")
     totals = bought.groupBy("CustomerKey").agg(
         F.count_distinct("OrderID").alias("TotalOrders"),
         F.sum("NetSales").alias("TotalSpend"),
         F.avg("NetSales").alias("AvgOrderValue"),
-        F.max("FullDate").alias("LastPurchase"),
+        F.max("DateKey").alias("DateKey"),
         F.count_distinct("Category").alias("UniqueCategories"),
     )
+    totals = lookup(totals, dates.select("DateKey", F.col("FullDate").alias("LastPurchase")), "DateKey", "left")
     active = customers.filter("IsActive").select("CustomerKey", "CustomerID")
-    joined = active.join(totals, "CustomerKey", "left").join(recent_tickets(tickets, as_of), "CustomerID", "left")
+    joined = active.join(totals.drop("DateKey"), "CustomerKey", "left").join(recent_tickets(tickets, as_of), "CustomerID", "left")
     columns = {
         "CustomerKey": F.col("CustomerKey"),
         "DateKey": F.lit(date_key_of(as_of)),

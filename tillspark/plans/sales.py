@@ -69,8 +69,8 @@ def sales_summary(
     """
     store_codes, store_groups = group_codes(stores, "StoreKey", STORE_COLUMNS, "StoreGroup")
     product_codes, product_groups = group_codes(products, "ProductKey", PRODUCT_COLUMNS, "ProductGroup")
-    sales = lookup(kept_sales(fact), store_codes, "StoreKey")
-    sales = lookup(sales, product_codes, "ProductKey")
+    sales = lookup(kept_sales(fact), product_codes, "ProductKey")
+    sales = lookup(sales, store_codes, "StoreKey")
     sales = lookup(
         sales, customers.select("CustomerKey", F.col("Segment").alias("CustomerSegment")), "CustomerKey"
     )
