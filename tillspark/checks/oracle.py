@@ -117,7 +117,7 @@ RELATIONS = {
     """,
     "summary": f"""
         SELECT Year, Quarter, MonthNumber, MonthName, FullDate, stores.Region, stores.State, StoreType, Category,
-               SubCategory, Brand, Segment AS CustomerSegment, {_ADDITIVE}, sum(Quantity) AS units,
+               SubCategory, Brand, Segment AS CustomerSegment, {_ADDITIVE}, CAST(sum(Quantity) AS BIGINT) AS units,
                count(DISTINCT OrderID) AS orders_n, count(DISTINCT f.CustomerKey) AS customers_n
         FROM kept f JOIN calendar USING (DateKey) JOIN stores USING (StoreKey) JOIN products USING (ProductKey)
         JOIN customers c ON f.CustomerKey = c.CustomerKey
@@ -244,7 +244,8 @@ RELATIONS = {
         FROM month_sales
     """,
     "product_groups": """
-        SELECT Category, SubCategory, sum(net_micro) AS net, sum(profit_micro) AS profit, sum(Quantity) AS units
+        SELECT Category, SubCategory, sum(net_micro) AS net, sum(profit_micro) AS profit,
+               CAST(sum(Quantity) AS BIGINT) AS units
         FROM month_sales JOIN products USING (ProductKey)
         GROUP BY ALL ORDER BY net DESC, Category, SubCategory LIMIT 5
     """,
@@ -487,7 +488,8 @@ QUERIES = {
         FROM intelligence GROUP BY Region
     """,
     "stored_snapshots": """
-        SELECT DateKey, StockOutRisk, OverstockFlag, count(*) AS StockLines, sum(QuantityOnHand) AS UnitsOnHand
+        SELECT DateKey, StockOutRisk, OverstockFlag, count(*) AS StockLines,
+               CAST(sum(QuantityOnHand) AS BIGINT) AS UnitsOnHand
         FROM snapshots GROUP BY ALL
     """,
     "latest_insights": """
@@ -501,18 +503,18 @@ QUERIES = {
     """,
     "saved_insights": "SELECT InsightDate, InsightArea, InsightText, 'sample' AS ModelVersion FROM narratives",
     "kpi_context": f"""
-        SELECT 'summary' AS Section, 0 AS Position, Period AS Label, TotalOrders AS Quantity, {money('net')} AS Amount
+        SELECT 'summary' AS Section, CAST(0 AS INTEGER) AS Position, Period AS Label, TotalOrders AS Quantity, {money('net')} AS Amount
         FROM kpis
         UNION ALL
-        SELECT 'top_products', row_number() OVER (ORDER BY net DESC, Category, SubCategory) - 1,
-               Category || '/' || SubCategory, CAST(units AS BIGINT), {money('net')}
+        SELECT 'top_products', CAST(row_number() OVER (ORDER BY net DESC, Category, SubCategory) - 1 AS INTEGER),
+               Category || '/' || SubCategory, units, {money('net')}
         FROM product_groups
         UNION ALL
-        SELECT 'churn_by_region', row_number() OVER (ORDER BY risk_e4 DESC, Region) - 1, Region, n,
+        SELECT 'churn_by_region', CAST(row_number() OVER (ORDER BY risk_e4 DESC, Region) - 1 AS INTEGER), Region, n,
                CAST({half_up('risk_e4', '100')} AS DOUBLE) / 100
         FROM risk_regions
         UNION ALL
-        SELECT 'inventory_alerts', row_number() OVER (ORDER BY DaysOfSupply, ProductID, StoreName) - 1,
+        SELECT 'inventory_alerts', CAST(row_number() OVER (ORDER BY DaysOfSupply, ProductID, StoreName) - 1 AS INTEGER),
                ProductName || '/' || Category || '/' || StoreType || '/' || StockOutRisk, QuantityOnHand, DaysOfSupply
         FROM alerts
     """,
