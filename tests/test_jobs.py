@@ -166,3 +166,16 @@ def test_a_second_delivery_adds_its_lines(golden, golden_warehouse, tmp_path):
     assert sorted(r.OrderID for r in golden_warehouse.read("FactSales").collect()) == ["A", "B"]
     staged = golden_warehouse.read("SalesRaw").collect()
     assert {(r.ProcessedFlag, r.ProcessedDate) for r in staged} == {(True, dt.datetime(2026, 3, 3))}
+
+
+def test_shuffles_grow_with_the_input_only(spark):
+    from tillspark.session import MAX_SHUFFLE_PARTITIONS, size_shuffles
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        for size, expected in ((1, before), (100 << 30, "800"), (1 << 30, "800"), (1 << 50, str(MAX_SHUFFLE_PARTITIONS))):
+            size_shuffles(spark, size)
+            assert spark.conf.get(key) == expected
+    finally:
+        spark.conf.set(key, before)

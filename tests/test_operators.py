@@ -65,7 +65,7 @@ def test_not_in_is_an_anti_join_behind_a_reduced_history(spark, stored):
 def test_spread_uses_all_cores_for_small_inputs(spark, stored, monkeypatch):
     small = stored(spark.range(100).coalesce(1), "small")
     assert joins.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(joins, "SPREAD_BYTES_PER_CORE", 1)
+    monkeypatch.setattr(joins, "SPREAD_BELOW_BYTES", 1)
     assert joins.spread(small) is small
 
 

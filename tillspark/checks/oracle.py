@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from tillspark import fixed_values as V
+
 AS_OF = "DATE '2001-07-31'"
 
 
@@ -294,6 +296,16 @@ _SALES_MEASURES = f"""
 _RISK = "CAST(" + half_up("sum(risk_e4)", "100") + " AS DOUBLE) / 100"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _wording() -> str:
+    opening = V.PROMPT_OPENING + "July 31, 2001" + V.PROMPT_RULES + "{}\n\n"
+    rows = ", ".join(f"({_text(a)}, {_text(opening + V.PROMPT_TASKS[a])})" for a in V.INSIGHT_AREAS)
+    return f"(VALUES {rows}) w(InsightArea, Wording)"
+
+
 def _visible(principal: str, where: str) -> str:
     return f"""
         SELECT Region, State, {money('sum(net)')} AS NetSales, '{principal}' AS Principal
@@ -501,6 +513,11 @@ QUERIES = {
     "insights_last_updated": """
         SELECT 'AI insights generated: ' || strftime(max(InsightDate), '%b %d, %Y') AS InsightsLastUpdated FROM narratives
     """,
+    "insight_prompts": f"""
+        SELECT InsightArea, Wording, TotalOrders, {money('net')} AS TotalRevenue,
+               CAST((SELECT count(*) FROM product_groups) AS INTEGER) AS TopProducts
+        FROM kpis, {_wording()}
+    """,
     "saved_insights": "SELECT InsightDate, InsightArea, InsightText, 'sample' AS ModelVersion FROM narratives",
     "kpi_context": f"""
         SELECT 'summary' AS Section, CAST(0 AS INTEGER) AS Position, Period AS Label, TotalOrders AS Quantity, {money('net')} AS Amount

@@ -444,8 +444,20 @@ def kpi_context(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def insight_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    """Prompts taken apart: the wording around the figures, and figures read back from the prompt."""
     t = SampleTables(spark, folder)
-    return insights.insight_prompts(insights.area_list(spark), _context(t), t.as_of)
+    context = _context(t)
+    prompts = insights.insight_prompts(insights.area_list(spark), context, t.as_of)
+    figures = context.select("KPIText").scalar()
+    wording = F.replace("Prompt", figures, F.lit("{}"))
+    quoted = F.when(F.contains("Prompt", figures), F.from_json(figures, CONTEXT_SCHEMA)).alias("d")
+    return prompts.select("InsightArea", wording.alias("Wording"), quoted).select(
+        "InsightArea",
+        "Wording",
+        F.col("d.summary.TotalOrders").alias("TotalOrders"),
+        F.round("d.summary.TotalRevenue", 2).cast("double").alias("TotalRevenue"),
+        F.size("d.top_products").alias("TopProducts"),
+    )
 
 
 @query

@@ -7,8 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A scan of less than this per core is spread over all cores; one file part is at most this large.
-SPREAD_BYTES_PER_CORE = 128 << 20
+# A scan of less than this may consist of a single row group, which only one task can read.
+SPREAD_BELOW_BYTES = 256 << 20
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
@@ -40,13 +40,12 @@ def if_small(dim: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input whose files have fewer row groups than there are cores.
+    """Use all cores for a small scan, whose files may have fewer row groups than there are cores.
 
-    Only inputs too small to fill the cores are shuffled; a large scan has more
-    file parts than cores and is left alone.
+    Larger scans have enough parts and are left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scanned_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df
+    small = scanned_bytes(df) < SPREAD_BELOW_BYTES
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df
 
 
 def lookup(left: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark import schemas as S
+from tillspark.operators.joins import scanned_bytes
 from tillspark.plans import churn_model, customers, insights, inventory, sales, sales_load, views
+from tillspark.session import size_shuffles
 from tillspark.sources import extracts
 from tillspark.sources.warehouse import BATCH, Warehouse
 
@@ -92,6 +94,7 @@ def run_day(
     ``write_texts`` turns prompts into texts; without it no insights are stored.
     """
     copy_extracts(warehouse, landing)
+    size_shuffles(warehouse.spark, sum(scanned_bytes(warehouse.read(t)) for t in ("FactSales", "SalesRaw")))
     warehouse.replace(
         "DimCustomer", customers.upsert_customers(warehouse.read("DimCustomer"), warehouse.read("CustomerRaw"))
     )

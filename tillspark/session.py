@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,6 +19,9 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
+# More partitions cost more in bookkeeping than they save in spilling.
+MAX_SHUFFLE_PARTITIONS = 32_768
+SHUFFLE_PARTITION_BYTES = 128 << 20
 _LOCAL_WORK_DIR = "tillspark.local.work.dir"
 
 
@@ -33,6 +37,17 @@ def build_session(app_name: str = "tillspark", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise ``spark.sql.shuffle.partitions`` to what an input of this size needs; never lower it.
+
+    The adaptive planner merges partitions that turn out small, but cannot make
+    more of them than were planned.
+    """
+    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) < wanted:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables, one per application.
 

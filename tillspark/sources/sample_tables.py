@@ -17,9 +17,10 @@ from tillspark.fixed_values import INSIGHT_AREAS
 from tillspark.functions.dates import date_key
 from tillspark.functions.money import MONEY, unit_margin_percent
 from tillspark.functions.rules import churn_category
-from tillspark.operators.joins import if_small, lookup, spread
+from tillspark.operators.joins import if_small, lookup, scanned_bytes, spread
 from tillspark.plans.calendar import calendar_between
 from tillspark.plans.sales_load import with_measures
+from tillspark.session import size_shuffles
 
 # Column types of the sample tables, stated so that opening a table starts no job.
 COLUMNS = {
@@ -56,6 +57,7 @@ class SampleTables:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.as_of = as_of
+        size_shuffles(spark, scanned_bytes(self.table("lineitem")))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
