@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.golden_rows import AS_OF
 from tillspark import schemas as S
+from tillspark.operators.joins import scanned_bytes
 from tillspark.plans import daily, views
 from tillspark.session import work_dir
 from tillspark.sources import extracts
@@ -24,6 +25,7 @@ def write_sales(folder, name, *lines):
 # --- storage ----------------------------------------------------------------
 def test_a_table_can_be_computed_from_itself(spark, warehouse):
     assert warehouse.read("Targets").count() == 0
+    assert scanned_bytes(warehouse.read("Targets")) < 1000
     for expected in (1, 2, 4):
         old = warehouse.read("Targets")
         one = spark.createDataFrame([(3, 2026, Decimal("1.00"))], S.TARGETS)

@@ -61,7 +61,7 @@ class Warehouse:
             return self._scan(self._path(name), SNAPSHOT_TABLES[name])
         version = self._version(name)
         if version == 0:
-            return self.spark.createDataFrame([], TABLES[name])
+            return self._empty(TABLES[name])
         return self._scan(self._version_path(name, version), TABLES[name])
 
     def create_views(self, prefix: str = "") -> None:
@@ -117,7 +117,12 @@ class Warehouse:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self._empty(schema)
+
+    def _empty(self, schema: StructType) -> DataFrame:
+        """No rows, known to the optimizer to be none."""
+        nothing = F.lit(None)
+        return self.spark.range(0).select(*[nothing.cast(f.dataType).alias(f.name) for f in schema])
 
     @staticmethod
     def _batch_schema(name: str) -> StructType:
