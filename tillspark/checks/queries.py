@@ -87,9 +87,9 @@ def sales_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)
-    return comparable(
-        sales.kpi_summary(_month_sales(t), t.scored_customers, _dashboard(t), _intelligence(t), t.as_of)
-    )
+    today = inventory.inventory_snapshot(t.stock, t.products, t.stores, _window_sales(t), t.as_of)
+    stock = inventory.inventory_intelligence(today, t.products, t.stores, t.dates)
+    return comparable(sales.kpi_summary(_month_sales(t), t.scored_customers, _dashboard(t), stock, t.as_of))
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -85,8 +86,14 @@ def train(rows: DataFrame, exclude: list[str] | None = None, trees: int = V.TREE
 
     The label is a threshold on ``DaysSinceLastPurchase``, which is a feature
     too; pass it in ``exclude`` to see what the other features are worth.
+
+    Training passes over the rows many times: they are kept, in parts of equal
+    size; a lost part is computed again.
     """
     columns = [c for c in MODEL_FEATURES if c not in (exclude or [])]
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+    kept = rows.select("CustomerID", *columns, "ChurnLabel").repartition(parts, "CustomerID")
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     stages = [
         VectorAssembler(inputCols=columns, outputCol="RawFeatures"),
         StandardScaler(inputCol="RawFeatures", outputCol="Features", withMean=True, withStd=True),
@@ -102,7 +109,10 @@ def train(rows: DataFrame, exclude: list[str] | None = None, trees: int = V.TREE
             maxMemoryInMB=1024,
         ),
     ]
-    return Pipeline(stages=stages).fit(with_class_weights(rows))
+    try:
+        return Pipeline(stages=stages).fit(with_class_weights(kept))
+    finally:
+        kept.unpersist()
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
