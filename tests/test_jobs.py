@@ -156,6 +156,16 @@ def test_a_day_can_be_run_twice(spark, golden, golden_warehouse, landing, tmp_pa
     assert spark.sql("SELECT * FROM vw_ChurnRiskDashboard").count() == 8
 
 
+def test_corrupt_lines_stop_the_day(golden_warehouse, landing, tmp_path):
+    write_sales(tmp_path / "landing", "sales_bad.csv", "A,1,CUST001,PRD001,STR001,2026-03-03,many,10.00,0,0")
+    with pytest.raises(extracts.CorruptExtractError, match="1 lines"):
+        daily.copy_extracts(golden_warehouse, landing)
+    daily.copy_extracts(golden_warehouse, landing, keep_corrupt=True)
+    staged = golden_warehouse.read("SalesRaw")
+    assert (staged.count(), staged.filter("Quantity IS NULL").count()) == (12, 1)
+    assert golden_warehouse.read("CustomerRaw").count() == 8
+
+
 def test_a_second_delivery_adds_its_lines(golden, golden_warehouse, tmp_path):
     first, second = tmp_path / "first", tmp_path / "second"
     line = "{},1,CUST001,PRD001,STR001,2026-03-03,{},10.00,0,0".format

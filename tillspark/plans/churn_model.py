@@ -110,7 +110,8 @@ def train(rows: DataFrame, exclude: list[str] | None = None, trees: int = V.TREE
         ),
     ]
     try:
-        return Pipeline(stages=stages).fit(with_class_weights(kept))
+        # A copy leaves the training summary behind, which would drag the session into every task.
+        return Pipeline(stages=stages).fit(with_class_weights(kept)).copy()
     finally:
         kept.unpersist()
 

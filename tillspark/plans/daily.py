@@ -11,22 +11,28 @@ from pyspark.sql import functions as F
 
 from tillspark import schemas as S
 from tillspark.operators.joins import scanned_bytes
+from tillspark.operators.updates import require_unique
 from tillspark.plans import churn_model, customers, insights, inventory, sales, sales_load, views
 from tillspark.session import size_shuffles
 from tillspark.sources import extracts
 from tillspark.sources.warehouse import BATCH, Warehouse
 
 
-def copy_extracts(warehouse: Warehouse, landing: str) -> None:
-    """Replace the three staging tables with the extracts of the landing folder."""
-    spark = warehouse.spark
-    raw = extracts.read_extract(spark, landing, extracts.SALES_FILES, S.SALES_EXTRACT)
-    warehouse.replace("SalesRaw", extracts.as_sales_raw(raw))
+def copy_extracts(warehouse: Warehouse, landing: str, keep_corrupt: bool = False) -> None:
+    """Replace the three staging tables with the extracts of the landing folder.
+
+    Lines that do not fit their schema stop the day, unless ``keep_corrupt``
+    lets them pass with NULLs.  They are counted while the tables are written.
+    """
     for name, pattern, schema in (
+        ("SalesRaw", extracts.SALES_FILES, S.SALES_EXTRACT),
         ("CustomerRaw", extracts.CUSTOMER_FILES, S.CUSTOMER_EXTRACT),
         ("InventoryRaw", extracts.INVENTORY_FILES, S.INVENTORY_EXTRACT),
     ):
-        warehouse.replace(name, extracts.read_extract(spark, landing, pattern, schema))
+        lines, corrupt = extracts.count_corrupt(extracts.read_extract(warehouse.spark, landing, pattern, schema))
+        warehouse.replace(name, extracts.as_sales_raw(lines) if name == "SalesRaw" else lines)
+        if corrupt() and not keep_corrupt:
+            raise extracts.CorruptExtractError(f"{corrupt()} lines of {landing}/{pattern} do not fit the schema")
 
 
 def refresh_sales(warehouse: Warehouse, as_of: dt.date, batch_id: str) -> sales_load.LoadCounts:
@@ -52,6 +58,7 @@ def refresh_scores(warehouse: Warehouse, as_of: dt.date, model_path: str) -> Dat
     prepared = churn_model.prepare_features(features, rows_at_most=dim.count())
     model = churn_model.train_or_load(prepared, model_path)
     scores = warehouse.replace("ChurnScores", churn_model.score(model, prepared, as_of))
+    require_unique(scores, ["CustomerID"])
     warehouse.replace("DimCustomer", customers.apply_churn_scores(dim, scores, as_of))
     return scores
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -12,6 +14,10 @@ CUSTOMER_FILES = "customers*.csv"
 INVENTORY_FILES = "inventory*.csv"
 
 
+class CorruptExtractError(ValueError):
+    """An extract has lines that do not fit its schema."""
+
+
 def with_corrupt_column(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT, StringType())])
 
@@ -31,6 +37,13 @@ def read_extract(spark: SparkSession, folder: str, pattern: str, schema: StructT
     )
 
 
+def count_corrupt(lines: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """Count corrupt lines on the way: the count can be asked once the returned frame has been written."""
+    seen = Observation()
+    observed = lines.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
+    return observed, lambda: seen.get["corrupt"]
+
+
 def stream_extract(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> DataFrame:
     """The same files as a stream that picks up each file once."""
     return (

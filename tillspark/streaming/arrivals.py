@@ -13,7 +13,13 @@ from tillspark.sources.warehouse import Warehouse
 
 
 def load_arrivals(
-    warehouse: Warehouse, folder: str, checkpoint: str, as_of: dt.date, stream_name: str, pattern: str = SALES_FILES
+    warehouse: Warehouse,
+    folder: str,
+    checkpoint: str,
+    as_of: dt.date,
+    stream_name: str,
+    pattern: str = SALES_FILES,
+    reject_invalid: bool = False,
 ) -> None:
     """Load all files that arrived since the last call, each exactly once, and return.
 
@@ -24,7 +30,7 @@ def load_arrivals(
 
     def load(batch: DataFrame, epoch: int) -> None:
         staged = warehouse.replace("SalesRaw", as_sales_raw(batch))
-        load_sales(warehouse, staged, as_of, f"{stream_name}-{epoch:08d}")
+        load_sales(warehouse, staged, as_of, f"{stream_name}-{epoch:08d}", reject_invalid)
         warehouse.replace("SalesRaw", marked_processed(staged, as_of))
 
     query = (
