@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import host_reputation, weak_rules
-from tillspark.llm.tables import table
+from tillspark.llm import decontaminate, hmm, host_reputation, language_id, licences, mixing, repeats, set_join, warc, weak_rules
+from tillspark.llm.tables import new_folder, table
 
 #: The url rules of the query.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identified(table(spark, folder, "documents"))
+
+
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = new_folder(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op3_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.scored(table(spark, folder, "documents"))
+
+
 def op4_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     return weak_rules.judge(table(spark, folder, "documents"), ["doc_id"]).select(
         "doc_id", *weak_rules.COUNTS, "base_failed", "kept", "quality"
@@ -32,9 +48,45 @@ def op5_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     ).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document and item found in it: the nearest passage, and how many there are."""
+    found = decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    nearest = F.min(F.struct("distance", "first_word", "n_words")).alias("nearest")
+    return found.groupBy("doc_id", "item_id").agg(nearest, F.count(F.lit(1)).alias("n_passages")).select(
+        "doc_id", "item_id", "nearest.distance", "nearest.first_word", "nearest.n_words", "n_passages"
+    )
+
+
+def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents"))
+
+
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return repeats.without_repeats(documents).select(
+        F.col("c0").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op10_set_join(spark: SparkSession, folder: str) -> DataFrame:
+    return set_join.linked(table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_warc": op2_warc,
+    "op3_hidden_markov": op3_hidden_markov,
     "op4_weak_rules": op4_weak_rules,
     "op5_host_reputation": op5_host_reputation,
+    "op6_mixing": op6_mixing,
+    "op7_decontamination": op7_decontamination,
+    "op8_licences": op8_licences,
+    "op9_repeats": op9_repeats,
+    "op10_set_join": op10_set_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
