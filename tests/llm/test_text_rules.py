@@ -150,8 +150,8 @@ def test_mix_draws_every_block_equally_often(spark, docs):
 
 def test_permutations_are_permutations(spark):
     for n in (1, 2, 7, 1000):
-        df = spark.range(n).select("id", F.lit(n).cast("long").alias("n"), F.lit(5).alias("k"))
-        assert sorted(r["id"] for r in mixing.permuted(df, "id", "n", ["k"]).collect()) == list(range(n))
+        image = mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5))
+        assert sorted(r["id"] for r in spark.range(n).select(image.alias("id")).collect()) == list(range(n))
 
 
 def test_mix_of_nothing(spark, docs):

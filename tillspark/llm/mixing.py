@@ -54,20 +54,20 @@ def running(df: DataFrame, by: list[str], order: list[str], value: str, name: st
     return rows_in.withColumn("_inside", inside).join(offsets, keys).withColumn(name, F.col("_before") + F.col("_inside")).drop("_bucket", "_inside", "_before")
 
 
-def permuted(df: DataFrame, index: str, size: str, keys: list[str]) -> DataFrame:
-    """Replace ``index``, 0 to ``size`` - 1, by its image under a pseudorandom permutation that ``keys`` choose.
+def permuted(index: Column, size: Column, *keys: Column) -> Column:
+    """Image of ``index``, 0 to ``size`` - 1, under a pseudorandom permutation that ``keys`` choose.
 
     Swap-or-not: every round pairs index x with k - x and swaps the pair or not
     by a hash of the round and the larger of the two.  Each round is its own
     inverse, so the whole is a permutation, of any size.
     """
-    x, n = F.col(index), F.col(size)
-    for r in range(ROUNDS):
-        pair = F.pmod(F.pmod(F.xxhash64(*keys, F.lit(2 * r)), n) + n - x, n)
-        df = df.withColumn("_pair", pair)
-        heads = F.xxhash64(*keys, F.lit(2 * r + 1), F.greatest(x, F.col("_pair"))).bitwiseAND(F.lit(1))
-        df = df.withColumn(index, F.when(heads == 1, F.col("_pair")).otherwise(x))
-    return df.drop("_pair")
+
+    def swapped(x: Column, r: Column) -> Column:
+        pair = F.pmod(F.pmod(F.xxhash64(*keys, 2 * r), size) + size - x, size)
+        heads = F.xxhash64(*keys, 2 * r + 1, F.greatest(x, pair)).bitwiseAND(F.lit(1)) == 1
+        return F.when(heads, pair).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), index, swapped)
 
 
 def with_targets(sizes: DataFrame) -> DataFrame:
@@ -160,17 +160,18 @@ def slots(sources: DataFrame) -> DataFrame:
     short = stored(running(short, [], ["number"], "missing", "first", n_sources), "short-sources")
     missing = short.agg(F.sum("missing")).first()[0] or 0
     refill = short.select("number", "n_blocks", "got", "first", _each("first", "missing").alias("place"))
-    refill = refill.withColumn("draw", F.col("got") + F.col("place") - F.col("first")).withColumns(
-        {"_n": F.lit(missing).cast("long"), "_key": F.lit(SEED)}
+    refill = refill.select(
+        "number", "n_blocks", (F.col("got") + F.col("place") - F.col("first")).alias("draw"),
+        permuted(F.col("place"), F.lit(missing).cast("long"), F.lit(SEED)).alias("place"),
     )
-    refill = permuted(refill, "place", "_n", ["_key"]).select("number", "n_blocks", "draw", "place")
     return own.unionByName(freed.join(refill, "place").select("shard", "number", "n_blocks", "draw"))
 
 
 def mixed(documents: DataFrame, sources: DataFrame) -> DataFrame:
     """The mix: shard, number, draw, block, and the parts of documents that the block consists of."""
-    drawn = slots(sources).withColumn("block", F.pmod("draw", "n_blocks")).withColumn("_pass", F.floor(F.col("draw") / F.col("n_blocks")))
-    drawn = permuted(drawn, "block", "n_blocks", ["number", "_pass"]).drop("_pass", "n_blocks")
+    turn, n = F.pmod("draw", "n_blocks"), F.col("n_blocks")
+    block = permuted(turn, n, F.col("number"), F.floor(F.col("draw") / n))
+    drawn = slots(sources).select("shard", "number", "draw", block.alias("block"))
     return drawn.join(pieces(documents), ["number", "block"])
 
 

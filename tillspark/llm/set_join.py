@@ -270,3 +270,11 @@ def linked(docs: DataFrame) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The documents with the smallest doc_id of their component, and those without a doc_id, in all their columns."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own = docs.toDF(*names).withColumn("id", F.col(names[docs.columns.index("doc_id")]).cast("long"))
+    gone = linked(docs).filter("component_id != doc_id").select(F.col("doc_id").alias("id"))
+    return own.join(gone, "id", "left_anti").select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
