@@ -129,8 +129,9 @@ def ask(table: pa.Table, answers: pa.Table, width: int, parts: int) -> pa.Table:
         return rows_of(REQUEST, [])
     block = table.column("block")[0].as_py()
     a, b, row, start = block_windows(table)
-    known = sorted(zip(answers.column("part").to_pylist(), answers.column("once").to_pylist(), strict=True))
-    repeated = np.concatenate([unpacked(d, np.uint32).astype(np.uint64) + np.uint64(p << RANGE_BITS) for p, d in known] or [np.zeros(0, np.uint64)])
+    known = zip(answers.column("part").to_pylist(), answers.column("once").to_pylist(), strict=True)
+    repeated = [unpacked(d, np.uint32).astype(np.uint64) + np.uint64(p << RANGE_BITS) for p, d in known]
+    repeated = np.sort(np.concatenate(repeated or [np.zeros(0, np.uint64)]))
     keep = np.ones(len(a), bool)
     for cells in counters(a, width):
         keep &= among(cells, repeated)
