@@ -104,7 +104,7 @@ def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 written += 1
             else:
                 waiting.append(one)
-                if len(waiting) == SAMPLE_RECORDS:
+                if len(waiting) == min(SAMPLE_RECORDS, ARCHIVE_RECORDS):
                     rows += begin()
             if len(rows) >= 1024:
                 yield batch(rows)
