@@ -50,7 +50,7 @@ def test_stages(spark, folder):
 
 
 def test_run_applies_all_stages(spark, folder):
-    assert corpus_pipeline.run(spark, folder).count() == 65
+    assert corpus_pipeline.run(spark, folder).count() == 64
 
 
 def test_every_operator_is_registered():

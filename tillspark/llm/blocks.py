@@ -38,7 +38,8 @@ def in_blocks(docs: DataFrame, columns: list[str], rows: int = BLOCK_ROWS) -> Da
     buckets = min(most, max(1, 2 * math.ceil(docs.count() / rows)))
     name = f"blocks_{uuid.uuid4().hex[:12]}"
     numbered = docs.select(*columns).withColumn("block", block_number(rows))
-    numbered.write.bucketBy(buckets, "block").option("path", new_folder(spark, name)).format("parquet").saveAsTable(name)
+    writer = numbered.write.bucketBy(buckets, "block").option("compression", "zstd")
+    writer.option("path", new_folder(spark, name)).format("parquet").saveAsTable(name)
     return spark.table(name)
 
 

@@ -26,9 +26,9 @@ SYMBOLS = "#*$%&|<>"
 #: Rounds of expectation-maximisation, and the change of any rate below which it ends earlier.
 ROUNDS, STILL = 40, 1e-5
 #: Pseudo-counts that keep every vote possible for either class.
-PRIOR_VOTES = 2.0
+PRIOR_VOTES = 0.5
 #: Before the first round: the share of good texts, and rates of the votes bad, none and good on good and on bad texts.
-FIRST_GOOD, FIRST_ON_GOOD, FIRST_ON_BAD = 0.85, (0.02, 0.08, 0.90), (0.25, 0.25, 0.50)
+FIRST_GOOD, FIRST_ON_GOOD, FIRST_ON_BAD = 0.85, (0.01, 0.09, 0.90), (0.30, 0.25, 0.45)
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
