@@ -51,6 +51,26 @@ def test_snapshots_replace_their_own_day(spark, warehouse):
     assert found == {20260302: 3, 20260303: 4}
 
 
+def test_a_batch_is_seen_as_a_whole_or_not_at_all(golden_warehouse, golden, monkeypatch):
+    from tillspark.plans.sales_load import rejects
+
+    log = rejects(golden.sales_raw().withColumn("Quantity", F.lit(0)), AS_OF)
+    publish = golden_warehouse._publish
+
+    def broken(pointer, number):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(golden_warehouse, "_publish", broken)
+    with pytest.raises(OSError):
+        golden_warehouse.put_batches({"FactSales": golden.fact, "SalesRejects": log}, "b1")
+    assert golden_warehouse.read("FactSales").count() == golden_warehouse.read("SalesRejects").count() == 0
+    monkeypatch.setattr(golden_warehouse, "_publish", publish)
+    for _ in range(2):
+        golden_warehouse.put_batches({"FactSales": golden.fact, "SalesRejects": log}, "b1")
+        assert golden_warehouse.read("FactSales").count() == golden.fact.count()
+        assert golden_warehouse.read("SalesRejects").count() == log.count() > 0
+
+
 def test_the_fact_is_pruned_by_month(golden_warehouse, golden):
     from tillspark.plans.sales import current_month
 
@@ -78,7 +98,37 @@ def test_extract_takes_matching_files_of_one_folder(spark, tmp_path):
     assert found["B"].OrderLineID is None and found["B"][extracts.CORRUPT].startswith("B,x")
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    write_sales(tmp_path, "sales_1.csv", "A,1,CUST001,PRD001,STR001,2026-03-03,1,10.00,0,0")
+    moved = "StoreID,ProductID,Extra,OrderID,OrderLineID,CustomerID,OrderDate,UnitPrice,Quantity,Discount,ReturnFlag"
+    (tmp_path / "sales_2.csv").write_text(f"{moved}\nSTR001,PRD001,x,B,2,CUST001,2026-03-03,10.00,3,0,1\n")
+    rows = extracts.read_extract(spark, str(tmp_path), extracts.SALES_FILES, S.SALES_EXTRACT).collect()
+    found = {r.OrderID: r for r in rows}
+    assert (found["B"].StoreID, found["B"].ProductID, found["B"].Quantity) == ("STR001", "PRD001", 3)
+    assert (found["A"].StoreID, found["A"].ProductID, found["A"].Quantity) == ("STR001", "PRD001", 1)
+    (tmp_path / "sales_3.csv").write_text("OrderID,OrderLineID\nC,1\n")
+    with pytest.raises(extracts.MissingColumnError, match="StoreID"):
+        extracts.read_extract(spark, str(tmp_path), extracts.SALES_FILES, S.SALES_EXTRACT)
+
+
 # --- streaming --------------------------------------------------------------
+@pytest.mark.parametrize("reject", [False, True])
+def test_unreadable_lines_never_load(golden_warehouse, tmp_path, reject):
+    good = "A,1,CUST001,PRD001,STR001,2026-03-03,1,10.00,0,0"
+    bad = ["B,1,CUST001,PRD001,STR001,2026-03-03,many,10.00,0,0", "C,1,CUST001,PRD001,STR001,2026-03-03,1,10.00,abc,0"]
+    write_sales(tmp_path / "landing", "sales_1.csv", good, *bad)
+    arguments = golden_warehouse, str(tmp_path / "landing"), str(tmp_path / "checkpoint"), AS_OF, "s"
+    if not reject:
+        with pytest.raises(Exception, match="2 lines do not fit"):
+            load_arrivals(*arguments)
+        assert golden_warehouse.read("FactSales").count() == golden_warehouse.read("SalesRejects").count() == 0
+        return
+    load_arrivals(*arguments, reject_invalid=True)
+    assert [r.OrderID for r in golden_warehouse.read("FactSales").collect()] == ["A"]
+    logged = {r.OrderID: r.RejectReason for r in golden_warehouse.read("SalesRejects").collect()}
+    assert logged == {line[0]: f"Line not readable: {line}" for line in bad}
+
+
 def test_files_load_once(spark, golden_warehouse, tmp_path):
     landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
 
@@ -181,12 +231,12 @@ def test_a_second_delivery_adds_its_lines(golden, golden_warehouse, tmp_path):
 
 
 def test_shuffles_grow_with_the_input_only(spark):
-    from tillspark.session import MAX_SHUFFLE_PARTITIONS, size_shuffles
+    from tillspark.session import size_shuffles
 
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     try:
-        for size, expected in ((1, before), (100 << 30, "800"), (1 << 30, "800"), (1 << 50, str(MAX_SHUFFLE_PARTITIONS))):
+        for size, expected in ((1, before), (100 << 30, "800"), (1 << 30, "800"), (1 << 50, str(1 << 23))):
             size_shuffles(spark, size)
             assert spark.conf.get(key) == expected
     finally:

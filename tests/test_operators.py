@@ -28,7 +28,7 @@ def stored(spark, tmp_path):
 
 
 # --- joins ------------------------------------------------------------------
-@pytest.mark.parametrize(("text", "size"), [("10485760b", 10485760), ("10MB", 10 << 20), ("-1", -1), ("2g", 2 << 30)])
+@pytest.mark.parametrize(("text", "size"), [("10485760b", 10485760), ("10MB", 10 << 20), ("-1", -1), ("2g", 2 << 30), ("1t", 1 << 40)])
 def test_broadcast_limit(spark, text, size):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
@@ -62,13 +62,6 @@ def test_not_in_is_an_anti_join_behind_a_reduced_history(spark, stored):
     assert "wide" not in text
 
 
-def test_spread_uses_all_cores_for_small_inputs(spark, stored, monkeypatch):
-    small = stored(spark.range(100).coalesce(1), "small")
-    assert joins.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(joins, "SPREAD_BELOW_BYTES", 1)
-    assert joins.spread(small) is small
-
-
 # --- numbering --------------------------------------------------------------
 @pytest.mark.parametrize("buckets", [1, 3, 64])
 def test_numbered_is_dense_and_repeatable(spark, buckets):
@@ -81,6 +74,12 @@ def test_numbered_is_dense_and_repeatable(spark, buckets):
         assert numbers == list(range(1, len(numbers) + 1))
 
 
+def test_numbered_keeps_rows_without_a_group(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, 1), (4, 1)], "id int, g int")
+    rows = ranking.numbered(df, ["id"], by=["g"]).collect()
+    assert sorted((r.g is None, r.RowNumber) for r in rows) == [(False, 1), (False, 2), (True, 1), (True, 2)]
+
+
 def test_numbered_without_groups(spark):
     numbers = [r.RowNumber for r in ranking.numbered(spark.range(100), ["id"], buckets=8).collect()]
     assert sorted(numbers) == list(range(1, 101))
@@ -99,29 +98,37 @@ def samples():
 
 
 @pytest.mark.parametrize("name", samples())
-@pytest.mark.parametrize("q", [0.0, 0.25, 0.99, 1.0])
-def test_narrowed_quantile_is_exact(spark, name, q):
-    values = samples()[name]
-    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    expected = float(np.quantile(values, q))
-    position = (len(values) - 1) * q
-    ranks = {int(np.floor(position)), int(np.ceil(position))}
-    for rank in ranks:
-        found = ranking.value_at_rank(df, "x", rank, len(values), direct_limit=20, accuracy=50)
-        assert found == sorted(values)[rank]
-    assert ranking._interpolated(df, "x", q, len(values), 20) == pytest.approx(expected, abs=1e-12)
-
-
-def test_quantiles_choose_their_way_by_the_bound(spark):
+def test_quantiles_are_exact(spark, name):
+    values = samples()[name] + [-3.25]
+    df = spark.createDataFrame([(v, -v) for v in values] + [(None, None)], "x double, y double").repartition(4)
+    for q in (0.0, 0.25, 0.99, 1.0):
+        found = ranking.quantiles(df, ["x", "y"], q)
+        x, y = df.select(found["x"], found["y"]).first()
+        assert x == pytest.approx(float(np.quantile(values, q)), abs=1e-9)
+        assert y == pytest.approx(float(np.quantile([-v for v in values], q)), abs=1e-9)
+
+
+def jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles"))
+
+
+def test_quantiles_run_nothing_while_they_are_planned(spark):
     df = spark.range(1001).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y")
-    for bound in (1001, 10**9):
-        caps = ranking.quantiles(df, ["x", "y"], 0.99, rows_at_most=bound, direct_limit=2000)
-        assert tuple(df.select(caps["x"], caps["y"]).first()) == (990.0, 6.0)
+    spark.sparkContext.setJobGroup("quantiles", "")
+    try:
+        caps = ranking.quantiles(df, ["x", "y"], 0.99)
+        frame = df.select(caps["x"], caps["y"])
+        assert jobs(spark) == 0
+        assert tuple(frame.first()) == (990.0, 6.0)
+        assert jobs(spark) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_quantile_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "x double")
-    assert ranking._interpolated(empty, "x", 0.99, 0, 10) is None
+    one = spark.range(1).select(ranking.quantiles(empty, ["x"], 0.99)["x"].alias("x"))
+    assert one.first().x is None
 
 
 # --- grouping codes ---------------------------------------------------------

@@ -483,7 +483,7 @@ def _features(t: SampleTables) -> DataFrame:
 
 
 def prepared_features(t: SampleTables) -> DataFrame:
-    return churn_model.prepare_features(_features(t), rows_at_most=t.table("customer").count())
+    return churn_model.prepare_features(_features(t))
 
 
 def _model(t: SampleTables, prepared: DataFrame) -> PipelineModel:

@@ -35,7 +35,7 @@ def duplicate_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) ->
     """Key values that occur more than once."""
 
     def check(name: str) -> DataFrame:
-        text = F.concat_ws("|", *[F.col(c).cast("string") for c in keys[name]])
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in keys[name]])
         return (
             tables[name]
             .groupBy(*keys[name])

@@ -7,9 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A scan of less than this may consist of a single row group, which only one task can read.
-SPREAD_BELOW_BYTES = 256 << 20
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -19,6 +18,10 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * _UNITS[unit]
 
 
+# Rows in memory take several times the bytes of their compressed files.
+MEMORY_PER_FILE_BYTE = 4
+
+
 def scanned_bytes(df: DataFrame) -> int:
     """Bytes of all relations a plan reads.
 
@@ -31,21 +34,12 @@ def scanned_bytes(df: DataFrame) -> int:
 
 
 def if_small(dim: DataFrame) -> DataFrame:
-    """Broadcast hint when everything ``dim`` reads fits the session's threshold, else no hint.
+    """Broadcast hint when everything ``dim`` reads fits the session's threshold in memory, else no hint.
 
     Without the hint the join shuffles, and the adaptive planner splits hot keys.
     """
     limit = broadcast_limit(dim.sparkSession)
-    return F.broadcast(dim) if 0 <= scanned_bytes(dim) <= limit else dim
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a small scan, whose files may have fewer row groups than there are cores.
-
-    Larger scans have enough parts and are left alone.
-    """
-    small = scanned_bytes(df) < SPREAD_BELOW_BYTES
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df
+    return F.broadcast(dim) if 0 <= MEMORY_PER_FILE_BYTE * scanned_bytes(dim) <= limit else dim
 
 
 def lookup(left: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS_PER_PARTITION = 8
 _BUCKET, _HASH, _OFFSET = "__bucket", "__hash", "__offset"
 
 
@@ -16,16 +17,18 @@ def numbered(
     by: list[str] | None = None,
     name: str = "RowNumber",
     seed: int = 0,
-    buckets: int = 1024,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Number the rows of each ``by`` group 1..n in a pseudo-random but repeatable order.
 
     A plain ``row_number`` needs all rows of a group in one task.  Here rows are
     spread over hash buckets and numbered within them; the start of each bucket
     comes from a table of at most ``groups x buckets`` counts.  ``unique_key``
-    must identify a row, so that a re-run numbers alike.
+    must identify a row, so that a re-run numbers alike.  There are several
+    buckets per shuffle partition, whose number follows the input.
     """
     by = by or []
+    buckets = buckets or BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = df.withColumn(_HASH, F.xxhash64(*unique_key, F.lit(seed))).withColumn(
         _BUCKET, F.pmod(_HASH, F.lit(buckets))
     )
@@ -36,12 +39,12 @@ def numbered(
         .select(*by, _BUCKET, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_OFFSET))
     )
     within = Window.partitionBy(*by, _BUCKET).orderBy(_HASH, *unique_key)
-    return (
-        hashed.withColumn(name, F.row_number().over(within))
-        .join(offsets, [*by, _BUCKET])
-        .withColumn(name, (F.col(name) + F.col(_OFFSET)).cast("long"))
-        .drop(_BUCKET, _HASH, _OFFSET)
-    )
+    # Groups may be NULL, so the keys are compared null-safely.
+    keys = [*by, _BUCKET]
+    offsets = offsets.select(*[F.col(c).alias(f"__offset_{i}") for i, c in enumerate(keys)], _OFFSET)
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__offset_{i}")) for i, c in enumerate(keys)])
+    ranked = hashed.withColumn(name, F.row_number().over(within)).join(offsets, same)
+    return ranked.select(*df.columns, (F.col(name) + F.col(_OFFSET)).cast("long").alias(name))
 
 
 def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
@@ -49,67 +52,39 @@ def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def quantiles(
-    df: DataFrame, columns: list[str], q: float, rows_at_most: int, direct_limit: int = 500_000
-) -> dict[str, Column]:
+def _size_class(x: Column) -> Column:
+    """A number that never falls as ``x`` rises: about a thousandth of its size apart, whatever the size."""
+    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * 1024).cast("long")
+
+
+def quantiles(df: DataFrame, columns: list[str], q: float) -> dict[str, Column]:
     """Exact, linearly interpolated ``q``-quantile of each column, as expressions.
 
-    ``rows_at_most`` is a known bound of the row count.  Up to ``direct_limit``
-    rows the built-in exact aggregate is used; it stays inside the plan as a
-    scalar subquery.  It merges a count per distinct value in one task, so
-    larger inputs are narrowed down by :func:`value_at_rank` instead.
-    """
-    if rows_at_most <= direct_limit:
-        found = df.agg(F.struct(*[F.percentile(c, F.lit(q)).alias(c) for c in columns]).alias("q")).scalar()
-        return {c: found.getField(c) for c in columns}
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    return {c: F.lit(_interpolated(df, c, q, counts[c], direct_limit)) for c in columns}
-
-
-def _interpolated(df: DataFrame, column: str, q: float, n: int, direct_limit: int) -> float | None:
-    if n == 0:
-        return None
-    position = (n - 1) * q
-    low, high = math.floor(position), math.ceil(position)
-    low_value = value_at_rank(df, column, low, n, direct_limit)
-    high_value = low_value if high == low else value_at_rank(df, column, high, n, direct_limit)
-    return low_value + (high_value - low_value) * (position - low)
-
-
-def value_at_rank(
-    df: DataFrame, column: str, rank: int, n: int, direct_limit: int = 500_000, accuracy: int = 10_000
-) -> float:
-    """Exact value at a 0-based rank of the ``n`` non-NULL values of a column.
-
-    Each round brackets the rank with two approximate percentiles, counts the
-    rows below, at, between and above them, and goes on with the part that holds
-    the rank.  Only these counts reach the driver; the last part, at most
-    ``direct_limit`` rows, is sorted.
+    Equal values are counted by a shuffle and the counts added up per class of
+    size, of which there are some ten thousand; only the classes that hold the
+    two ranks are then ordered by value.  All of it is part of the plan, as a
+    scalar subquery: nothing runs before the plan does.  NULLs do not count; a
+    column without values has the quantile NULL.
     """
-    x = F.col(column)
-    part = df.select(x.cast("double").alias(column)).filter(x.isNotNull())
-    while n > direct_limit:
-        margin = 2.0 / accuracy
-        share = (rank + 1) / n
-        low, high = part.agg(
-            F.percentile_approx(x, [max(0.0, share - margin), min(1.0, share + margin)], accuracy)
-        ).first()[0]
-        inside = (x > low) & (x < high)
-        below, at_low, between, at_high = part.agg(
-            F.count_if(x < low), F.count_if(x == low), F.count_if(inside), F.count_if(x == high)
-        ).first()
-        if low == high:
-            at_high = 0
-        if rank < below:
-            part, n = part.filter(x < low), below
-        elif rank < below + at_low:
-            return low
-        elif rank < below + at_low + between:
-            part, n, rank = part.filter(inside), between, rank - below - at_low
-        elif rank < below + at_low + between + at_high:
-            return high
-        else:
-            skipped = below + at_low + between + at_high
-            part, n, rank = part.filter(x > high), n - skipped, rank - skipped
-    position = F.row_number().over(Window.orderBy(x))
-    return part.withColumn("__position", position).filter(F.col("__position") == rank + 1).first()[column]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("x")) for c in columns]))
+    counts = df.select(pairs.alias("p")).select("p.name", "p.x").filter("x IS NOT NULL").groupBy("name", "x")
+    counts = counts.agg(F.count(F.lit(1)).alias("n")).withColumn("size", _size_class(F.col("x")))
+
+    def earlier(*keys: str) -> Window:
+        return Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    sizes = counts.groupBy("name", "size").agg(F.sum("n").alias("rows"))
+    position = (F.sum("rows").over(Window.partitionBy("name")) - 1) * F.lit(q)
+    sizes = sizes.withColumn("position", position).withColumn("before", F.coalesce(F.sum("rows").over(earlier("name", "size")), F.lit(0)))
+    low, high = F.floor("position"), F.ceil("position")
+    holds = (F.col("before") <= high) & (F.col("before") + F.col("rows") > low)
+    near = counts.join(sizes.filter(holds).select("name", "size", "position", "before"), ["name", "size"])
+    first = F.col("before") + F.coalesce(F.sum("n").over(earlier("name", "size", "x")), F.lit(0))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("first") <= rank) & (F.col("first") + F.col("n") > rank), F.col("x")))
+
+    values = near.withColumn("first", first).groupBy("name").agg(at(low).alias("low"), at(high).alias("high"), F.max("position").alias("position"))
+    found = values.withColumn("q", F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position")))
+    one = found.agg(F.struct(*[F.max(F.when(F.col("name") == c, F.col("q"))).alias(c) for c in columns]).alias("q")).scalar()
+    return {c: one.getField(c) for c in columns}

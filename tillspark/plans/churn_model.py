@@ -44,16 +44,12 @@ def load_features(customers: DataFrame, activity: DataFrame, as_of: dt.date) ->
     )
 
 
-def prepare_features(features: DataFrame, rows_at_most: int) -> DataFrame:
-    """Fill gaps with 0, cap outliers at the 99th percentile of this frame, add logs.
-
-    ``rows_at_most`` bounds the number of rows (the size of the customer
-    dimension) and decides how the percentiles are found.
-    """
+def prepare_features(features: DataFrame) -> DataFrame:
+    """Fill gaps with 0, cap outliers at the 99th percentile of this frame, add logs."""
     others = [c for c in features.columns if c not in V.BASE_FEATURES]
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in V.BASE_FEATURES]
     filled = features.select(*others, *numbers)
-    caps = quantiles(filled, V.CAPPED_FEATURES, V.CAP_QUANTILE, rows_at_most)
+    caps = quantiles(filled, V.CAPPED_FEATURES, V.CAP_QUANTILE)
     capped = filled.select(
         *[c for c in filled.columns if c not in caps], *[F.least(F.col(c), cap).alias(c) for c, cap in caps.items()]
     )
@@ -87,12 +83,11 @@ def train(rows: DataFrame, exclude: list[str] | None = None, trees: int = V.TREE
     The label is a threshold on ``DaysSinceLastPurchase``, which is a feature
     too; pass it in ``exclude`` to see what the other features are worth.
 
-    Training passes over the rows many times: they are kept, in parts of equal
-    size; a lost part is computed again.
+    Training passes over the rows many times: they are kept, in parts whose size
+    the adaptive planner evens out; a lost part is computed again.
     """
     columns = [c for c in MODEL_FEATURES if c not in (exclude or [])]
-    parts = rows.sparkSession.sparkContext.defaultParallelism
-    kept = rows.select("CustomerID", *columns, "ChurnLabel").repartition(parts, "CustomerID")
+    kept = rows.select("CustomerID", *columns, "ChurnLabel").hint("rebalance")
     kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     stages = [
         VectorAssembler(inputCols=columns, outputCol="RawFeatures"),
@@ -208,12 +203,14 @@ def train_or_load(prepared: DataFrame, path: str, exclude: list[str] | None = No
     """The model saved under ``path``; trained on the training rows and saved when there is none."""
     spark = prepared.sparkSession
     try:
-        spark.read.text(f"{path}/metadata")
+        spark.read.text(f"{path}/saved")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.info("training a new model for %s", path)
         model = train(split_by_label(prepared)[0], exclude)
-        model.write().overwrite().save(path)
+        model.write().overwrite().save(f"{path}/model")
+        # Written last: a save that broke off is not taken for a model.
+        spark.range(1).selectExpr("'saved' AS value").write.mode("overwrite").text(f"{path}/saved")
         return model
-    return PipelineModel.load(path)
+    return PipelineModel.load(f"{path}/model")

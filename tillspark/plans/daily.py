@@ -22,7 +22,8 @@ def copy_extracts(warehouse: Warehouse, landing: str, keep_corrupt: bool = False
     """Replace the three staging tables with the extracts of the landing folder.
 
     Lines that do not fit their schema stop the day, unless ``keep_corrupt``
-    lets them pass with NULLs.  They are counted while the tables are written.
+    lets them pass with NULLs.  They are counted while the tables are written,
+    and a table is published only after that.
     """
     for name, pattern, schema in (
         ("SalesRaw", extracts.SALES_FILES, S.SALES_EXTRACT),
@@ -30,9 +31,12 @@ def copy_extracts(warehouse: Warehouse, landing: str, keep_corrupt: bool = False
         ("InventoryRaw", extracts.INVENTORY_FILES, S.INVENTORY_EXTRACT),
     ):
         lines, corrupt = extracts.count_corrupt(extracts.read_extract(warehouse.spark, landing, pattern, schema))
-        warehouse.replace(name, extracts.as_sales_raw(lines) if name == "SalesRaw" else lines)
-        if corrupt() and not keep_corrupt:
-            raise extracts.CorruptExtractError(f"{corrupt()} lines of {landing}/{pattern} do not fit the schema")
+
+        def check(corrupt=corrupt, pattern=pattern) -> None:
+            if corrupt() and not keep_corrupt:
+                raise extracts.CorruptExtractError(f"{corrupt()} lines of {landing}/{pattern} do not fit the schema")
+
+        warehouse.replace(name, extracts.as_sales_raw(lines) if name == "SalesRaw" else lines, check)
 
 
 def refresh_sales(warehouse: Warehouse, as_of: dt.date, batch_id: str) -> sales_load.LoadCounts:
@@ -55,7 +59,7 @@ def refresh_scores(warehouse: Warehouse, as_of: dt.date, model_path: str) -> Dat
     """Score all active customers and apply the scores to the dimension."""
     dim = warehouse.read("DimCustomer")
     features = churn_model.load_features(dim, warehouse.read("FactCustomerActivity"), as_of)
-    prepared = churn_model.prepare_features(features, rows_at_most=dim.count())
+    prepared = churn_model.prepare_features(features)
     model = churn_model.train_or_load(prepared, model_path)
     scores = warehouse.replace("ChurnScores", churn_model.score(model, prepared, as_of))
     require_unique(scores, ["CustomerID"])

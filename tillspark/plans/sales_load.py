@@ -19,7 +19,7 @@ from tillspark.sources.warehouse import BATCH, Warehouse
 LINE_KEY = ["OrderID", "OrderLineID"]
 
 
-MISSING_LINE, MISSING_DATE = "Line number missing", "Date not in calendar"
+MISSING_LINE, MISSING_DATE, UNREADABLE = "Line number missing", "Date not in calendar", "Line not readable"
 
 
 class InvalidSaleError(ValueError):
@@ -33,6 +33,12 @@ def rejects(raw: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+def unreadable_lines(lines: DataFrame, text: str, as_of: dt.date) -> DataFrame:
+    """Reject log entries of lines that do not fit the schema; ``text`` names the column with the line as it came."""
+    reason = F.concat(F.lit(f"{UNREADABLE}: "), F.col(text))
+    return lines.select("OrderID", reason.alias("RejectReason"), F.lit(as_of).cast("timestamp").alias("RejectDate"))
+
+
 def with_measures(sales: DataFrame) -> DataFrame:
     """Add the computed columns of the fact: GrossSales, NetSales, GrossProfit."""
     quantity, price = F.col("Quantity"), F.col("UnitPrice")
@@ -130,7 +136,12 @@ class LoadCounts:
 
 
 def load_sales(
-    warehouse: Warehouse, raw: DataFrame, as_of: dt.date, batch_id: str, reject_invalid: bool = False
+    warehouse: Warehouse,
+    raw: DataFrame,
+    as_of: dt.date,
+    batch_id: str,
+    reject_invalid: bool = False,
+    more_rejects: DataFrame | None = None,
 ) -> LoadCounts:
     """Load one batch into the warehouse.
 
@@ -138,7 +149,9 @@ def load_sales(
     with the other batches only and replaces its own folders, so a load that
     broke off half-way is repaired by running it again.  A sale the fact cannot
     hold stops the load before anything is written; ``reject_invalid`` logs it
-    as a reject instead.
+    as a reject instead.  ``more_rejects`` are logged with the batch.
+
+    Facts and rejects become visible together, when the batch is published.
     """
     loaded = warehouse.read("FactSales").filter(F.col(BATCH) != batch_id)
     dates = warehouse.read("DimDate")
@@ -146,6 +159,8 @@ def load_sales(
         raw, warehouse.read("DimCustomer"), warehouse.read("DimProduct"), warehouse.read("DimStore"), loaded
     )
     log = rejects(raw, as_of)
+    if more_rejects is not None:
+        log = log.unionByName(more_rejects)
     if _may_be_faulty(raw, dates):
         checked = _with_fault(facts, dates)
         faulty = checked.filter(F.col("Fault").isNotNull())
@@ -159,8 +174,7 @@ def load_sales(
             )
         )
         facts = checked.filter(F.col("Fault").isNull()).drop("Fault")
-    warehouse.put_batch("FactSales", facts, batch_id)
-    warehouse.put_batch("SalesRejects", log, batch_id)
+    warehouse.put_batches({"FactSales": facts, "SalesRejects": log}, batch_id)
     mine = F.col(BATCH) == batch_id
     return LoadCounts(
         inserted=warehouse.read("FactSales").filter(mine).count(),

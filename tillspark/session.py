@@ -19,8 +19,6 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
-# More partitions cost more in bookkeeping than they save in spilling.
-MAX_SHUFFLE_PARTITIONS = 32_768
 SHUFFLE_PARTITION_BYTES = 128 << 20
 _LOCAL_WORK_DIR = "tillspark.local.work.dir"
 
@@ -43,7 +41,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     The adaptive planner merges partitions that turn out small, but cannot make
     more of them than were planned.
     """
-    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    wanted = math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES)
     if int(spark.conf.get("spark.sql.shuffle.partitions")) < wanted:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
@@ -52,10 +50,14 @@ def work_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables, one per application.
 
     A cluster names the shared folder in ``spark.checkpoint.dir``.  Only where
-    that is unset (a local test) a temporary folder is made, once per session.
+    that is unset and the master is local (a test) a temporary folder is made,
+    once per session; elsewhere executors would not find each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_WORK_DIR, None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillspark-")
         spark.conf.set(_LOCAL_WORK_DIR, root)
     return f"{root.rstrip('/')}/tillspark-{spark.sparkContext.applicationId}"

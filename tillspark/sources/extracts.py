@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +19,61 @@ class CorruptExtractError(ValueError):
     """An extract has lines that do not fit its schema."""
 
 
+class MissingColumnError(ValueError):
+    """An extract lacks a column."""
+
+
 def with_corrupt_column(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT, StringType())])
 
 
-def read_extract(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> DataFrame:
-    """All files of one folder whose name fits ``pattern``; subfolders are not searched.
+def files_of(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Files of one folder whose name fits ``pattern``; subfolders are not searched."""
+    found = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}").select("path")
+    return sorted(r["path"] for r in found.collect())
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names of a file's first line, as its reader will see them."""
+    return tuple(spark.read.option("header", True).csv(file).columns)
+
 
-    A line that does not fit the schema has NULL in the offending columns and
-    its text in ``_corrupt_record``.
+def read_files(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
+    """Extract files, with columns found by their names in each file's header.
+
+    Files with the same header are read together.  Columns that the schema
+    lacks are left out; a column that a file lacks is an error.  A line that
+    does not fit the schema has NULL in the offending columns and its text in
+    ``_corrupt_record``.
     """
-    return (
-        spark.read.schema(with_corrupt_column(schema))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(f"{folder.rstrip('/')}/{pattern}")
-    )
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        by_header.setdefault(_header(spark, file), []).append(file)
+    parts = []
+    for header, group in by_header.items():
+        if missing := [f.name for f in schema if f.name not in header]:
+            raise MissingColumnError(f"{', '.join(missing)} not in the header of {group[0]}")
+        known = {f.name: f for f in schema}
+        own = StructType([known.get(name, StructField(name, StringType())) for name in header])
+        lines = (
+            spark.read.schema(with_corrupt_column(own))
+            .option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(group)
+        )
+        parts.append(lines.select(*schema.names, CORRUPT))
+    if not parts:
+        return spark.createDataFrame([], with_corrupt_column(schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_extract(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> DataFrame:
+    """All extract files of a folder; none at all is an error."""
+    files = files_of(spark, folder, pattern)
+    if not files:
+        raise FileNotFoundError(f"no {pattern} in {folder}")
+    return read_files(spark, files, schema)
 
 
 def count_corrupt(lines: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
@@ -44,15 +83,10 @@ def count_corrupt(lines: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
     return observed, lambda: seen.get["corrupt"]
 
 
-def stream_extract(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> DataFrame:
-    """The same files as a stream that picks up each file once."""
-    return (
-        spark.readStream.schema(with_corrupt_column(schema))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(f"{folder.rstrip('/')}/{pattern}")
-    )
+def stream_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Names of arriving files as a stream that picks up each file once; their content is not read."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    return files.load(f"{folder.rstrip('/')}/{pattern}").select("path")
 
 
 def write_extract(df: DataFrame, path: str) -> None:

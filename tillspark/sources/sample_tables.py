@@ -17,7 +17,7 @@ from tillspark.fixed_values import INSIGHT_AREAS
 from tillspark.functions.dates import date_key
 from tillspark.functions.money import MONEY, unit_margin_percent
 from tillspark.functions.rules import churn_category
-from tillspark.operators.joins import if_small, lookup, scanned_bytes, spread
+from tillspark.operators.joins import if_small, lookup, scanned_bytes
 from tillspark.plans.calendar import calendar_between
 from tillspark.plans.sales_load import with_measures
 from tillspark.session import size_shuffles
@@ -158,7 +158,7 @@ class SampleTables:
             orders = orders.filter(_on_day("o_orderdate", ">=", since))
         if before is not None:
             orders = orders.filter(_on_day("o_orderdate", "<", before))
-        dated = spread(self.table("lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        dated = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         lines = dated.selectExpr(
             "l_orderkey",
             "l_linenumber AS OrderLineID",
@@ -232,7 +232,7 @@ class SampleTables:
     @cached_property
     def stock(self) -> DataFrame:
         """Stock per product and store that ever met in an order line."""
-        pairs = spread(self.table("lineitem")).select("l_partkey", "l_suppkey").distinct()
+        pairs = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
         return pairs.selectExpr(
             "CAST(l_partkey AS STRING) AS ProductID",
             "CAST(l_suppkey AS STRING) AS StoreID",

@@ -4,12 +4,15 @@ Three ways of writing cover the engine:
 
 * ``replace`` writes a whole new version and then publishes its number, so a
   plan may read the version it replaces and readers never see half a table;
-* ``put_batch`` owns one ``BatchID`` folder: a replay of the batch replaces it;
+* ``put_batches`` writes one batch of several tables and publishes it as a whole:
+  a replay of the batch takes the place of what was published before;
 * ``put_snapshot`` replaces the partitions of the dates it contains.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +20,9 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tillspark import schemas as S
 from tillspark.functions.dates import month_of_key
+from tillspark.operators.joins import if_small
 
-BATCH, MONTH = "BatchID", "SaleMonth"
+BATCH, ATTEMPT, MONTH = "BatchID", "Attempt", "SaleMonth"
 
 TABLES: dict[str, StructType] = {
     "SalesRaw": S.SALES_RAW,
@@ -56,7 +60,9 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         """Current content of a table; empty when it was never written."""
         if name in BATCH_TABLES:
-            return self._scan(self._path(name), self._batch_schema(name))
+            rows = self._scan(self._path(name), self._batch_schema(name))
+            # One row per batch; as both are partition columns, other folders are not read.
+            return rows.join(if_small(self._published(name)), [BATCH, ATTEMPT], "left_semi").drop(ATTEMPT)
         if name in SNAPSHOT_TABLES:
             return self._scan(self._path(name), SNAPSHOT_TABLES[name])
         version = self._version(name)
@@ -70,24 +76,51 @@ class Warehouse:
             self.read(name).createOrReplaceTempView(prefix + name)
 
     # --- writing ------------------------------------------------------------
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace a whole table; ``df`` may be computed from its current version."""
+    def replace(self, name: str, df: DataFrame, check: Callable[[], None] | None = None) -> DataFrame:
+        """Replace a whole table; ``df`` may be computed from its current version.
+
+        ``check`` runs when the version is written and before it is published;
+        what it raises leaves the current version in place.  A table has one
+        writer at a time.
+        """
         version = self._version(name) + 1
         self._shaped(df, TABLES[name]).write.mode("overwrite").parquet(self._version_path(name, version))
-        marker = self.spark.range(1).select(F.lit(version).alias("version"))
-        marker.write.mode("append").parquet(f"{self._path(name)}/published")
+        if check is not None:
+            check()
+        self._publish(f"{self._path(name)}/published", version)
         return self.read(name)
 
+    def staged(self, name: str, df: DataFrame) -> DataFrame:
+        """Write rows of any shape to a working table, replacing it, and read them back."""
+        path = f"{self.root}/staging/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def put_batch(self, name: str, df: DataFrame, batch_id: str) -> None:
         """Append a batch, or replace it when the same batch is written again."""
-        shaped = self._shaped(df, BATCH_TABLES[name])
-        path = f"{self._path(name)}/{BATCH}={batch_id}"
-        if name == "FactSales":
-            # Rebalancing splits a hot month over several files and merges small ones.
-            shaped = shaped.withColumn(MONTH, month_of_key(F.col("DateKey"))).hint("rebalance", MONTH)
-            shaped.write.mode("overwrite").partitionBy(MONTH).parquet(path)
-        else:
-            shaped.write.mode("overwrite").parquet(path)
+        self.put_batches({name: df}, batch_id)
+
+    def put_batches(self, frames: dict[str, DataFrame], batch_id: str) -> None:
+        """Write one batch of several tables and publish it as a whole.
+
+        Each attempt has its own folder.  Readers see the attempt that the
+        batch's pointer names, in all tables or none, so a load that breaks off
+        in between shows nothing new; running it again publishes a new attempt.
+        """
+        names = "+".join(sorted(frames))
+        pointer = f"{self.root}/batches/{names}/{BATCH}={batch_id}"
+        mine = F.col(BATCH) == batch_id
+        attempt = 1 + max(self._published(name).filter(mine).agg(F.coalesce(F.max(ATTEMPT), F.lit(0))).first()[0] for name in frames)
+        for name, df in frames.items():
+            shaped = self._shaped(df, BATCH_TABLES[name])
+            path = f"{self._path(name)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
+            if name == "FactSales":
+                # Rebalancing splits a hot month over several files and merges small ones.
+                shaped = shaped.withColumn(MONTH, month_of_key(F.col("DateKey"))).hint("rebalance", MONTH)
+                shaped.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+            else:
+                shaped.write.mode("overwrite").parquet(path)
+        self._publish(pointer, attempt)
 
     def put_snapshot(self, name: str, df: DataFrame) -> None:
         """Replace the ``DateKey`` partitions present in ``df``; other dates survive."""
@@ -108,8 +141,19 @@ class Warehouse:
         return f"{self._path(name)}/data/v{version:06d}"
 
     def _version(self, name: str) -> int:
-        published = self._scan(f"{self._path(name)}/published", _VERSION)
-        return published.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return self._pointed(f"{self._path(name)}/published")
+
+    def _publish(self, pointer: str, number: int) -> None:
+        """Add a row that names a version; the largest counts.  Of old rows there are few: each is a file of its own."""
+        self.spark.range(1).select(F.lit(number).alias("version")).write.mode("append").parquet(pointer)
+
+    def _pointed(self, pointer: str) -> int:
+        return self._scan(pointer, _VERSION).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def _published(self, name: str) -> DataFrame:
+        """Batch and attempt of every published batch that has this table."""
+        pointers = self._scan(f"{self.root}/batches/*{name}*", StructType([*_VERSION.fields, StructField(BATCH, StringType())]))
+        return pointers.groupBy(BATCH).agg(F.max("version").alias(ATTEMPT))
 
     def _scan(self, path: str, schema: StructType) -> DataFrame:
         try:
@@ -126,7 +170,7 @@ class Warehouse:
 
     @staticmethod
     def _batch_schema(name: str) -> StructType:
-        partitions = [StructField(BATCH, StringType())]
+        partitions = [StructField(BATCH, StringType()), StructField(ATTEMPT, IntegerType())]
         if name == "FactSales":
             partitions.append(StructField(MONTH, IntegerType()))
         return StructType([*BATCH_TABLES[name].fields, *partitions])

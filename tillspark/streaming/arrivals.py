@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tillspark.plans.sales_load import load_sales, marked_processed
+from tillspark.plans.sales_load import load_sales, marked_processed, unreadable_lines
 from tillspark.schemas import SALES_EXTRACT
-from tillspark.sources.extracts import SALES_FILES, as_sales_raw, stream_extract
+from tillspark.sources.extracts import CORRUPT, SALES_FILES, CorruptExtractError, as_sales_raw, read_files, stream_files
 from tillspark.sources.warehouse import Warehouse
 
 
@@ -26,15 +27,27 @@ def load_arrivals(
     The checkpoint remembers the files.  A micro-batch that is replayed after a
     failure writes the same batch folder again, and lines loaded by earlier
     batches are left out.  A new checkpoint needs a new ``stream_name``.
+
+    Columns are found by name.  Lines that do not fit the schema stop the
+    batch before anything of it is loaded; ``reject_invalid`` logs them as
+    rejects, with their text, and loads the others.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        staged = warehouse.replace("SalesRaw", as_sales_raw(batch))
-        load_sales(warehouse, staged, as_of, f"{stream_name}-{epoch:08d}", reject_invalid)
+        files = sorted(r["path"] for r in batch.collect())
+        # Written once, so that good and corrupt lines come from the same read.
+        lines = warehouse.staged(f"Arrivals-{stream_name}", read_files(warehouse.spark, files, SALES_EXTRACT))
+        corrupt = lines.filter(F.col(CORRUPT).isNotNull())
+        unreadable = corrupt.count()
+        if unreadable and not reject_invalid:
+            raise CorruptExtractError(f"{unreadable} lines do not fit the schema, for example {corrupt.first()[CORRUPT]}")
+        staged = warehouse.replace("SalesRaw", as_sales_raw(lines.filter(F.col(CORRUPT).isNull())))
+        more = unreadable_lines(corrupt, CORRUPT, as_of) if unreadable else None
+        load_sales(warehouse, staged, as_of, f"{stream_name}-{epoch:08d}", reject_invalid, more)
         warehouse.replace("SalesRaw", marked_processed(staged, as_of))
 
     query = (
-        stream_extract(warehouse.spark, folder, pattern, SALES_EXTRACT)
+        stream_files(warehouse.spark, folder, pattern)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
