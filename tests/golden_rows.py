@@ -31,14 +31,14 @@ STORES = [
     ("STR005", "New York", "Northeast", "NY", "New York", "Physical", "2017-11-01"),
 ]
 PRODUCTS = [
-    ("PRD001", "Speaker", "Electronics", "Audio", "SoundMax", "45.00", "129.99", "65.38"),
-    ("PRD002", "Coffee Maker", "Appliances", "Kitchen", "BrewCo", "28.00", "79.99", "65.00"),
-    ("PRD003", "Running Shoes", "Footwear", "Athletic", "StridePro", "32.00", "89.99", "64.44"),
-    ("PRD004", "Home Hub", "Electronics", "Smart Home", "NexaTech", "60.00", "199.99", "70.00"),
-    ("PRD005", "Skincare Set", "Beauty", "Skincare", "GlowNatural", "18.00", "54.99", "67.27"),
-    ("PRD006", "Yoga Mat", "Fitness", "Yoga", "ZenFlex", "12.00", "39.99", "69.99"),
-    ("PRD007", "Action Camera", "Electronics", "Camera", "SnapVision", "75.00", "249.99", "70.00"),
-    ("PRD008", "Water Bottle", "Home", "Kitchen", "HydraMax", "8.00", "29.99", "73.32"),
+    ("PRD001", "UltraSound Speaker Pro", "Electronics", "Audio", "SoundMax", "45.00", "129.99", "65.38"),
+    ("PRD002", "EcoBlend Coffee Maker", "Appliances", "Kitchen", "BrewCo", "28.00", "79.99", "65.00"),
+    ("PRD003", "ActiveFit Running Shoes", "Footwear", "Athletic", "StridePro", "32.00", "89.99", "64.44"),
+    ("PRD004", "SmartHome Hub v3", "Electronics", "Smart Home", "NexaTech", "60.00", "199.99", "70.00"),
+    ("PRD005", "OrganicBliss Skincare Set", "Beauty", "Skincare", "GlowNatural", "18.00", "54.99", "67.27"),
+    ("PRD006", "Premium Yoga Mat", "Fitness", "Yoga", "ZenFlex", "12.00", "39.99", "69.99"),
+    ("PRD007", "4K Action Camera", "Electronics", "Camera", "SnapVision", "75.00", "249.99", "70.00"),
+    ("PRD008", "Stainless Steel Water Bottle", "Home", "Kitchen", "HydraMax", "8.00", "29.99", "73.32"),
 ]
 CUSTOMERS = [
     ("CUST001", "Emma", "Johnson", "Premium", "South", "TX", "Houston", "2021-05-10", "0.1200", "Low"),

@@ -382,19 +382,25 @@ QUERIES = {
         WHERE Outcome NOT IN ('loaded', 'rejected', 'already loaded') GROUP BY Outcome
     """,
     "processed_marks": f"SELECT true AS ProcessedFlag, {AS_OF} AS ProcessedDate, count(*) AS SalesLines FROM raw",
-    "orphan_check": """
-        SELECT 'CustomerKey' AS ForeignKey, 'DimCustomer' AS Dimension, count(DISTINCT CustomerKey) AS OrphanKeys,
-               count(*) AS OrphanRows
-        FROM fact WHERE CustomerKey NOT IN (SELECT CustomerKey FROM customers WHERE IsActive)
-        UNION ALL
-        SELECT 'DateKey', 'DimDate', count(DISTINCT DateKey), count(*)
-        FROM fact WHERE OrderDate NOT BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'
-        UNION ALL
-        SELECT 'ProductKey', 'DimProduct', count(DISTINCT ProductKey), count(*)
-        FROM fact WHERE ProductKey NOT IN (SELECT ProductKey FROM products)
-        UNION ALL
-        SELECT 'StoreKey', 'DimStore', count(DISTINCT StoreKey), count(*)
-        FROM fact WHERE StoreKey NOT IN (SELECT StoreKey FROM stores WHERE StoreType <> 'Outlet')
+    "orphan_check": f"""
+        , uses AS (SELECT 'FactSales' AS FactTable, CustomerKey, ProductKey, StoreKey, DateKey FROM fact
+                   UNION ALL SELECT 'FactInventory', NULL, ProductKey, StoreKey, DateKey FROM snapshots
+                   UNION ALL SELECT 'FactCustomerActivity', CustomerKey, NULL, NULL, {key(AS_OF)} FROM activity),
+          k AS (SELECT FactTable, 'CustomerKey' AS ForeignKey, 'DimCustomer' AS Dimension, CustomerKey AS k,
+                       CustomerKey IN (SELECT CustomerKey FROM customers WHERE IsActive) AS known FROM uses
+                UNION ALL SELECT FactTable, 'ProductKey', 'DimProduct', ProductKey,
+                       ProductKey IN (SELECT ProductKey FROM products) FROM uses
+                UNION ALL SELECT FactTable, 'StoreKey', 'DimStore', StoreKey,
+                       StoreKey IN (SELECT StoreKey FROM stores WHERE StoreType <> 'Outlet') FROM uses
+                UNION ALL SELECT FactTable, 'DateKey', 'DimDate', DateKey, DateKey BETWEEN 19960101 AND 20001231 FROM uses)
+        SELECT FactTable, ForeignKey, Dimension, count(DISTINCT k) FILTER (NOT known) AS OrphanKeys,
+               count(*) FILTER (NOT known) AS OrphanRows
+        FROM k WHERE k IS NOT NULL GROUP BY ALL
+    """,
+    "product_margins": """
+        SELECT ProductID, CAST(CASE WHEN UnitPrice > 0 THEN round((UnitPrice - UnitCost) * 100 / UnitPrice, 2) ELSE 0 END
+                               AS DOUBLE) AS GrossMarginPct
+        FROM products
     """,
     "duplicate_keys": """
         SELECT 'DimCustomer' AS TableName, CustomerID AS KeyValue, count(*) AS Copies
@@ -415,6 +421,13 @@ QUERIES = {
         UNION ALL SELECT 'FactSales', 'CustomerKey', count(*) FILTER (CustomerKey IS NULL) FROM fact
         UNION ALL SELECT 'FactSales', 'ProductKey', count(*) FILTER (ProductKey IS NULL) FROM fact
         UNION ALL SELECT 'FactSales', 'StoreKey', count(*) FILTER (StoreKey IS NULL) FROM fact
+        UNION ALL SELECT 'DimDate', 'FullDate', count(*) FILTER (FullDate IS NULL) FROM calendar
+        UNION ALL SELECT 'FactInventory', 'DateKey', count(*) FILTER (DateKey IS NULL) FROM snapshots
+        UNION ALL SELECT 'FactInventory', 'ProductKey', count(*) FILTER (ProductKey IS NULL) FROM snapshots
+        UNION ALL SELECT 'FactInventory', 'StoreKey', count(*) FILTER (StoreKey IS NULL) FROM snapshots
+        UNION ALL SELECT 'FactCustomerActivity', 'CustomerKey', count(*) FILTER (CustomerKey IS NULL) FROM activity
+        UNION ALL SELECT 'FactCustomerActivity', 'DateKey', 0
+        UNION ALL SELECT 'AIInsights', 'InsightDate', count(*) FILTER (InsightDate IS NULL) FROM narratives
         UNION ALL SELECT 'SalesRaw', 'OrderID', count(*) FILTER (OrderID IS NULL) FROM raw
         UNION ALL SELECT 'SalesRaw', 'Quantity', count(*) FILTER (Quantity IS NULL) FROM raw
         UNION ALL SELECT 'SalesRaw', 'UnitPrice', count(*) FILTER (UnitPrice IS NULL) FROM raw

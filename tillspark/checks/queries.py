@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -86,10 +87,10 @@ def sales_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Over stored activity and inventory, as the day's run has them."""
     t = SampleTables(spark, folder)
-    today = inventory.inventory_snapshot(t.stock, t.products, t.stores, _window_sales(t), t.as_of)
-    stock = inventory.inventory_intelligence(today, t.products, t.stores, t.dates)
-    return comparable(sales.kpi_summary(_month_sales(t), t.scored_customers, _dashboard(t), stock, t.as_of))
+    board = customers.churn_dashboard(t.scored_customers, _stored_activity(t))
+    return comparable(sales.kpi_summary(_month_sales(t), t.scored_customers, board, _intelligence(t), t.as_of))
 
 
 @query
@@ -137,17 +138,18 @@ def target_attainment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def region_security(spark: SparkSession, folder: str) -> DataFrame:
-    """Regional sales as three principals see them."""
+    """Regional sales as three principals see them; sales are summed per store once for all."""
     t = SampleTables(spark, folder)
 
     def seen_by(principal: str, role: str) -> DataFrame:
-        stores = access.visible_to(t.stores, t.user_regions, principal, role).select("StoreKey", "Region", "State")
-        totals = _daily_sales(t).groupBy("StoreKey").agg(F.sum("NetSales").alias("NetSales"))
-        by_state = totals.join(stores, "StoreKey").groupBy("Region", "State").agg(F.sum("NetSales").alias("NetSales"))
-        return by_state.withColumn("Principal", F.lit(principal))
+        stores = access.visible_to(t.stores, t.user_regions, principal, role)
+        return stores.select("StoreKey", "Region", "State", F.lit(principal).alias("Principal"))
 
     seen = seen_by(MANAGER, "RegionManagers").unionByName(seen_by("nobody@stores.example", "StoreManagers"))
-    return comparable(seen.unionByName(seen_by("chief@stores.example", "Executives")))
+    seen = seen.unionByName(seen_by("chief@stores.example", "Executives"))
+    totals = _daily_sales(t).groupBy("StoreKey").agg(F.sum("NetSales").alias("NetSales"))
+    by_state = totals.join(seen, "StoreKey").groupBy("Principal", "Region", "State")
+    return comparable(by_state.agg(F.sum("NetSales").alias("NetSales")))
 
 
 # --- sales load -------------------------------------------------------------
@@ -195,7 +197,21 @@ def orphan_check(spark: SparkSession, folder: str) -> DataFrame:
         "DimProduct": t.products,
         "DimStore": t.stores.filter(F.col("StoreType") != "Outlet"),
     }
-    return checks.orphans(t.all_sales, dims, S.SALES_FOREIGN_KEYS)
+    facts = {
+        "FactSales": (t.all_sales, S.SALES_FOREIGN_KEYS),
+        "FactInventory": (_inventory(t), S.INVENTORY_FOREIGN_KEYS),
+        "FactCustomerActivity": (_stored_activity(t), S.ACTIVITY_FOREIGN_KEYS),
+    }
+    parts = [checks.orphans(fact, dims, keys).withColumn("FactTable", F.lit(name)) for name, (fact, keys) in facts.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def product_margins(spark: SparkSession, folder: str) -> DataFrame:
+    """Margins that the warehouse computed when the products were written."""
+    t = SampleTables(spark, folder)
+    written = _stored(spark, folder, "products").replace("DimProduct", t.products.drop("GrossMarginPct").withColumn("GrossMarginPct", F.lit(None)))
+    return comparable(written.select("ProductID", "GrossMarginPct"))
 
 
 @query
@@ -213,6 +229,10 @@ def null_check(spark: SparkSession, folder: str) -> DataFrame:
         "DimProduct": t.products,
         "DimStore": t.stores,
         "FactSales": t.all_sales,
+        "DimDate": t.dates,
+        "FactInventory": _inventory(t),
+        "FactCustomerActivity": _stored_activity(t),
+        "AIInsights": t.insights,
         "SalesRaw": t.sales_raw,
     }
     required = {**S.REQUIRED_COLUMNS, "SalesRaw": ["OrderID", "Quantity", "UnitPrice", "Discount", "ReturnFlag"]}

@@ -14,13 +14,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tillspark import schemas as S
 from tillspark.functions.dates import month_of_key
+from tillspark.functions.money import unit_margin_percent
 from tillspark.operators.joins import if_small
+from tillspark.operators.updates import require_unique
 
 BATCH, ATTEMPT, MONTH = "BatchID", "Attempt", "SaleMonth"
 
@@ -46,6 +48,14 @@ BATCH_TABLES: dict[str, StructType] = {
 }
 SNAPSHOT_TABLES: dict[str, StructType] = {"FactInventory": S.FACT_INVENTORY}
 
+
+
+def _computed() -> dict[str, Column]:
+    return {"GrossMarginPct": unit_margin_percent(F.col("UnitPrice"), F.col("UnitCost"))}
+
+
+COMPUTED = {"DimProduct": _computed}
+
 _VERSION = StructType([StructField("version", IntegerType())])
 
 
@@ -79,14 +89,18 @@ class Warehouse:
     def replace(self, name: str, df: DataFrame, check: Callable[[], None] | None = None) -> DataFrame:
         """Replace a whole table; ``df`` may be computed from its current version.
 
-        ``check`` runs when the version is written and before it is published;
-        what it raises leaves the current version in place.  A table has one
-        writer at a time.
+        Computed columns get their values here, whatever the caller gave.  A
+        dimension with a doubled business key is not published.  ``check`` runs
+        when the version is written and before it is published; what it raises
+        leaves the current version in place.  A table has one writer at a time.
         """
         version = self._version(name) + 1
-        self._shaped(df, TABLES[name]).write.mode("overwrite").parquet(self._version_path(name, version))
+        computed = df.withColumns(COMPUTED[name]()) if name in COMPUTED else df
+        self._shaped(computed, TABLES[name]).write.mode("overwrite").parquet(self._version_path(name, version))
         if check is not None:
             check()
+        if name in S.BUSINESS_KEYS:
+            require_unique(self._scan(self._version_path(name, version), TABLES[name]), S.BUSINESS_KEYS[name])
         self._publish(f"{self._path(name)}/published", version)
         return self.read(name)
 
