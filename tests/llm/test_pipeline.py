@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -56,3 +57,20 @@ def test_run_applies_all_stages(spark, folder):
 def test_every_operator_is_registered():
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables are missing")
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    for table in ("documents", "pages", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    result = queries.QUERIES[name](spark, FOLDER)
+    answer = connection.execute(queries.ORACLE_SQL[name])
+    assert sorted(d[0] for d in answer.description) == sorted(result.columns)
+    found = result.select(*[d[0] for d in answer.description]).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(answer.fetchall(), key=str)

@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.llm import decontaminate, hmm, host_reputation, language_id, licences, mixing, repeats, set_join, warc, weak_rules
+from tillspark.llm.oracle import ORACLE_SQL, URL_RULES
 from tillspark.llm.tables import new_folder, table
 
-#: The url rules of the query.
-URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identified(table(spark, folder, "documents"))
@@ -76,6 +74,8 @@ def op10_set_join(spark: SparkSession, folder: str) -> DataFrame:
     return set_join.linked(table(spark, folder, "documents"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -88,5 +88,3 @@ QUERIES = {
     "op9_repeats": op9_repeats,
     "op10_set_join": op10_set_join,
 }
-
-ORACLE_SQL: dict[str, str] = {}
