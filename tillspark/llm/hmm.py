@@ -272,19 +272,26 @@ def _expected(batches: Iterator[pa.RecordBatch], model: Model, symbols: Symbols)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["place", "value"])
 
 
-def train(texts: DataFrame, symbols: Symbols, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Train on a column ``text``; without texts, the model that knows nothing."""
+def sampled(texts: DataFrame, n: int) -> pa.Table:
+    """About SAMPLE_TEXTS of n rows (id, text), chosen by hash, and never more than twice as many."""
+    chance = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < SAMPLE_TEXTS / max(n, 1) * (1 << 30)
+    return texts.filter(chance).limit(2 * SAMPLE_TEXTS).select("text").toArrow().sort_by("text")
+
+
+def train(texts: DataFrame, n: int, symbols: Symbols, states: int = STATES, rounds: int = ROUNDS) -> Model:
+    """Train on n rows (id, text); without texts, the model that knows nothing."""
     model = first_model(symbols, states)
-    sample = texts.orderBy(F.xxhash64("text"), F.length("text")).limit(SAMPLE_TEXTS).select("text").toArrow()
+    sample = sampled(texts, n)
     if sample.num_rows:
         sequence, first, *_ = sequences(sample.column("text").combine_chunks(), symbols)
         upto = max(1, int(np.searchsorted(first, SAMPLE_TOKENS, "right")) - 1)
         stretches = segments(sequence[: first[upto]], first[: upto + 1])
         for _ in range(SAMPLE_ROUNDS):
             model = improved(*baum_welch(model, *stretches))
+    if n:
         k = states
         for _ in range(rounds):
-            sums = texts.mapInArrow(partial(_expected, model=model, symbols=symbols), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+            sums = texts.select("text").mapInArrow(partial(_expected, model=model, symbols=symbols), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
             total = np.zeros(k + k * k + symbols.n * k)
             total[sums.column("place").to_numpy()] = sums.column("value").to_numpy()
             model = improved(total[:k], total[k : k + k * k].reshape(k, k), total[k + k * k :].reshape(-1, k))
@@ -355,8 +362,8 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
     counted = read.groupBy("block").applyInArrow(lambda own: _count(own, parts), _ddl(COUNTED))
     totals = stored(counted.groupBy("part").applyInArrow(_total, _ddl(TOTALS)), "word-totals")
     symbols, words, different = _symbols(totals)
-    learn = table.filter("learn").select(F.coalesce("text", F.lit("")).alias("text"))
-    model = train(learn, symbols)
+    learn = table.filter("learn").select("id", F.coalesce("text", F.lit("")).alias("text"))
+    model = train(learn, ends, symbols)
 
     n, v = words + ends, different + (ends > 0)
 
