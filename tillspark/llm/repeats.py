@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ EXACT_WINDOWS = 1 << 19
 NO_ID = np.iinfo(np.int64).min
 REQUEST = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("id", pa.binary()), ("row", pa.binary()), ("start", pa.binary())])
 COUNTS = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("once", pa.binary()), ("twice", pa.binary())])
-ANSWER = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("once", pa.binary())])
+ANSWER = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("repeated", pa.binary())])
 PLACES = pa.schema([("block", pa.int64()), ("row", pa.binary()), ("start", pa.binary())])
 
 
@@ -65,8 +66,9 @@ def block_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def counters(hashes: np.ndarray, width: int) -> list[np.ndarray]:
-    """A window's counter in each row of the sketch, numbered through all rows."""
-    return [mix(hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k)) % np.uint64(width) + np.uint64(k * width) for k in range(DEPTH)]
+    """A window's counter in each row of the sketch, numbered through all rows; every row begins a range of its own."""
+    row = -(-width >> RANGE_BITS) + 1 << RANGE_BITS
+    return [mix(hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k)) % np.uint64(width) + np.uint64(k * row) for k in range(DEPTH)]
 
 
 def count(table: pa.Table, width: int) -> pa.Table:
@@ -89,7 +91,7 @@ def count(table: pa.Table, width: int) -> pa.Table:
 
 
 def merge(table: pa.Table) -> pa.Table:
-    """Add up one range of counters over all blocks; answer each block with those of its counters that reach two."""
+    """Add up one range of counters over all blocks; answer each block with a bit for each of its counters: it reaches two."""
     hit = np.zeros(1 << RANGE_BITS, np.uint8)
     for column in ("once", "twice"):
         for data in table.column(column).to_pylist():
@@ -97,16 +99,20 @@ def merge(table: pa.Table) -> pa.Table:
             hit[cells] = np.minimum(hit[cells] + 1, 2)
     rows = []
     for part, block, data in zip(*(table.column(c).to_pylist() for c in ("part", "block", "once")), strict=True):
-        cells = unpacked(data, np.uint32)
-        rows.append((part, block, packed(cells[hit[cells] > 1])))
+        bits = np.packbits(hit[unpacked(data, np.uint32)] > 1)
+        rows.append((part, block, zstandard.ZstdCompressor(level=1).compress(bits.tobytes())))
     return rows_of(ANSWER, rows)
 
 
-def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Mask of the values that occur in ``known``, which is sorted."""
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+def estimated_repeated(cells: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
+    """Mask of the windows whose counters, given in any order, reach two by the answers for their ranges."""
+    kinds, index = np.unique(cells, return_inverse=True)
+    parts, sizes = np.unique(kinds >> np.uint64(RANGE_BITS), return_counts=True)
+    flags = [np.zeros(0, np.uint8)]
+    for part, size in zip(parts.tolist(), sizes.tolist(), strict=True):
+        bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(answers[part]), np.uint8)
+        flags.append(np.unpackbits(bits, count=size))
+    return np.concatenate(flags)[index] > 0
 
 
 def later(a: np.ndarray, b: np.ndarray, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,12 +135,10 @@ def ask(table: pa.Table, answers: pa.Table, width: int, parts: int) -> pa.Table:
         return rows_of(REQUEST, [])
     block = table.column("block")[0].as_py()
     a, b, row, start = block_windows(table)
-    known = zip(answers.column("part").to_pylist(), answers.column("once").to_pylist(), strict=True)
-    repeated = [unpacked(d, np.uint32).astype(np.uint64) + np.uint64(p << RANGE_BITS) for p, d in known]
-    repeated = np.sort(np.concatenate(repeated or [np.zeros(0, np.uint64)]))
+    known = dict(zip(answers.column("part").to_pylist(), answers.column("repeated").to_pylist(), strict=True))
     keep = np.ones(len(a), bool)
     for cells in counters(a, width):
-        keep &= among(cells, repeated)
+        keep &= estimated_repeated(cells, known)
     a, b, row, start = a[keep], b[keep], row[keep], start[keep]
     ids = table.column("id").fill_null(int(NO_ID)).to_numpy()[row]
     order, settled = later(a, b, ids, start)
