@@ -30,6 +30,8 @@ WEIGHTS = (5, 2, 1)
 #: The times that any document may be taken.
 MOST = 3
 BLOCK_WORDS, SHARD_SLOTS, SEED = 64, 4096, 20
+#: Slots that a task makes, about.
+TASK_SLOTS = 200_000
 #: Rounds of the index permutation.
 ROUNDS = 12
 #: Numbers under one join cell of the draw.
@@ -150,7 +152,9 @@ def slots(sources: DataFrame) -> DataFrame:
     by_root = lambda n: F.floor(F.col("shard") / max(1, math.isqrt(n)))
     counts = stored(running(counts, ["number"], ["shard"], "n", "start", shards, by_root(shards)), "slot-counts")
     counts = counts.withColumn("own", F.greatest(F.least(F.col("n"), F.col("draws") - F.col("start")), F.lit(0)))
-    own = counts.filter("own > 0").select("shard", "number", "n_blocks", _each("start", "own").alias("draw"))
+    # The counts are few rows, each of which becomes many slots: deal them out by what they become.
+    dealt = counts.filter("own > 0").repartition(-(-total // TASK_SLOTS), "shard", "number")
+    own = dealt.select("shard", "number", "n_blocks", _each("start", "own").alias("draw"))
 
     freed = counts.groupBy("shard").agg(F.sum(F.col("n") - F.col("own")).alias("free")).filter("free > 0")
     freed = running(freed, [], ["shard"], "free", "first", shards, by_root(shards))
