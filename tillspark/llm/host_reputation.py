@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillspark.llm.tables import stored
+
 #: Suffixes of two labels under which domains are registered.
 TWO_LABEL_SUFFIXES = ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "org.au", "org.uk"]
 
@@ -81,7 +83,9 @@ def reputations(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     judged = pages.select("page_id", host(F.col("url")).alias("host")).join(known, F.col("page_id") == F.col("_id"), "left")
     hosts = judged.groupBy("host").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("double").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0.0)).alias("bad")
-    ).withColumns({"domain": domain(F.col("host")), "suffix": suffix(F.col("host"))})
+    )
+    # Every level is summed from the hosts, several times over: the pages are read once.
+    hosts = stored(hosts.withColumns({"domain": domain(F.col("host")), "suffix": suffix(F.col("host"))}), "hosts")
 
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     total = hosts.agg(*sums).first()
@@ -129,6 +133,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: DataFrame, limit: float
     """
     rated = reputations(pages, outcomes)
     by_host = rated.join(rules_by_host(rated.select("host"), rules), "host", "left").select("host", "rate", "lower", "rules")
+    # Written, so that pages meet it in a join of its own, whose hot hosts the adaptive planner can split.
+    by_host = stored(by_host, "host-reputations")
     rows = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     fit = F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"]))
     return (
