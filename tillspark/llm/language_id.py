@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from tillspark.llm.words import mix, pieces, word_hashes, words_of
 
 MAX_PIECE, MAX_WORD = 10, 28
-ROUNDS = 2
+#: Rounds over a sample of about so many training texts, chosen by hash, and then over all of them.
+SAMPLE_TEXTS, SAMPLE_ROUNDS, ROUNDS = 20_000, 2, 1
 #: Pseudo-count of every piece in every language.
 SMOOTH = 0.05
 #: Different words that a task keeps at a time.
@@ -213,20 +214,27 @@ def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
     yield pa.RecordBatch.from_arrays([pa.array(language, pa.int32()), pa.array(at, pa.int32()), pa.array(uses[at, language])], ["language", "piece", "uses"])
 
 
-def train(docs: DataFrame, vocabulary: list[bytes], rounds: int = ROUNDS) -> Model:
+def train(docs: DataFrame, vocabulary: list[bytes], sample_texts: int = SAMPLE_TEXTS) -> Model:
     """Train on documents (text, lang); rows with a null in either teach nothing.
 
-    The driver holds one number per piece and language.
+    The first rounds, which only lead from equal chances to likely ones, see a
+    sample; the last one counts all texts.  The driver holds one number per
+    piece and language.
     """
     rows = docs.select("text", "lang").dropna()
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    texts_of = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(texts_of)
     model = Model(languages, vocabulary, np.full((len(vocabulary), len(languages)), 1 / len(vocabulary)))
     if not languages:
         return model
     number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
+    # Every language has its part of the sample, and all of its texts if they are few.
+    wanted = sample_texts / len(languages)
+    chance = F.element_at(F.array(*[F.lit(wanted / texts_of[g]) for g in languages]), (F.col("language") + 1))
     rows = rows.select("text", number.cast("int").alias("language"))
-    for _ in range(rounds):
-        uses = rows.mapInArrow(partial(_expected, model=model), "language int, piece int, uses double")
+    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < chance * (1 << 20))
+    for texts in [sample] * SAMPLE_ROUNDS + [rows] * ROUNDS:
+        uses = texts.mapInArrow(partial(_expected, model=model), "language int, piece int, uses double")
         sums = uses.groupBy("language", "piece").agg(F.sum("uses").alias("uses")).toArrow()
         table = np.full(model.chances.shape, SMOOTH)
         table[sums.column("piece").to_numpy(), sums.column("language").to_numpy()] += sums.column("uses").to_numpy()
