@@ -185,6 +185,7 @@ def test_a_day_can_be_run_twice(spark, golden, golden_warehouse, landing, tmp_pa
     expected = {
         "SalesRaw": 11, "CustomerRaw": 8, "InventoryRaw": 2, "DimCustomer": 8, "FactSales": 11, "SalesRejects": 0,
         "FactCustomerActivity": 8, "ChurnScores": 8, "FactInventory": 2, "AIInsights": 4,
+        "ModelEvaluation": 0, "ModelImportance": len(churn_model.MODEL_FEATURES), "ScoreProfile": 1, "ScorePreview": 8,
     }
     assert run() == expected
     assert run() == expected
@@ -206,6 +207,18 @@ def test_a_day_can_be_run_twice(spark, golden, golden_warehouse, landing, tmp_pa
     assert spark.sql("SELECT * FROM vw_ChurnRiskDashboard").count() == 8
 
 
+def test_an_area_that_fails_leaves_the_others(golden_warehouse, golden):
+    golden_warehouse.put_batch("FactSales", golden.fact, "first")
+
+    def write_texts(prompts):
+        if prompts.first().InsightArea == "Churn":
+            raise RuntimeError("no answer")
+        return prompts.selectExpr("InsightArea", "'text' AS InsightText")
+
+    assert daily.refresh_insights(golden_warehouse, AS_OF, "b", write_texts) == ["Churn"]
+    assert sorted(r.InsightArea for r in golden_warehouse.read("AIInsights").collect()) == ["Inventory", "Overall", "Revenue"]
+
+
 def test_corrupt_lines_stop_the_day(golden_warehouse, landing, tmp_path):
     write_sales(tmp_path / "landing", "sales_bad.csv", "A,1,CUST001,PRD001,STR001,2026-03-03,many,10.00,0,0")
     with pytest.raises(extracts.CorruptExtractError, match="1 lines"):

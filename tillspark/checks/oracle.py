@@ -585,6 +585,10 @@ QUERIES = {
         UNION ALL SELECT 'ChurnScores', n FROM active
         UNION ALL SELECT 'FactInventory', count(*) FROM stock
         UNION ALL SELECT 'AIInsights', 4
+        UNION ALL SELECT 'ModelEvaluation', 2
+        UNION ALL SELECT 'ModelImportance', 10
+        UNION ALL SELECT 'ScoreProfile', 1
+        UNION ALL SELECT 'ScorePreview', least(20, n) FROM active
     """,
 }
 

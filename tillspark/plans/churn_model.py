@@ -199,14 +199,21 @@ def score_preview(scores: DataFrame, n: int = V.PREVIEW_ROWS) -> DataFrame:
     )
 
 
-def train_or_load(prepared: DataFrame, path: str, exclude: list[str] | None = None) -> PipelineModel:
-    """The model saved under ``path``; trained on the training rows and saved when there is none."""
-    spark = prepared.sparkSession
+def is_saved(spark: SparkSession, path: str) -> bool:
+    """Whether a whole model lies under ``path``."""
     try:
         spark.read.text(f"{path}/saved")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return False
+    return True
+
+
+def train_or_load(prepared: DataFrame, path: str, exclude: list[str] | None = None) -> PipelineModel:
+    """The model saved under ``path``; trained on the training rows and saved when there is none."""
+    spark = prepared.sparkSession
+    if not is_saved(spark, path):
         log.info("training a new model for %s", path)
         model = train(split_by_label(prepared)[0], exclude)
         model.write().overwrite().save(f"{path}/model")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark import schemas as S
+from tillspark.fixed_values import INSIGHT_AREAS
 from tillspark.operators.joins import scanned_bytes
 from tillspark.operators.updates import require_unique
 from tillspark.plans import churn_model, customers, insights, inventory, sales, sales_load, views
@@ -17,6 +19,8 @@ from tillspark.session import size_shuffles
 from tillspark.sources import extracts
 from tillspark.sources.warehouse import BATCH, Warehouse
 
+log = logging.getLogger(__name__)
+
 
 def copy_extracts(warehouse: Warehouse, landing: str, keep_corrupt: bool = False) -> None:
     """Replace the three staging tables with the extracts of the landing folder.
@@ -56,13 +60,27 @@ def refresh_activity(warehouse: Warehouse, as_of: dt.date) -> DataFrame:
 
 
 def refresh_scores(warehouse: Warehouse, as_of: dt.date, model_path: str) -> DataFrame:
-    """Score all active customers and apply the scores to the dimension."""
+    """Score all active customers and apply the scores to the dimension.
+
+    A model that is trained here is evaluated on the test rows; profile and
+    preview are those of the new scores.
+    """
     dim = warehouse.read("DimCustomer")
     features = churn_model.load_features(dim, warehouse.read("FactCustomerActivity"), as_of)
     prepared = churn_model.prepare_features(features)
+    known = churn_model.is_saved(warehouse.spark, model_path)
     model = churn_model.train_or_load(prepared, model_path)
+    if not known:
+        test = churn_model.split_by_label(prepared)[1]
+        if model.stages[-1].numClasses < 2 or test.isEmpty():
+            log.warning("too few customers, or of one class only, to evaluate the model")
+        else:
+            warehouse.replace("ModelEvaluation", churn_model.evaluate(model, test))
+        warehouse.replace("ModelImportance", churn_model.feature_importance(model, warehouse.spark))
     scores = warehouse.replace("ChurnScores", churn_model.score(model, prepared, as_of))
     require_unique(scores, ["CustomerID"])
+    warehouse.replace("ScoreProfile", churn_model.score_profile(scores))
+    warehouse.replace("ScorePreview", churn_model.score_preview(scores))
     warehouse.replace("DimCustomer", customers.apply_churn_scores(dim, scores, as_of))
     return scores
 
@@ -89,6 +107,30 @@ def refresh_context(warehouse: Warehouse, as_of: dt.date) -> DataFrame:
     return warehouse.replace("KPIContext", context)
 
 
+def refresh_insights(
+    warehouse: Warehouse,
+    as_of: dt.date,
+    batch_id: str,
+    write_texts: Callable[[DataFrame], DataFrame],
+    model_version: str = "",
+) -> list[str]:
+    """Write and store the insights area by area; the areas whose texts could not be written are logged and returned."""
+    context = refresh_context(warehouse, as_of)
+    prompts = insights.insight_prompts(insights.area_list(warehouse.spark), context, as_of)
+    written, failed = [], []
+    for area in INSIGHT_AREAS:
+        try:
+            texts = write_texts(prompts.filter(F.col("InsightArea") == area))
+            rows = insights.as_insights(texts, context, model_version, as_of)
+            written.append(warehouse.staged(f"Insight-{area}", rows))
+        except Exception:
+            log.exception("no insight for %s", area)
+            failed.append(area)
+    if written:
+        insights.save_insights(warehouse, reduce(DataFrame.unionByName, written), batch_id)
+    return failed
+
+
 def run_day(
     warehouse: Warehouse,
     landing: str,
@@ -100,9 +142,12 @@ def run_day(
 ) -> DataFrame:
     """Run every step for ``as_of``; a failing step stops the day, and the day can be run again.
 
+    Only insights fail area by area: the others are stored.
+
     ``batch_id`` names this delivery and must differ between deliveries.
     Inventory runs after the sales load because it reads the sales fact.
-    ``write_texts`` turns prompts into texts; without it no insights are stored.
+    ``write_texts`` turns prompts into texts, one area at a time; without it no
+    insights are stored.
     """
     copy_extracts(warehouse, landing)
     size_shuffles(warehouse.spark, sum(scanned_bytes(warehouse.read(t)) for t in ("FactSales", "SalesRaw")))
@@ -114,10 +159,7 @@ def run_day(
     refresh_scores(warehouse, as_of, model_path)
     refresh_inventory(warehouse, as_of)
     if write_texts is not None:
-        context = refresh_context(warehouse, as_of)
-        prompts = insights.insight_prompts(insights.area_list(warehouse.spark), context, as_of)
-        texts = write_texts(prompts)
-        insights.save_insights(warehouse, insights.as_insights(texts, context, model_version, as_of), batch_id)
+        refresh_insights(warehouse, as_of, batch_id, write_texts, model_version)
     return day_report(warehouse, batch_id)
 
 
@@ -141,5 +183,9 @@ def day_report(warehouse: Warehouse, batch_id: str) -> DataFrame:
         "ChurnScores",
         "FactInventory",
         "AIInsights",
+        "ModelEvaluation",
+        "ModelImportance",
+        "ScoreProfile",
+        "ScorePreview",
     ]
     return reduce(DataFrame.unionByName, [rows(n) for n in names])

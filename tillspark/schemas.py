@@ -8,6 +8,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DecimalType,
+    DoubleType,
     IntegerType,
     LongType,
     StringType,
@@ -28,6 +29,7 @@ _TYPES = {
     "money": DecimalType(18, 6),
     "total": DecimalType(20, 2),
     "share": DecimalType(5, 4),
+    "float": DoubleType(),
 }
 
 
@@ -91,6 +93,10 @@ FACT_CUSTOMER_ACTIVITY = _schema(
 INSIGHTS = _schema(
     "InsightDate:date InsightArea:str InsightText:str KPIContext:str ModelVersion:str GeneratedAt:ts"
 )
+MODEL_EVALUATION = _schema("Class:int Precision:float Recall:float F1:float Support:long AUC:float")
+MODEL_IMPORTANCE = _schema("Feature:str Importance:float")
+SCORE_PROFILE = _schema("count:long mean:float std:float min:float p25:float p50:float p75:float max:float")
+SCORE_PREVIEW = _schema("CustomerID:str ChurnProbability:share ChurnRiskCategory:str ScoredDate:date")
 KPI_CONTEXT = _schema("KPIContext:str KPIText:str")
 
 # --- constraints ------------------------------------------------------------

@@ -40,6 +40,10 @@ TABLES: dict[str, StructType] = {
     "DimCustomer": S.DIM_CUSTOMER,
     "FactCustomerActivity": S.FACT_CUSTOMER_ACTIVITY,
     "KPIContext": S.KPI_CONTEXT,
+    "ModelEvaluation": S.MODEL_EVALUATION,
+    "ModelImportance": S.MODEL_IMPORTANCE,
+    "ScoreProfile": S.SCORE_PROFILE,
+    "ScorePreview": S.SCORE_PREVIEW,
 }
 BATCH_TABLES: dict[str, StructType] = {
     "FactSales": S.FACT_SALES,
