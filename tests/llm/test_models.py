@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -104,6 +105,24 @@ def test_chains_match_all_state_paths():
         assert np.abs(a - b).max() < 1e-5
 
 
+def test_every_round_of_training_sees_all_texts(spark):
+    rng, topics = random.Random(6), [["sun", "rain", "wind", "snow"], ["bread", "salt", "oil"], ["lute", "drum", "horn", "harp", "bell"]]
+    texts = [" ".join(rng.choice(topics[rng.randrange(3) if rng.random() < 0.1 else i % 3]) for _ in range(rng.randrange(10, 30))) for i in range(1500)]
+    _, hashes, _ = hmm.tokens(pa.array(texts))
+    symbols = hmm.Symbols(np.unique(hashes), np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES))
+    sequence, first, *_ = hmm.sequences(pa.array(texts), symbols)
+    model, before, calm = hmm.first_model(symbols, 3), -math.inf, 0
+    while calm < 3:
+        *counts, chance = hmm.expected_counts(model, *hmm.segments(sequence, first))
+        model = hmm.improved(*counts)
+        calm = calm + 1 if chance / len(sequence) - before < 1e-5 else 0
+        before = chance / len(sequence)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    got = hmm.train(rows, len(texts), symbols, 3)
+    assert np.abs(got.emit - model.emit).max() < 1e-3 and np.abs(got.move - model.move).max() < 1e-3
+    assert before == pytest.approx(hmm.log10_forward(model, sequence, first).sum() * math.log(10) / len(sequence), abs=1e-3)
+
+
 def test_base_scores_match_brute_force(docs, rows):
     fold = lambda d: -1 if d is None else zlib.crc32(str(d).encode()) % 7
     counts = Counter()

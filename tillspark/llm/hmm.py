@@ -9,10 +9,10 @@ model times the shares of its rarer words.
 
 Words are counted exactly: every block of documents sends its different words to
 the tasks for their ranges of hashes, and is answered with their counts.  Words
-are known by 64-bit hashes.  Baum-Welch starts from a bounded sample, since it
-needs many rounds to tell states apart; rounds over all training texts follow, in
-which each task sums expected counts and Spark adds them up.  There texts are cut
-into stretches of SEGMENT tokens.  Scoring cuts nothing: a scaled forward recursion
+are known by 64-bit hashes.  Every round of Baum-Welch covers all training texts,
+whose symbols are written once: each task sums expected counts, and Spark adds them
+up, until the likelihood settles.  There texts are cut into stretches of SEGMENT
+tokens.  Scoring cuts nothing: a scaled forward recursion
 runs over whole texts.
 """
 
@@ -31,14 +31,16 @@ from pyspark.sql import functions as F
 from tillspark.llm.blocks import in_blocks, packed, unpacked
 from tillspark.llm.language_id import remainder
 from tillspark.llm.tables import stored
-from tillspark.llm.words import mix, pieces, word_hashes, words_of
+from tillspark.llm.words import bytes_of, mix, pieces, word_hashes, words_of
 
 STATES = 8
 #: Words that are symbols of their own, and classes of endings for the others.
 TOP_WORDS, CLASSES = 2048, 512
 SEGMENT = 256
-#: Texts of the sample that training starts from, the most words of it, and rounds over it; rounds over all texts.
-SAMPLE_TEXTS, SAMPLE_TOKENS, SAMPLE_ROUNDS, ROUNDS = 600, 300_000, 25, 1
+#: Stretches that a task holds in memory at a time.
+TOGETHER = 2048
+#: Training ends when so many rounds in a row have each raised the log probability of a symbol by less: one alone may be a saddle.
+SETTLED, CALM = 1e-5, 3
 #: Tokens that every state is taken to have emitted besides, at the symbols' shares.
 SMOOTH = 100.0
 #: Different words that a task for a range of hashes counts, about.
@@ -208,39 +210,52 @@ def segments(sequence: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def baum_welch(model: Model, rows: np.ndarray, length: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected first states, moves and emissions of padded stretches, longest first."""
-    n, width = rows.shape
+    return expected_counts(model, rows, length, begins)[:3]
+
+
+def expected_counts(model: Model, rows: np.ndarray, length: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected first states, moves and emissions of padded stretches, longest first, and the log of their probability.
+
+    Emissions are divided by each symbol's scale on the way ahead, so that the
+    products of both ways are chances without further scaling.
+    """
     k = len(model.start)
-    move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
-    ahead = np.zeros((width, n, k), np.float32)
-    live = np.searchsorted(-length, -np.arange(width), "left")  # rows that are longer than t
+    starts, moves, emissions, chance = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.emit), k)), 0.0
     rest = (model.start @ np.linalg.matrix_power(model.move, 8)).astype(np.float32)
-    state = np.where(begins[:, None], model.start.astype(np.float32), rest)
-    for t in range(width):
-        m = live[t]
-        state = state[:m] * emit[rows[:m, t]]
-        state /= np.maximum(state.sum(axis=1, keepdims=True), 1e-30)
-        ahead[t, :m] = state
-        state = state @ move
-    emissions, moves = np.zeros((len(model.emit), k)), np.zeros((k, k))
-    back, ones = np.ones((n, k), np.float32), np.float32(1)
-    for t in range(width - 1, -1, -1):
-        m = live[t]
-        both = ahead[t, :m] * back[:m]
-        both /= np.maximum(both.sum(axis=1, keepdims=True), 1e-30)
-        ahead[t, :m] = both
-        if t:
-            seen = back[:m] * emit[rows[:m, t]]
-            before = ahead[t - 1, :m]
-            earlier = seen @ move.T
-            scale = ones / np.maximum((before * earlier).sum(axis=1, keepdims=True), 1e-30)
-            moves += (before * scale).T.astype(np.float64) @ seen
-            back[:m] = earlier / np.maximum(earlier.sum(axis=1, keepdims=True), 1e-30)
-    starts = ahead[0][begins].sum(axis=0).astype(np.float64)
-    mask = np.arange(width)[:, None] < length[None, :]
-    flat, seen = rows.T[mask], ahead[mask]
-    for j in range(k):
-        emissions[:, j] = np.bincount(flat, seen[:, j], len(emissions))
-    return starts, moves * model.move, emissions
+    first, emit = np.where(begins, model.start.astype(np.float32)[:, None], rest[:, None]), np.ascontiguousarray(model.emit.T, np.float32)
+    move, ones = model.move.astype(np.float32), np.ones(k, np.float32)
+    turned = np.ascontiguousarray(move.T)
+    for low in range(0, len(rows), TOGETHER):
+        own = length[low : low + TOGETHER]
+        n, width = len(own), int(own[0])
+        symbols = np.ascontiguousarray(rows[low : low + n, :width].T, np.intp)
+        live = np.searchsorted(-own, -np.arange(width), "left")  # rows that are longer than t
+        seen, ahead, scales = np.empty((width, k, n), np.float32), np.zeros((width, k, n), np.float32), np.ones((width, n), np.float32)
+        state = first[:, low : low + n]
+        for t in range(width):
+            m = live[t]
+            now, at, scale = ahead[t, :, :m], seen[t, :, :m], scales[t, :m]
+            np.take(emit, symbols[t, :m], axis=1, out=at, mode="clip")
+            np.multiply(state[:, :m], at, out=now)
+            np.maximum(ones @ now, np.float32(1e-30), out=scale)
+            now /= scale
+            at /= scale
+            state = turned @ now
+        chance += float(np.log(scales).sum(dtype=np.float64))
+        back = np.ones((k, n), np.float32)
+        for t in range(width - 1, 0, -1):
+            m = live[t]
+            ahead[t, :, :m] *= back[:, :m]
+            after = seen[t, :, :m]
+            after *= back[:, :m]
+            moves += ahead[t - 1, :, :m] @ after.T
+            back[:, :m] = move @ after
+        ahead[0] *= back
+        starts += ahead[0][:, begins[low : low + n]].sum(axis=1, dtype=np.float64)
+        flat = symbols.ravel()
+        for j in range(k):
+            emissions[:, j] += np.bincount(flat, ahead[:, j].ravel(), len(emissions))
+    return starts, moves * model.move, emissions, chance
 
 
 def improved(starts: np.ndarray, moves: np.ndarray, emissions: np.ndarray) -> Model:
@@ -260,41 +275,45 @@ def first_model(symbols: Symbols, states: int) -> Model:
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def _expected(batches: Iterator[pa.RecordBatch], model: Model, symbols: Symbols) -> Iterator[pa.RecordBatch]:
-    """Baum-Welch counts of a task's texts, as places and values of one vector."""
-    k = len(model.start)
-    total = np.zeros(k + k * k + symbols.n * k)
+def _encoded(batches: Iterator[pa.RecordBatch], symbols: Symbols) -> Iterator[pa.RecordBatch]:
+    """Symbols of every text, as numbers of two bytes."""
     for batch in batches:
         for piece in pieces(batch, "text", 1 << 20):
             sequence, first, *_ = sequences(piece.column("text"), symbols)
-            total += np.concatenate([x.ravel() for x in baum_welch(model, *segments(sequence, first))])
+            data = pa.py_buffer(sequence.astype(np.int16).tobytes())
+            column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, pa.py_buffer((2 * first).astype(np.int64).tobytes()), data])
+            yield pa.RecordBatch.from_arrays([column.cast(pa.binary())], ["symbols"])
+
+
+def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Baum-Welch counts of a task's texts and the log of their probability, as places and values of one vector."""
+    k = len(model.start)
+    total = np.zeros(k + k * k + len(model.emit) * k + 1)
+    for batch in batches:
+        for piece in pieces(batch, "symbols", 1 << 20):
+            buf, offsets = bytes_of(piece.column("symbols"))
+            found = expected_counts(model, *segments(buf.view(np.int16), offsets // 2))
+            total += np.concatenate([np.ravel(x) for x in found])
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["place", "value"])
 
 
-def sampled(texts: DataFrame, n: int) -> pa.Table:
-    """About SAMPLE_TEXTS of n rows (id, text), chosen by hash, and never more than twice as many."""
-    chance = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < SAMPLE_TEXTS / max(n, 1) * (1 << 30)
-    return texts.filter(chance).limit(2 * SAMPLE_TEXTS).select("text").toArrow().sort_by("text")
-
-
-def train(texts: DataFrame, n: int, symbols: Symbols, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Train on n rows (id, text); without texts, the model that knows nothing."""
-    model = first_model(symbols, states)
-    sample = sampled(texts, n)
-    if sample.num_rows:
-        sequence, first, *_ = sequences(sample.column("text").combine_chunks(), symbols)
-        upto = max(1, int(np.searchsorted(first, SAMPLE_TOKENS, "right")) - 1)
-        stretches = segments(sequence[: first[upto]], first[: upto + 1])
-        for _ in range(SAMPLE_ROUNDS):
-            model = improved(*baum_welch(model, *stretches))
-    if n:
-        k = states
-        for _ in range(rounds):
-            sums = texts.select("text").mapInArrow(partial(_expected, model=model, symbols=symbols), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
-            total = np.zeros(k + k * k + symbols.n * k)
-            total[sums.column("place").to_numpy()] = sums.column("value").to_numpy()
-            model = improved(total[:k], total[k : k + k * k].reshape(k, k), total[k + k * k :].reshape(-1, k))
+def train(texts: DataFrame, n: int, symbols: Symbols, states: int = STATES, settled: float = SETTLED) -> Model:
+    """Train on n rows (text) until CALM rounds in a row each raise the log probability of a symbol by less than ``settled``; without texts, the model that knows nothing."""
+    model, k = first_model(symbols, states), states
+    if not n:
+        return model
+    encoded = stored(texts.select("text").mapInArrow(partial(_encoded, symbols=symbols), "symbols binary"), "symbols")
+    before, calm = -math.inf, 0
+    while calm < CALM:
+        sums = encoded.mapInArrow(partial(_expected, model=model), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+        total = np.zeros(k + k * k + symbols.n * k + 1)
+        total[sums.column("place").to_numpy()] = sums.column("value").to_numpy()
+        starts, moves, emissions = total[:k], total[k : k + k * k].reshape(k, k), total[k + k * k : -1].reshape(-1, k)
+        model = improved(starts, moves, emissions)
+        chance = total[-1] / emissions.sum()
+        calm = calm + 1 if chance - before < settled else 0
+        before = chance
     return model
 
 
@@ -362,7 +381,7 @@ def scored(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
     counted = read.groupBy("block").applyInArrow(lambda own: _count(own, parts), _ddl(COUNTED))
     totals = stored(counted.groupBy("part").applyInArrow(_total, _ddl(TOTALS)), "word-totals")
     symbols, words, different = _symbols(totals)
-    learn = table.filter("learn").select("id", F.coalesce("text", F.lit("")).alias("text"))
+    learn = table.filter("learn").select(F.coalesce("text", F.lit("")).alias("text"))
     model = train(learn, ends, symbols)
 
     n, v = words + ends, different + (ends > 0)
