@@ -50,6 +50,30 @@ def test_stages(spark, folder):
     assert all(r["size"] == len(words(leaks[r["doc_id"]])) and r["taken"] <= 3 * r["size"] for r in mixed)
 
 
+def test_near_duplicates_match_brute_force(spark):
+    rng = random.Random(12)
+    rows = []
+    for base in range(40):
+        text = prose(rng, rng.choice([12, 40, 60, 150, 400]))
+        for _ in range(4):
+            near = list(text)
+            for at in rng.sample(range(len(text)), rng.randrange(len(text) // 40 + 2)):
+                near[at] = "".join(prose(rng, 3))
+            rows.append((len(rows), " ".join(near), "en", "a", 0))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, t, *_ in rows for w in [words(t, lower=True)]]
+    threes = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for _, t, *_ in rows for w in [words(t, lower=True)]]
+    label, between = list(range(len(rows))), 0
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+                between += 100 * len(threes[a] & threes[b]) < 90 * len(threes[a] | threes[b])
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+    assert {r["doc_id"] for r in kept.collect()} == set(label)
+    assert between > 5
+
+
 def test_run_applies_all_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == 64
 

@@ -24,6 +24,7 @@ small entries pair by pair, larger ones in blocks of members against blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,12 @@ from tillspark.llm.components import components
 from tillspark.llm.tables import stored
 from tillspark.llm.words import mix, pieces, windows, word_hashes, words_of
 
-SHINGLE = 3
-#: Similarity limit in percent, and the growth of sizes within a band.
-PERCENT, BAND_GROWTH = 90, 1.2
-#: Shingles that a subset should have on average; bands below use larger segments and deletions.
-SUBSET = 6
+#: Words of a shingle and similarity limit in percent, where the caller gives none.
+SHINGLE, PERCENT = 3, 90
+#: Growth of sizes within a band.
+BAND_GROWTH = 1.2
+#: Words that a subset's shingles should have on average; bands below use larger segments and deletions.
+SUBSET_WORDS = 18
 #: A set may leave out one of so many subsets.
 SPARE = 8
 #: Entries up to this many members are compared pair by pair, others in blocks of so many.
@@ -48,11 +50,11 @@ SMALL_ENTRY, BLOCK = 32, 256
 class Band:
     """Sizes from ``low`` to ``high``; ``segments`` of them, the first ``double`` of which count twice; ``spare`` are left out."""
 
-    def __init__(self, low: int) -> None:
+    def __init__(self, low: int, shingle: int, percent: int) -> None:
         self.low, self.high = low, max(low, int(low * BAND_GROWTH))
-        differ = self.high * (100 - PERCENT) // PERCENT
+        differ = self.high * (100 - percent) // percent
         need = differ + 1
-        if differ and low < SUBSET * need:
+        if differ and low < SUBSET_WORDS // shingle * need:
             self.double, self.spare = need // 2, 0
             self.segments = need - self.double
         else:
@@ -60,18 +62,20 @@ class Band:
             self.segments = need + self.spare
 
 
-BANDS = [Band(1)]
-while BANDS[-1].high < 1 << 40:
-    BANDS.append(Band(BANDS[-1].high + 1))
+def bands_of(shingle: int, percent: int) -> list[Band]:
+    bands = [Band(1, shingle, percent)]
+    while bands[-1].high < 1 << 40:
+        bands.append(Band(bands[-1].high + 1, shingle, percent))
+    return bands
 
 
-def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Row and 64-bit hash of every distinct shingle, in order; a text of fewer words is one shingle of all of them."""
     words = words_of(column, lower=True)
     hashes, per = word_hashes(words), words.per_text()
-    ok = np.flatnonzero(words.inside(SHINGLE))
-    row, value = [words.text_of()[ok]], [windows(hashes, SHINGLE, SHINGLE)[ok]]
-    for size in range(1, SHINGLE):
+    ok = np.flatnonzero(words.inside(shingle))
+    row, value = [words.text_of()[ok]], [windows(hashes, shingle, shingle)[ok]]
+    for size in range(1, shingle):
         short = np.flatnonzero(per == size)
         row.append(short)
         value.append(windows(hashes, size, size)[words.first[short]])
@@ -83,17 +87,18 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rows[new], values[new]
 
 
-def entries(rows: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def entries(rows: np.ndarray, values: np.ndarray, sizes: np.ndarray, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Row and index entry of every set, for sets given as sorted (row, shingle) pairs."""
     edges = np.append(0, np.cumsum(sizes))
-    lows = np.array([b.low for b in BANDS])
+    bands = bands_of(shingle, percent)
+    lows = np.array([b.low for b in bands])
     own = np.searchsorted(lows, sizes, "right") - 1
-    least = -(-sizes * PERCENT // 100)
+    least = -(-sizes * percent // 100)
     below = np.searchsorted(lows, least, "right") - 1
     out_rows, out_entries = [], []
     has = sizes > 0
     for k in np.unique(np.append(own[has], below[has])):
-        band, members = BANDS[k], np.flatnonzero(has & (below <= k) & (own >= k))
+        band, members = bands[k], np.flatnonzero(has & (below <= k) & (own >= k))
         lengths = sizes[members]
         at = np.repeat(edges[members] - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
         local, tokens = np.repeat(np.arange(len(members)), lengths), mix(values[at] + np.uint64(int(k)))
@@ -128,11 +133,11 @@ def entries(rows: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> tuple[np
 DESCRIBED = "id long, n long, h1 long, h2 long, entries array<long>"
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Size, two sums of hashes (equal for equal sets) and index entries of every text."""
     for batch in batches:
         for piece in pieces(batch, "text"):
-            rows, values = shingle_sets(piece.column("text"))
+            rows, values = shingle_sets(piece.column("text"), shingle)
             n = piece.num_rows
             sizes = np.bincount(rows, minlength=n)
             sums = []
@@ -140,28 +145,28 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total = np.append(np.uint64(0), np.cumsum(mix(values + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64))
                 edges = np.append(0, np.cumsum(sizes))
                 sums.append((total[edges[1:]] - total[edges[:-1]]).view(np.int64))
-            owner, index = entries(rows, values, sizes)
+            owner, index = entries(rows, values, sizes, shingle, percent)
             offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(index.view(np.int64)))
             yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], ["id", "n", "h1", "h2", "entries"])
 
 
-def alike(left_size: np.ndarray, right_size: np.ndarray, common: np.ndarray) -> np.ndarray:
-    return 100 * common >= PERCENT * (left_size + right_size - common)
+def alike(left_size: np.ndarray, right_size: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * common >= percent * (left_size + right_size - common)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Of rows (a, b, text_a, text_b), those pairs whose sets are similar."""
     for batch in batches:
         for piece in pieces(batch, "text_a"):
             n = piece.num_rows
-            (ra, va), (rb, vb) = (shingle_sets(piece.column(c)) for c in ("text_a", "text_b"))
+            (ra, va), (rb, vb) = (shingle_sets(piece.column(c), shingle) for c in ("text_a", "text_b"))
             rows, values = np.concatenate([ra, rb]), np.concatenate([va, vb])
             order = np.lexsort((values, rows))
             rows, values = rows[order], values[order]
             both = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
             common = np.bincount(rows[1:][both], minlength=n)
-            yes = alike(np.bincount(ra, minlength=n), np.bincount(rb, minlength=n), common)
+            yes = alike(np.bincount(ra, minlength=n), np.bincount(rb, minlength=n), common, percent)
             yield pa.RecordBatch.from_arrays([piece.column(c).filter(pa.array(yes)) for c in ("a", "b")], ["a", "b"])
 
 
@@ -183,13 +188,13 @@ def common_counts(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _compare_blocks(table: pa.Table) -> pa.Table:
+def _compare_blocks(table: pa.Table, shingle: int, percent: int) -> pa.Table:
     """Links within two blocks of members of an entry, reduced to trees: each linked member with the smallest it reaches."""
     ids, text = table.column("id").to_numpy(), table.column("text")
-    rows, values = shingle_sets(text)
+    rows, values = shingle_sets(text, shingle)
     n = len(ids)
     sizes = np.bincount(rows, minlength=n)
-    linked = alike(sizes[:, None], sizes[None, :], common_counts(rows, values, n))
+    linked = alike(sizes[:, None], sizes[None, :], common_counts(rows, values, n), percent)
     label = ids.copy()
     while True:
         least = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
@@ -201,25 +206,25 @@ def _compare_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"a": ids[some], "b": label[some]})
 
 
-def similar_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def similar_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of pairs (a, b) of ids, those with similar sets; texts are (id, n, text)."""
     left = texts.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("text").alias("text_b"))
-    sizes_fit = (100 * F.least("n_a", "n_b")) >= (PERCENT * F.greatest("n_a", "n_b"))
+    sizes_fit = (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
     near = pairs.join(texts.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b").filter(sizes_fit)
     rows = near.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(_compare, "a long, b long")
+    return rows.mapInArrow(partial(_compare, shingle=shingle, percent=percent), "a long, b long")
 
 
-def linked(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document.
+def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document: shingles of so many words, linked from so many percent on.
 
     A null text or one without words has no shingles and links with nothing.  A
     null doc_id can't be reached: its component_id is null.  Rows with the same
     doc_id are one document of several texts, and so in one component.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    described = stored(texts.mapInArrow(_describe, DESCRIBED), "described")
+    described = stored(texts.mapInArrow(partial(_describe, shingle=shingle, percent=percent), DESCRIBED), "described")
     known = described.filter("n > 0 and id is not null")
     classes = stored(known.groupBy("n", "h1", "h2").agg(F.min("id").alias("class")), "classes")
 
@@ -239,7 +244,7 @@ def linked(docs: DataFrame) -> DataFrame:
     own = described.filter("id is not null and n > 0").join(classes, ["n", "h1", "h2"])
     several = own.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("id", "low")
     same_id = own.select("id", "class").join(several, "id").select(F.col("class").alias("a"), F.col("low").alias("b"))
-    first = components(similar_pairs(tested, texts).unionByName(same_id))
+    first = components(similar_pairs(tested, texts, shingle, percent).unionByName(same_id))
 
     # Entries that still have members in different components.
     part = shared.filter("members > 3").join(first, "id", "left").withColumn("part", F.coalesce("component", "id"))
@@ -249,7 +254,7 @@ def linked(docs: DataFrame) -> DataFrame:
     other = side.select("entry", F.col("id").alias("id_b"), F.col("part").alias("part_b"))
     rest = side.join(other, "entry").filter("id < id_b and part != part_b").select(F.col("id").alias("a"), F.col("id_b").alias("b"))
     rest = rest.distinct().join(tested, ["a", "b"], "left_anti")
-    more = similar_pairs(rest, texts)
+    more = similar_pairs(rest, texts, shingle, percent)
 
     # Blocks: those outside of the first member's component against all.
     large = open_.filter(F.col("members") > SMALL_ENTRY)
@@ -261,7 +266,7 @@ def linked(docs: DataFrame) -> DataFrame:
     groups = outside.unionByName(inside).distinct().join(texts.select("id", "text"), "id")
     needed = outside.select("entry", "i").distinct()
     groups = groups.join(needed, ["entry", "i"], "left_semi").repartition("entry", "i", "j")
-    more = more.unionByName(groups.groupBy("entry", "i", "j").applyInArrow(_compare_blocks, "a long, b long"))
+    more = more.unionByName(groups.groupBy("entry", "i", "j").applyInArrow(lambda own: _compare_blocks(own, shingle, percent), "a long, b long"))
 
     final = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = classes.join(final.withColumnRenamed("id", "class"), "class", "left").select("n", "h1", "h2", F.coalesce("component", "class").alias("component_id"))
@@ -272,9 +277,9 @@ def linked(docs: DataFrame) -> DataFrame:
     )
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents with the smallest doc_id of their component, and those without a doc_id, in all their columns."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     own = docs.toDF(*names).withColumn("id", F.col(names[docs.columns.index("doc_id")]).cast("long"))
-    gone = linked(docs).filter("component_id != doc_id").select(F.col("doc_id").alias("id"))
+    gone = linked(docs, shingle, percent).filter("component_id != doc_id").select(F.col("doc_id").alias("id"))
     return own.join(gone, "id", "left_anti").select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
