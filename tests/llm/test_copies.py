@@ -66,6 +66,17 @@ def test_repeats_of_nothing_and_columns(spark, docs):
     assert sorted(r["block"] for r in kept.collect()) == [3, 5, 6]
 
 
+def test_only_repeated_passages_change(spark):
+    rng = random.Random(8)
+    passage, lines = " ".join(prose(rng, 30)), lambda: "\t" + "\n".join("  ".join(prose(rng, 8)) for _ in range(4)) + "\r\n"
+    clean, head, tail, other = lines(), lines(), lines(), lines()
+    rows = [(1, clean, 7), (2, passage, 8), (3, f"{head}{passage}\n{tail}", 9), (4, f"{clean[:40]}\n{passage} \n", 9), (5, f" {passage}  {other}", 9), (6, None, None), (7, " \n", 2), (8, passage, 3)]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in repeats.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
+    assert got.pop(5)[0] == f" {other.lstrip()}"
+    left = {3: f"{head}{tail.lstrip()}", 4: f"{clean[:40].rstrip()} \n"}
+    assert got == {1: (clean, 7), 2: (passage, 8), 6: (None, None), 7: (" \n", 2)} | {k: (v, len(v)) for k, v in left.items()}
+
+
 def test_sketch_never_counts_too_low():
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 1 << 63, 5000).astype(np.uint64)

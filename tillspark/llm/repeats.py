@@ -15,16 +15,17 @@ common: of two equal rows neither comes earlier, and both stay whole.
 
 from __future__ import annotations
 
+import re
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.llm.blocks import BLOCK_ROWS, in_blocks, packed, unpacked
 from tillspark.llm.tables import stored
-from tillspark.llm.words import mix, pieces, windows, word_hashes, words_of
+from tillspark.llm.words import WORD, mix, pieces, windows, word_hashes, words_of
 
 WINDOW = 20
 #: Rows of the sketch, counters in each per window, and the bits of a counter's number within a range.
@@ -169,7 +170,19 @@ def settle(table: pa.Table) -> pa.Table:
     return rows_of(PLACES, rows)
 
 
-def cut(table: pa.Table, places: pa.Table, names: list[str]) -> pa.Table:
+def without_words(text: bytes, gone: np.ndarray) -> bytes:
+    """The text without the marked words and the gap after each, or before a last one; all else as it is."""
+    spans = [m.span() for m in re.finditer(WORD.encode(), text)]
+    out, at = [], 0
+    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+    for first, after in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        last = after == len(spans)
+        out.append(text[at : spans[first - 1][1] if last and first else spans[first][0]])
+        at = spans[after - 1][1] if last else spans[after][0]
+    return b"".join([*out, text[at:]])
+
+
+def cut(table: pa.Table, places: pa.Table, names: list[str], gaps: bool = False) -> pa.Table:
     """Remove the words that the given windows cover: the block's rows with n_words, n_removed and what is left of the text."""
     n = table.num_rows
     row = np.concatenate([unpacked(d, np.int32) for d in places.column("row").to_pylist()] or [np.zeros(0, np.int32)])
@@ -178,26 +191,28 @@ def cut(table: pa.Table, places: pa.Table, names: list[str]) -> pa.Table:
     start, edges = start[order], np.searchsorted(row[order], np.arange(n + 1))
     total, removed, kept = [], [], []
     for k, text in enumerate(table.column("text")):
-        own = (text.as_buffer().to_pybytes() if text.is_valid else b"").split()
+        whole = text.as_buffer().to_pybytes() if text.is_valid else b""
+        own = whole.split()
         mine = start[edges[k] : edges[k + 1]]
         total.append(len(own))
         if len(mine):
             change = np.zeros(len(own) + 1, np.int32)
             np.add.at(change, mine, 1)
             np.add.at(change, mine + WINDOW, -1)
-            stay = np.flatnonzero(np.cumsum(change[:-1]) == 0)
-            own = [own[i] for i in stay]
+            gone = np.cumsum(change[:-1]) > 0
+            own = [own[i] for i in np.flatnonzero(~gone)]
+            whole = without_words(whole, gone) if gaps else whole
         removed.append(total[-1] - len(own))
-        kept.append(b" ".join(own))
+        kept.append((whole if text.is_valid else None) if gaps else b" ".join(own))
     columns = [*(table.column(c) for c in names), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
     return pa.table(columns, names=[*names, "n_words", "n_removed", "kept_text"])
 
 
-def without_repeats(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def without_repeats(docs: DataFrame, block_rows: int = BLOCK_ROWS, gaps: bool = False) -> DataFrame:
     """Every document with all its columns, by position as c0, c1, ..., and n_words, n_removed and kept_text.
 
-    kept_text has the words that stay, joined by single spaces.  A null text
-    has no words.  Documents of fewer words than a window stay whole.
+    kept_text has the words that stay, joined by single spaces, or with ``gaps``
+    the text as it is but for the words that go.  A null text has no words.  Documents of fewer words than a window stay whole.
     """
     columns = docs.columns
     names = [f"c{i}" for i in range(len(columns))]
@@ -223,18 +238,23 @@ def without_repeats(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     schema = ", ".join(f"{c} {t}" for c, t in table.select(*carried).dtypes)
     rows = table.drop("id", "n_bytes").groupBy("block").cogroup(places.groupBy("block"))
-    return rows.applyInArrow(lambda own, gone: cut(own, gone, carried), f"{schema}, n_words long, n_removed long, kept_text string")
+    return rows.applyInArrow(lambda own, gone: cut(own, gone, carried, gaps), f"{schema}, n_words long, n_removed long, kept_text string")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents with repeated passages removed, in their own columns; those of which nothing stays go.
 
-    A text that loses nothing stays as it is only if its words are joined by
-    single spaces; n_chars, where there is such a column, is counted anew.
+    A text that loses nothing stays as it is, and of others all that is not
+    removed; n_chars, where there is such a column, is counted anew for those.
     """
-    columns = docs.columns
-    rows = without_repeats(docs).filter("n_words = 0 or n_removed < n_words")
-    anew = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return rows.select(*[anew.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(columns)])
+    columns, kinds = docs.columns, dict(docs.dtypes)
+    rows = without_repeats(docs, gaps=True).filter("n_words = 0 or n_removed < n_words")
 
+    def own(i: int, name: str) -> Column:
+        if name == "text":
+            return F.col("kept_text")
+        if name == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kinds[name])).otherwise(F.col(f"c{i}"))
+        return F.col(f"c{i}")
 
+    return rows.select(*[own(i, c).alias(c) for i, c in enumerate(columns)])
