@@ -16,6 +16,10 @@ _WEAKEST, _STRONGEST = host_reputation.WEAKEST, host_reputation.STRONGEST
 _STRENGTH = f"""CASE WHEN coalesce({_BETWEEN}, 0) = 0 OR {_BEYOND} <= 0 THEN {_STRONGEST}
              ELSE least({_STRONGEST}, greatest({_WEAKEST}, {_BETWEEN} / {_BEYOND} - 1)) END"""
 
+#: The checksum of a conversation's number in decimal, bit by bit, before its last step.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                      lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(0, 8) AS BIGINT[])), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))"""
+
 ORACLE_SQL = {
     "op2_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -86,4 +90,25 @@ ORACLE_SQL = {
         k AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
         SELECT doc_id, n_shingles, component_id FROM m JOIN k ON m.class = k.a
     """,
+    "op13_prefix_trie": f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        s AS (SELECT conv_id, list({{'id': md5(length(role) || ':' || role || text), 'words': len(regexp_extract_all(text, {_WORDS}))}}
+                                   ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id),
+        h AS (SELECT *, CAST(xor({_CRC}, 4294967295) % 4 AS BIGINT) AS h FROM s),
+        r AS (SELECT h.conv_id, list_concat(coalesce(b.turns[1 : h.h], []), h.turns[h.h + 1 :]) AS path
+              FROM h LEFT JOIN s b ON b.conv_id = h.conv_id - h.conv_id % 20),
+        p AS (SELECT conv_id, d, len(path) = d AS ends, array_to_string(list_transform(path[1 : d], lambda x: x.id), '') AS node,
+                     CASE WHEN d > 0 THEN path[d].words ELSE 0 END AS words
+              FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM r)),
+        n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                     sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+              FROM p GROUP BY node, d),
+        c AS (SELECT left(node, 32 * (d - 1)) AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+        k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c ON n.node = c.node),
+        a AS (SELECT left(node, 32 * up) AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+              FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM k) GROUP BY 1)
+        SELECT k.conv_id, k.d AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, CAST(a.n_leaves AS BIGINT) AS n_leaves,
+               CAST(a.saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+        FROM k JOIN a ON k.node = a.node LEFT JOIN n u ON k.d > 0 AND u.node = left(k.node, 32 * (k.d - 1))
+    """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import decontaminate, hmm, host_reputation, language_id, licences, mixing, packing, repeats, set_join, warc, weak_rules
+from tillspark.llm import decontaminate, hmm, host_reputation, language_id, licences, mixing, packing, prefix_trie, repeats, set_join, warc, weak_rules
 from tillspark.llm.oracle import ORACLE_SQL, URL_RULES
 from tillspark.llm.tables import new_folder, table
 
@@ -78,6 +78,10 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -92,4 +96,5 @@ QUERIES = {
     "op9_repeats": op9_repeats,
     "op10_set_join": op10_set_join,
     "op12_packing": op12_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
