@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillspark.llm.tables import stored
-from tillspark.llm.tokens import ID, ByteTokens
+from tillspark.llm.tokens import ByteTokens
 from tillspark.llm.words import pieces
 
 SEQUENCE, END = 2048, 1
@@ -41,6 +41,8 @@ SEQUENCE, END = 2048, 1
 SLACK = 3e-4
 #: Patterns that one pricing may add, and those that the program may add in all; more would lower padding further.
 PER_PRICING, MOST_PATTERNS = 40, 2000
+#: How ids count for checksums.
+ID = np.dtype("<u4")
 #: Text bytes that a task tokenises at a time.
 TEXT_BYTES = 1 << 20
 
