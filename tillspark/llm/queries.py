@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import decontaminate, hmm, host_reputation, language_id, licences, mixing, packing, prefix_trie, repeats, set_join, warc, weak_rules
+from tillspark.llm import alignment, decontaminate, hmm, host_reputation, language_id, licences, mixing, packing, prefix_trie, repeats, set_join, warc, weak_rules
 from tillspark.llm.oracle import ORACLE_SQL, URL_RULES
 from tillspark.llm.tables import new_folder, table
 
@@ -74,6 +74,10 @@ def op10_set_join(spark: SparkSession, folder: str) -> DataFrame:
     return set_join.linked(table(spark, folder, "documents"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"))
+
+
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
@@ -95,6 +99,7 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_repeats": op9_repeats,
     "op10_set_join": op10_set_join,
+    "op11_alignment": op11_alignment,
     "op12_packing": op12_packing,
     "op13_prefix_trie": op13_prefix_trie,
 }
