@@ -23,6 +23,7 @@ from tillspark.functions.dates import month_of_key
 from tillspark.functions.money import unit_margin_percent
 from tillspark.operators.joins import if_small
 from tillspark.operators.updates import require_unique
+from tillspark.sources.key_index import KeyIndex
 
 BATCH, ATTEMPT, MONTH = "BatchID", "Attempt", "SaleMonth"
 
@@ -51,7 +52,8 @@ BATCH_TABLES: dict[str, StructType] = {
     "AIInsights": S.INSIGHTS,
 }
 SNAPSHOT_TABLES: dict[str, StructType] = {"FactInventory": S.FACT_INVENTORY}
-
+#: Batch tables whose keys are indexed, so that loads find known keys without scanning them.
+INDEXED: dict[str, list[str]] = {"FactSales": ["OrderID", "OrderLineID"]}
 
 
 def _computed() -> dict[str, Column]:
@@ -138,6 +140,8 @@ class Warehouse:
                 shaped.write.mode("overwrite").partitionBy(MONTH).parquet(path)
             else:
                 shaped.write.mode("overwrite").parquet(path)
+            if name in INDEXED:
+                self.key_index(name).write(self.attempt_rows(name, batch_id, attempt), batch_id, attempt)
         self._publish(pointer, attempt)
 
     def put_snapshot(self, name: str, df: DataFrame) -> None:
@@ -151,6 +155,13 @@ class Warehouse:
             .parquet(self._path(name))
         )
 
+    def key_index(self, name: str) -> KeyIndex:
+        return KeyIndex(self, name, BATCH_TABLES[name], INDEXED[name])
+
+    def attempt_rows(self, name: str, batch_id: str, attempt: int) -> DataFrame:
+        """Rows of one attempt of a batch, published or not."""
+        return self._scan(f"{self._path(name)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}", BATCH_TABLES[name])
+
     # --- helpers ------------------------------------------------------------
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
