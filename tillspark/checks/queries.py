@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 from tillspark import schemas as S
+from tillspark.fixed_values import TREE_DEPTH
 from tillspark.functions.dates import key_date, month_of_key
 from tillspark.operators import checks
 from tillspark.plans import (
@@ -25,6 +26,7 @@ from tillspark.plans import (
     churn_model,
     customers,
     daily,
+    forest,
     insights,
     inventory,
     measures,
@@ -530,11 +532,38 @@ def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _table_scores(t: SampleTables) -> DataFrame:
+    """Scores from the tables of the forest."""
+    prepared = prepared_features(t)
+    _model(t, prepared)
+    nodes, inputs = forest.load_tables(t.spark, _stored(t.spark, t.folder, "model").root)
+    return forest.score(prepared, nodes, inputs, TREE_DEPTH, t.as_of)
+
+
 @query
 def churn_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_table_scores(SampleTables(spark, folder)), {"ChurnProbability": 4})
+
+
+@query
+def forest_agreement(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers scored by the model and from its tables, and how many of them got the same score, to four places."""
     t = SampleTables(spark, folder)
     prepared = prepared_features(t)
-    return comparable(churn_model.score(_model(t, prepared), prepared, t.as_of), {"ChurnProbability": 4})
+    by_model = churn_model.score(_model(t, prepared), prepared, t.as_of)
+    both = by_model.join(_table_scores(t).select("CustomerID", F.col("ChurnProbability").alias("__again")), "CustomerID", "full")
+    same = F.count(F.when(F.col("ChurnProbability") == F.col("__again"), 1))
+    return both.agg(F.count(F.lit(1)).alias("Customers"), same.alias("SameScores"))
+
+
+@query
+def score_evaluation(spark: SparkSession, folder: str) -> DataFrame:
+    """The sample's stored scores as a prediction of the label: rank-sum AUC and the figures of each class."""
+    t = SampleTables(spark, folder)
+    labels = _features(t).select("CustomerID", "ChurnLabel")
+    p = F.col("ChurnProbability")
+    predicted = labels.join(t.churn_scores, "CustomerID").select("ChurnLabel", (p > 0.5).cast("int").alias("Predicted"), p.cast("double").alias("Score"))
+    return comparable(churn_model.evaluation(predicted))
 
 
 @query
@@ -554,8 +583,7 @@ def churn_importance(spark: SparkSession, folder: str) -> DataFrame:
 def score_preview(spark: SparkSession, folder: str) -> DataFrame:
     """The preview file, read back."""
     t = SampleTables(spark, folder)
-    prepared = prepared_features(t)
-    preview = churn_model.score_preview(churn_model.score(_model(t, prepared), prepared, t.as_of))
+    preview = churn_model.score_preview(_table_scores(t))
     path = f"{_stored(spark, folder, 'preview').root}/scores"
     extracts.write_extract(preview, path)
     schema = "CustomerID string, ChurnProbability decimal(5,4), ChurnRiskCategory string, ScoredDate date"

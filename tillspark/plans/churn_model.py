@@ -9,16 +9,16 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillspark import fixed_values as V
 from tillspark.functions.dates import months_crossed
 from tillspark.functions.rules import churn_category, segment_score
 from tillspark.operators.ranking import numbered, quantiles, top_rows
+from tillspark.plans import forest
 
 log = logging.getLogger(__name__)
 
@@ -111,18 +111,37 @@ def train(rows: DataFrame, exclude: list[str] | None = None, trees: int = V.TREE
         kept.unpersist()
 
 
+def rank_sum_auc(scored: DataFrame, score: Column, label: Column) -> DataFrame:
+    """``AUC``: the share of pairs of a churned and another customer whose scores are in order, equal ones counting half.
+
+    Scores have four places, so counts per score are at most 10,001 rows, over
+    which the running total goes; customers are aggregated once and never
+    sorted.  NULL where there are no such pairs.
+    """
+    per_score = scored.groupBy(F.round(score * 10000).cast("int").alias("__score")).agg(
+        F.count(F.when(label == 1, 1)).alias("__churned"), F.count(F.when(label == 0, 1)).alias("__others")
+    )
+    lower = Window.orderBy("__score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("__others").over(lower), F.lit(0))
+    ranked = per_score.withColumn("__pairs", F.col("__churned") * (below + F.col("__others") / 2))
+    return ranked.agg(F.try_divide(F.sum("__pairs"), F.sum("__churned").cast("double") * F.sum("__others")).alias("AUC"))
+
+
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """ROC AUC and, per class, precision, recall, F1 and support."""
-    predicted = model.transform(test)
-    auc = BinaryClassificationEvaluator(
-        labelCol="ChurnLabel", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
-    ).evaluate(predicted)
+    """ROC AUC of the scores as they are stored and, per class, precision, recall, F1 and support."""
+    churn = F.coalesce(F.get(vector_to_array(F.col("probability")), F.lit(1)), F.lit(0.0))
+    return evaluation(model.transform(test).select("ChurnLabel", F.col("prediction").cast("int").alias("Predicted"), F.round(churn, 4).alias("Score")))
+
+
+def evaluation(predicted: DataFrame) -> DataFrame:
+    """The report for rows of ``ChurnLabel``, ``Predicted`` class and ``Score``."""
+    auc = rank_sum_auc(predicted, F.col("Score"), F.col("ChurnLabel")).scalar()
     is_class, said_class = F.col("ChurnLabel") == F.col("Class"), F.col("Predicted") == F.col("Class")
 
     def rows_where(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("count")).otherwise(0))
 
-    counts = predicted.groupBy("ChurnLabel", F.col("prediction").cast("int").alias("Predicted")).count()
+    counts = predicted.groupBy("ChurnLabel", "Predicted").count()
     per_class = (
         counts.select(
             F.explode(F.array_distinct(F.array("ChurnLabel", "Predicted"))).alias("Class"),
@@ -148,7 +167,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
         recall.alias("Recall"),
         F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0)).alias("F1"),
         "Support",
-        F.lit(float(auc)).alias("AUC"),
+        auc.alias("AUC"),
     )
 
 
@@ -217,6 +236,7 @@ def train_or_load(prepared: DataFrame, path: str, exclude: list[str] | None = No
         log.info("training a new model for %s", path)
         model = train(split_by_label(prepared)[0], exclude)
         model.write().overwrite().save(f"{path}/model")
+        forest.save_tables(spark, model, path)
         # Written last: a save that broke off is not taken for a model.
         spark.range(1).selectExpr("'saved' AS value").write.mode("overwrite").text(f"{path}/saved")
         return model

@@ -96,6 +96,8 @@ INSIGHTS = _schema(
 MODEL_EVALUATION = _schema("Class:int Precision:float Recall:float F1:float Support:long AUC:float")
 MODEL_IMPORTANCE = _schema("Feature:str Importance:float")
 SCORE_PROFILE = _schema("count:long mean:float std:float min:float p25:float p50:float p75:float max:float")
+FOREST_NODES = _schema("Tree:int Node:int Feature:int Threshold:float LeftNode:int RightNode:int ChurnShare:float")
+FOREST_INPUTS = _schema("Feature:int Name:str Shift:float Scale:float")
 SCORE_PREVIEW = _schema("CustomerID:str ChurnProbability:share ChurnRiskCategory:str ScoredDate:date")
 KPI_CONTEXT = _schema("KPIContext:str KPIText:str")
 
