@@ -336,6 +336,10 @@ QUERIES = {
     """,
     "sales_measures": f"SELECT Region, CustomerSegment, {_SALES_MEASURES} FROM summary GROUP BY Region, CustomerSegment",
     "sales_totals": f"SELECT {_SALES_MEASURES} FROM summary",
+    "sales_report": f"""
+        SELECT Region, CustomerSegment, StoreType, CAST(grouping(Region, CustomerSegment, StoreType) AS BIGINT) AS Context, {_SALES_MEASURES}
+        FROM summary GROUP BY GROUPING SETS ((Region, CustomerSegment), (Region), (), (StoreType))
+    """,
     "avg_order_value": f"""
         SELECT DateKey // 100 AS SaleMonth, count(DISTINCT OrderID) AS Orders,
                {mean_money('sum(net_micro)', 'count(DISTINCT OrderID)')} AS AvgOrderValueTrue
@@ -512,6 +516,15 @@ QUERIES = {
                round(CAST(count(*) FILTER (OverstockFlag) AS DOUBLE) / count(*), 6) AS OverstockRate
         FROM intelligence GROUP BY Region
     """,
+    "inventory_report": """
+        SELECT Region, Category, CAST(grouping(Region, Category) AS BIGINT) AS Context,
+               CAST(sum(value) AS DOUBLE) AS TotalInventoryValue, CAST(sum(excess) AS DOUBLE) AS TotalOverstockCost,
+               count(*) FILTER (StockOutRisk = 'High') AS HighStockOutSKUs,
+               round(CAST(sum(DaysOfSupply) FILTER (DaysOfSupply < 999) AS DOUBLE)
+                     / nullif(count(*) FILTER (DaysOfSupply < 999), 0), 6) AS AvgDaysOfSupply,
+               round(CAST(count(*) FILTER (OverstockFlag) AS DOUBLE) / count(*), 6) AS OverstockRate
+        FROM intelligence GROUP BY GROUPING SETS ((Region, Category), (Region), ())
+    """,
     "stored_snapshots": """
         SELECT DateKey, StockOutRisk, OverstockFlag, count(*) AS StockLines,
                CAST(sum(QuantityOnHand) AS BIGINT) AS UnitsOnHand

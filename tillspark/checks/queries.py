@@ -112,6 +112,13 @@ def sales_totals(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(measures.sales_measures(_summary(SampleTables(spark, folder))), {"GrossMarginShare": 6})
 
 
+@query
+def sales_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Regions and segments with subtotals per region, per store type, and the grand total, from one scan."""
+    contexts = [*measures.levels(["Region", "CustomerSegment"]), ["StoreType"]]
+    return comparable(measures.sales_report(_summary(SampleTables(spark, folder)), contexts), {"GrossMarginShare": 6})
+
+
 @query
 def avg_order_value(spark: SparkSession, folder: str) -> DataFrame:
     t = SampleTables(spark, folder)
@@ -337,7 +344,8 @@ def _inventory(t: SampleTables) -> DataFrame:
         for day in (t.as_of - dt.timedelta(days=7), t.as_of)
     )
     warehouse = _stored(t.spark, t.folder, "inventory")
-    warehouse.put_snapshot("FactInventory", earlier.unionByName(today))
+    if warehouse.read("FactInventory").isEmpty():
+        warehouse.put_snapshot("FactInventory", earlier.unionByName(today))
     return warehouse.read("FactInventory")
 
 
@@ -362,6 +370,12 @@ def inventory_intelligence(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(_intelligence(SampleTables(spark, folder)))
 
 
+@query
+def inventory_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock figures per region and category, per region, and in all."""
+    return comparable(measures.inventory_report(_intelligence(SampleTables(spark, folder)), measures.levels(["Region", "Category"])))
+
+
 @query
 def inventory_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.inventory_alerts(_intelligence(SampleTables(spark, folder)))
@@ -496,8 +510,10 @@ def saved_insights(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- churn model ------------------------------------------------------------
 def _stored_activity(t: SampleTables) -> DataFrame:
-    """Activity as a written table, for plans that read it several times."""
-    return _stored(t.spark, t.folder, "activity").replace("FactCustomerActivity", _activity(t))
+    """Activity as the day has stored it; the first query of a session that needs it is the day."""
+    warehouse = _stored(t.spark, t.folder, "activity")
+    stored = warehouse.read("FactCustomerActivity")
+    return warehouse.replace("FactCustomerActivity", _activity(t)) if stored.isEmpty() else stored
 
 
 def _features(t: SampleTables) -> DataFrame:

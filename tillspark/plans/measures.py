@@ -1,7 +1,8 @@
 """Report measures.
 
 Each function aggregates a report frame ``by`` any of its columns; without
-``by`` it gives the grand total.
+``by`` it gives the grand total.  The ``_report`` functions give rows, subtotals
+and grand total of a report at once, from one pass over the frame.
 """
 
 from __future__ import annotations
@@ -20,24 +21,49 @@ def _evaluate(df: DataFrame, measures: dict[str, Column], by: list[str] | None)
     return df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)
 
 
+def _in_contexts(df: DataFrame, measures: dict[str, Column], contexts: list[list[str]]) -> DataFrame:
+    """Measures under several filter contexts: one row per combination of values that a context's columns have.
+
+    ``Context`` tells them apart.  It has a bit per column, the first column's
+    being the highest, which is 1 where the row sums over all values of that
+    column; so a value that is NULL and a subtotal differ.  The frame is scanned
+    once, whatever the number of contexts.  ``contexts`` may contain each other.
+    """
+    columns = list(dict.fromkeys(c for context in contexts for c in context))
+    if not columns:
+        return _evaluate(df, measures, None).select(F.lit(0).cast("long").alias("Context"), "*")
+    aggregates = [c.alias(name) for name, c in measures.items()]
+    rows = df.groupingSets([[F.col(c) for c in context] for context in contexts], *columns)
+    return rows.agg(F.grouping_id().alias("Context"), *aggregates)
+
+
+def levels(by: list[str]) -> list[list[str]]:
+    """The contexts of a report with subtotals: all columns, all but the last, and so on to the grand total."""
+    return [by[:n] for n in range(len(by), -1, -1)]
+
+
 # --- sales ------------------------------------------------------------------
+def _sales() -> dict[str, Column]:
+    net, profit = F.sum("NetSales"), F.sum("GrossProfit")
+    return {
+        "TotalNetSales": net,
+        "TotalGrossProfit": profit,
+        "GrossMarginShare": safe_divide(profit, net),
+        "AvgOrderValue": safe_divide(net, F.count_distinct("OrderCount")),
+    }
+
+
 def sales_measures(summary: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Net sales, gross profit, margin and average order value of the sales summary.
 
     ``AvgOrderValue`` divides by the number of different ``OrderCount`` values,
     which is how the report defines it; :func:`avg_order_value` divides by orders.
     """
-    net, profit = F.sum("NetSales"), F.sum("GrossProfit")
-    return _evaluate(
-        summary,
-        {
-            "TotalNetSales": net,
-            "TotalGrossProfit": profit,
-            "GrossMarginShare": safe_divide(profit, net),
-            "AvgOrderValue": safe_divide(net, F.count_distinct("OrderCount")),
-        },
-        by,
-    )
+    return _evaluate(summary, _sales(), by)
+
+
+def sales_report(summary: DataFrame, contexts: list[list[str]]) -> DataFrame:
+    return _in_contexts(summary, _sales(), contexts)
 
 
 def avg_order_value(fact: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -90,21 +116,25 @@ def target_attainment(
 
 
 # --- churn ------------------------------------------------------------------
-def churn_measures(dashboard: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Customers and revenue at risk; here both high and medium risk count as revenue at risk."""
+def _churn() -> dict[str, Column]:
     category = F.col("ChurnRiskCategory")
     at_risk = F.sum(F.when(category.isin("High", "Medium"), F.col("RevenueAtRisk")))
-    return _evaluate(
-        dashboard,
-        {
-            "HighRiskCustomers": F.count_if(category == "High"),
-            "TotalRevenueAtRisk": at_risk,
-            "AvgChurnRiskScore": F.avg("ChurnRiskScore"),
-            "RetentionUplift": at_risk * F.lit(V.RETENTION_UPLIFT),
-            "AvgDaysSincePurchase": F.avg("DaysSinceLastPurchase"),
-        },
-        by,
-    )
+    return {
+        "HighRiskCustomers": F.count_if(category == "High"),
+        "TotalRevenueAtRisk": at_risk,
+        "AvgChurnRiskScore": F.avg("ChurnRiskScore"),
+        "RetentionUplift": at_risk * F.lit(V.RETENTION_UPLIFT),
+        "AvgDaysSincePurchase": F.avg("DaysSinceLastPurchase"),
+    }
+
+
+def churn_measures(dashboard: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Customers and revenue at risk; here both high and medium risk count as revenue at risk."""
+    return _evaluate(dashboard, _churn(), by)
+
+
+def churn_report(dashboard: DataFrame, contexts: list[list[str]]) -> DataFrame:
+    return _in_contexts(dashboard, _churn(), contexts)
 
 
 def churn_category_share(
@@ -124,19 +154,23 @@ def churn_category_share(
 
 
 # --- inventory --------------------------------------------------------------
+def _inventory() -> dict[str, Column]:
+    days = F.col("DaysOfSupply")
+    return {
+        "TotalInventoryValue": F.sum("InventoryValue"),
+        "TotalOverstockCost": F.sum("OverstockCost"),
+        "HighStockOutSKUs": F.count_if(F.col("StockOutRisk") == "High"),
+        "AvgDaysOfSupply": F.avg(F.when(days < V.NO_SALES_DAYS_OF_SUPPLY, days)),
+        "OverstockRate": safe_divide(
+            F.count_if(F.col("OverstockFlag")).cast("double"), F.count(F.lit(1)).cast("double")
+        ),
+    }
+
+
 def inventory_measures(intelligence: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Stock value, excess cost, stock-outs, days of supply and overstock rate (a fraction)."""
-    days = F.col("DaysOfSupply")
-    return _evaluate(
-        intelligence,
-        {
-            "TotalInventoryValue": F.sum("InventoryValue"),
-            "TotalOverstockCost": F.sum("OverstockCost"),
-            "HighStockOutSKUs": F.count_if(F.col("StockOutRisk") == "High"),
-            "AvgDaysOfSupply": F.avg(F.when(days < V.NO_SALES_DAYS_OF_SUPPLY, days)),
-            "OverstockRate": safe_divide(
-                F.count_if(F.col("OverstockFlag")).cast("double"), F.count(F.lit(1)).cast("double")
-            ),
-        },
-        by,
-    )
+    return _evaluate(intelligence, _inventory(), by)
+
+
+def inventory_report(intelligence: DataFrame, contexts: list[list[str]]) -> DataFrame:
+    return _in_contexts(intelligence, _inventory(), contexts)

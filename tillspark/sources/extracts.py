@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,35 @@ def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", True).csv(file).columns)
 
 
+def _plain(path: str) -> str:
+    return path.replace("file:///", "file:/")
+
+
+def files_by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names and the files that have them.
+
+    One job finds the first line of every file, in the tasks that read it, and
+    another job per different first line has it taken apart by the reader.  So
+    the number of jobs is that of different headers, not of files.  Files
+    without a line have no columns.
+    """
+    if not files:
+        return {}
+    # A file's first lines are read by one task, in order, whatever else that task reads.
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    lines = spark.read.text(files).select("value", *place, F.monotonically_increasing_id().alias("number"))
+    first = lines.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "number").alias("line"))
+    by_line = first.groupBy("line").agg(F.collect_list("file").alias("files")).collect()
+    named = {_plain(f): f for f in files}
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in by_line:
+        own = sorted(named.pop(_plain(unquote(f))) for f in row["files"])
+        out.setdefault(_header(spark, own[0]), []).extend(own)
+    if named:
+        out.setdefault((), []).extend(named.values())
+    return {header: sorted(own) for header, own in sorted(out.items())}
+
+
 def read_files(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
     """Extract files, with columns found by their names in each file's header.
 
@@ -46,11 +76,8 @@ def read_files(spark: SparkSession, files: list[str], schema: StructType) -> Dat
     does not fit the schema has NULL in the offending columns and its text in
     ``_corrupt_record``.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        by_header.setdefault(_header(spark, file), []).append(file)
     parts = []
-    for header, group in by_header.items():
+    for header, group in files_by_header(spark, files).items():
         if missing := [f.name for f in schema if f.name not in header]:
             raise MissingColumnError(f"{', '.join(missing)} not in the header of {group[0]}")
         known = {f.name: f for f in schema}
