@@ -372,6 +372,15 @@ QUERIES = {
         {_visible('nation_3@stores.example', _MANAGED)}
         UNION ALL {_visible('chief@stores.example', 'true')}
     """,
+    "restricted_reports": f"""
+        SELECT 'vw_SalesSummary' AS Report, Region, count(*) AS ReportRows, {money('sum(net)')} AS Amount FROM summary WHERE {_MANAGED} GROUP BY Region
+        UNION ALL
+        SELECT 'vw_ChurnRiskDashboard', Region, count(*), CAST({half_up('sum(risk_e4)', '100')} AS DOUBLE) / 100 FROM board WHERE {_MANAGED} GROUP BY Region
+        UNION ALL
+        SELECT 'vw_InventoryIntelligence', Region, count(*), round(CAST(sum(value) AS DOUBLE), 2) FROM intelligence WHERE {_MANAGED} GROUP BY Region
+        UNION ALL
+        SELECT 'vw_KPISummary', NULL, count(DISTINCT OrderID), {money('sum(net_micro)')} FROM month_sales JOIN stores USING (StoreKey) WHERE {_MANAGED}
+    """,
     "fact_sales_load": _facts_sql(
         "WHERE NOT EXISTS (SELECT 1 FROM history_keys h WHERE h.OrderID = l.OrderID AND h.OrderLineID = l.OrderLineID)"
     ),
@@ -549,6 +558,17 @@ QUERIES = {
         SELECT 'summary' AS Section, CAST(0 AS INTEGER) AS Position, Period AS Label, TotalOrders AS Quantity, {money('net')} AS Amount
         FROM kpis
         UNION ALL
+        SELECT 'summary', Position, Label, Quantity, Amount FROM kpis, LATERAL (VALUES
+            (1, 'ActiveCustomers', ActiveCustomers, NULL), (2, 'HighChurnCustomers', HighChurnCustomers, NULL),
+            (3, 'HighStockOutSKUs', HighStockOutSKUs, NULL), (4, 'TotalGrossProfit', NULL, {money('profit')}),
+            (5, 'GrossMarginPct', NULL, {percent('profit', 'net')}),
+            (6, 'AvgRevenuePerCustomer', NULL, {mean_money('net', 'ActiveCustomers')}),
+            (7, 'TotalRevenueAtRisk', NULL, CAST({half_up('at_risk', '100')} AS DOUBLE) / 100)) f(Position, Label, Quantity, Amount)
+        UNION ALL
+        SELECT 'top_products_profit', CAST(row_number() OVER (ORDER BY net DESC, Category, SubCategory) - 1 AS INTEGER),
+               Category || '/' || SubCategory, units, {money('profit')}
+        FROM product_groups
+        UNION ALL
         SELECT 'top_products', CAST(row_number() OVER (ORDER BY net DESC, Category, SubCategory) - 1 AS INTEGER),
                Category || '/' || SubCategory, units, {money('net')}
         FROM product_groups

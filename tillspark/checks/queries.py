@@ -32,6 +32,7 @@ from tillspark.plans import (
     measures,
     sales,
     sales_load,
+    views,
 )
 from tillspark.session import work_dir
 from tillspark.sources import extracts
@@ -161,6 +162,37 @@ def region_security(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(by_state.agg(F.sum("NetSales").alias("NetSales")))
 
 
+def _report_warehouse(t: SampleTables) -> Warehouse:
+    """A warehouse with all that the four reports read; filled by the first query of a session."""
+    warehouse = _stored(t.spark, t.folder, "reports")
+    if warehouse.read("UserRegions").isEmpty():
+        _fill_dimensions(t, warehouse)
+        warehouse.replace("DimCustomer", t.scored_customers)
+        warehouse.replace("FactCustomerActivity", _stored_activity(t))
+        warehouse.put_batch("FactSales", t.all_sales, "all")
+        warehouse.put_snapshot("FactInventory", _inventory(t).select(*S.FACT_INVENTORY.fieldNames()))
+        warehouse.replace("UserRegions", t.user_regions)
+    return warehouse
+
+
+@query
+def restricted_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The four registered report views as a manager of one region reads them."""
+    t = SampleTables(spark, folder)
+    views.register(_report_warehouse(t), t.as_of, MANAGER)
+
+    def per_region(view: str, amount: str) -> DataFrame:
+        rows = spark.table(view).groupBy("Region").agg(F.count(F.lit(1)).alias("ReportRows"), F.sum(amount).alias("Amount"))
+        return rows.select(F.lit(view).alias("Report"), "Region", "ReportRows", F.round("Amount", 2).cast("double").alias("Amount"))
+
+    kpis = spark.table("vw_KPISummary").select(
+        F.lit("vw_KPISummary").alias("Report"), F.lit(None).cast("string").alias("Region"), F.col("TotalOrders").alias("ReportRows"),
+        F.round("TotalRevenue", 2).cast("double").alias("Amount"),
+    )
+    parts = {"vw_SalesSummary": "NetSales", "vw_ChurnRiskDashboard": "RevenueAtRisk", "vw_InventoryIntelligence": "InventoryValue"}
+    return reduce(DataFrame.unionByName, [kpis, *(per_region(view, amount) for view, amount in parts.items())])
+
+
 # --- sales load -------------------------------------------------------------
 def _load_inputs(t: SampleTables) -> tuple[DataFrame, ...]:
     return t.sales_raw, t.customers, t.products, t.stores, t.loaded_history
@@ -462,8 +494,20 @@ def kpi_context(spark: SparkSession, folder: str) -> DataFrame:
         F.col("d.summary.TotalOrders").alias("Quantity"),
         F.round("d.summary.TotalRevenue", 2).cast("double").alias("Amount"),
     )
+    counts = ["ActiveCustomers", "HighChurnCustomers", "HighStockOutSKUs"]
+    amounts = ["TotalGrossProfit", "GrossMarginPct", "AvgRevenuePerCustomer", "TotalRevenueAtRisk"]
+    fields = [
+        F.struct(
+            F.lit(i).alias("Position"), F.lit(name).alias("Label"),
+            (F.col(f"d.summary.{name}") if name in counts else F.lit(None)).cast("long").alias("Quantity"),
+            (F.lit(None) if name in counts else F.round(F.col(f"d.summary.{name}").cast("decimal(28,6)"), 2)).cast("double").alias("Amount"),
+        )
+        for i, name in enumerate([*counts, *amounts], 1)
+    ]
+    others = document.select(F.explode(F.array(*fields)).alias("f")).select(F.lit("summary").alias("Section"), "f.*")
+    profits = items("top_products", "concat(item.category, '/', item.sub_category)", "item.units_sold", "item.gross_profit")
     return (
-        summary.unionByName(
+        summary.unionByName(others).unionByName(profits.withColumn("Section", F.lit("top_products_profit"))).unionByName(
             items("top_products", "concat(item.category, '/', item.sub_category)", "item.units_sold", "item.net_sales")
         )
         .unionByName(items("churn_by_region", "item.region", "item.customers", "item.revenue_at_risk"))
