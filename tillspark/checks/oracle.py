@@ -624,6 +624,7 @@ QUERIES = {
     """,
     "daily_refresh": """
         , active AS (SELECT count(*) AS n FROM customers WHERE IsActive OR Segment = 'At-Risk')
+        SELECT t.*, Amount FROM (
         SELECT 'SalesRaw' AS TableName, count(*) AS TableRows FROM raw
         UNION ALL SELECT 'CustomerRaw', count(*) FROM customers
         UNION ALL SELECT 'InventoryRaw', count(*) FROM stock
@@ -637,7 +638,13 @@ QUERIES = {
         UNION ALL SELECT 'ModelEvaluation', 2
         UNION ALL SELECT 'ModelImportance', 10
         UNION ALL SELECT 'ScoreProfile', 1
-        UNION ALL SELECT 'ScorePreview', least(20, n) FROM active
+        UNION ALL SELECT 'ScorePreview', least(20, n) FROM active) t
+        LEFT JOIN (
+            SELECT 'SalesRaw' AS TableName, CAST(sum(Quantity) AS DOUBLE) AS Amount FROM raw
+            UNION ALL SELECT 'InventoryRaw', CAST(sum(ReorderPoint) AS DOUBLE) FROM stock
+            UNION ALL SELECT 'FactInventory', CAST(sum(QuantityOnHand) AS DOUBLE) FROM stock
+            UNION ALL SELECT 'FactSales', CAST(round(sum(CAST(Quantity * UnitPrice * (1 - Discount * 0.01) AS DECIMAL(18,6))), 2) AS DOUBLE) FROM loadable
+        ) USING (TableName)
     """,
 }
 

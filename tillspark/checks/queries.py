@@ -691,7 +691,7 @@ def daily_refresh(spark: SparkSession, folder: str) -> DataFrame:
     extracts.write_extract(_as_extract(t.sales_raw), f"{landing}/sales_today.csv")
     extracts.write_extract(t.customers_raw, f"{landing}/customers.csv")
     extracts.write_extract(t.stock, f"{landing}/inventory.csv")
-    return daily.run_day(
+    report = daily.run_day(
         warehouse,
         landing,
         t.as_of,
@@ -700,3 +700,10 @@ def daily_refresh(spark: SparkSession, folder: str) -> DataFrame:
         write_texts=lambda prompts: prompts.select("InsightArea", F.col("Prompt").alias("InsightText")),
         model_version="sample",
     )
+
+    def amount(name: str, column: str) -> DataFrame:
+        return warehouse.read(name).agg(F.round(F.sum(column), 2).cast("double").alias("Amount")).select(F.lit(name).alias("TableName"), "Amount")
+
+    parts = {"SalesRaw": "Quantity", "InventoryRaw": "ReorderPoint", "FactSales": "NetSales", "FactInventory": "QuantityOnHand"}
+    amounts = reduce(DataFrame.unionByName, [amount(name, column) for name, column in parts.items()])
+    return report.join(F.broadcast(amounts), "TableName", "left")  # one row per table
