@@ -74,8 +74,12 @@ def counters(hashes: np.ndarray, width: int) -> list[np.ndarray]:
 
 def count(table: pa.Table, width: int) -> pa.Table:
     """A block's partial sketch: per range of counters those it hits once or more, and of them those it hits again."""
-    block, rows = table.column("block")[0].as_py(), []
-    hashes = block_windows(table)[0]
+    return partial_sketch(block_windows(table)[0], table.column("block")[0].as_py(), width)
+
+
+def partial_sketch(hashes: np.ndarray, block: int, width: int) -> pa.Table:
+    """Ranges of counters with those that the hashes of a block hit, and hit again."""
+    rows = []
     for cells in counters(hashes, width):
         cells.sort()
         new = np.ones(len(cells), bool)

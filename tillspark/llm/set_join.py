@@ -15,6 +15,11 @@ segments to spare, and every set leaves out those of its subsets that are the
 most common, being the smallest.  Two similar sets share one subset more than
 either leaves out, and the largest shared one is left out by neither.
 
+Most entries are of one set only and of no use.  So blocks of texts first count
+their entries into partial count-min sketches, which are merged per range of
+counters; a second pass over the blocks writes only entries that are estimated
+to occur twice.  Estimates are never too low, so no shared entry is lost.
+
 Equal sets are one class.  All members of an index entry are compared with its
 smallest and largest id, on their texts and exactly.  Where that leaves members
 of an entry in different components, all pairs across components are compared:
@@ -28,10 +33,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillspark.llm.blocks import in_blocks
 from tillspark.llm.components import components
+from tillspark.llm.repeats import ANSWER, COUNTS, counters, ddl, estimated_repeated, merge, partial_sketch
 from tillspark.llm.tables import stored
 from tillspark.llm.words import mix, pieces, windows, word_hashes, words_of
 
@@ -130,25 +138,56 @@ def entries(rows: np.ndarray, values: np.ndarray, sizes: np.ndarray, shingle: in
     return all_rows[order], all_entries[order]
 
 
-DESCRIBED = "id long, n long, h1 long, h2 long, entries array<long>"
+DESCRIBED = "block long, id long, n long, h1 long, h2 long"
+#: Counters of the sketch per shingle, of which a set has fewer entries than two.
+COUNTERS_PER_SHINGLE = 2
 
 
-def _describe(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Size, two sums of hashes (equal for equal sets) and index entries of every text."""
+def _describe(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """Size and two sums of hashes (equal for equal sets) of every text."""
     for batch in batches:
         for piece in pieces(batch, "text"):
             rows, values = shingle_sets(piece.column("text"), shingle)
-            n = piece.num_rows
-            sizes = np.bincount(rows, minlength=n)
+            sizes = np.bincount(rows, minlength=piece.num_rows)
+            edges = np.append(0, np.cumsum(sizes))
             sums = []
             for seed in (1, 2):
                 total = np.append(np.uint64(0), np.cumsum(mix(values + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64))
-                edges = np.append(0, np.cumsum(sizes))
                 sums.append((total[edges[1:]] - total[edges[:-1]]).view(np.int64))
-            owner, index = entries(rows, values, sizes, shingle, percent)
-            offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(index.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], ["id", "n", "h1", "h2", "entries"])
+            yield pa.RecordBatch.from_arrays([piece.column("block"), piece.column("id"), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1])], ["block", "id", "n", "h1", "h2"])
+
+
+def _entries_of(table: pa.Table, wanted: pa.Array, shingle: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and index entries of a block's texts with a wanted id, some texts at a time."""
+    own = table.filter(pc.is_in(table.column("id"), value_set=wanted))
+    for piece in pieces(own, "text"):
+        rows, values = shingle_sets(piece.column("text"), shingle)
+        owner, index = entries(rows, values, np.bincount(rows, minlength=piece.num_rows), shingle, percent)
+        yield piece.column("id").to_numpy()[owner], index
+
+
+def _count_entries(table: pa.Table, wanted: pa.Table, width: int, shingle: int, percent: int) -> pa.Table:
+    """A block's partial sketch of the entries of its wanted texts."""
+    if not table.num_rows or not wanted.num_rows:
+        return COUNTS.empty_table()
+    found = [index for _, index in _entries_of(table, wanted.column("id").combine_chunks(), shingle, percent)]
+    return partial_sketch(np.concatenate([np.zeros(0, np.uint64), *found]), table.column("block")[0].as_py(), width)
+
+
+def _shared_entries(table: pa.Table, asked: pa.Table, width: int, shingle: int, percent: int) -> pa.Table:
+    """A block's ids and entries that the merged sketch says occur twice; ``asked`` has its wanted ids and its answers."""
+    wanted = asked.filter(pc.is_null(asked.column("part"))).column("id").combine_chunks()
+    answered = asked.filter(pc.is_valid(asked.column("part")))
+    known = dict(zip(answered.column("part").to_pylist(), answered.column("repeated").to_pylist(), strict=True))
+    ids, kept = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    if table.num_rows and known:
+        found = list(_entries_of(table, wanted, shingle, percent))
+        owner, index = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        keep = np.ones(len(index), bool)
+        for cells in counters(index, width):
+            keep &= estimated_repeated(cells, known)
+        ids, kept = [owner[keep]], [index[keep]]
+    return pa.table({"id": np.concatenate(ids), "entry": np.concatenate(kept).view(np.int64)})
 
 
 def alike(left_size: np.ndarray, right_size: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
@@ -223,25 +262,37 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     null doc_id can't be reached: its component_id is null.  Rows with the same
     doc_id are one document of several texts, and so in one component.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    described = stored(texts.mapInArrow(partial(_describe, shingle=shingle, percent=percent), DESCRIBED), "described")
+    own_texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    blocks = in_blocks(own_texts, ["id", "text"])
+    texts = blocks.select("id", "text")
+    described = stored(blocks.mapInArrow(partial(_describe, shingle=shingle), DESCRIBED), "described")
     known = described.filter("n > 0 and id is not null")
-    classes = stored(known.groupBy("n", "h1", "h2").agg(F.min("id").alias("class")), "classes")
+    classes = stored(known.groupBy("n", "h1", "h2").agg(F.min("id").alias("class"), F.min_by("block", "id").alias("block")), "classes")
 
     # Index entries of one member of each class; those with other members too.
-    members = known.join(classes, ["n", "h1", "h2"])
-    entry = members.filter("id = class").select("id", F.explode("entries").alias("entry"))
+    width = max(1, COUNTERS_PER_SHINGLE * (classes.agg(F.sum("n")).first()[0] or 0))
+    members = classes.select("block", F.col("class").alias("id")).distinct()
+    sketch = blocks.groupBy("block").cogroup(members.groupBy("block")).applyInArrow(
+        lambda own, wanted: _count_entries(own, wanted, width, shingle, percent), ddl(COUNTS)
+    )
+    answers = sketch.groupBy("part").applyInArrow(merge, ddl(ANSWER)).select("block", "part", "repeated", F.lit(None).cast("long").alias("id"))
+    nothing = [F.lit(None).cast("long").alias("part"), F.lit(None).cast("binary").alias("repeated")]
+    asked = answers.unionByName(members.select("block", *nothing, "id"))
+    entry = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
+        lambda own, answered: _shared_entries(own, answered, width, shingle, percent), "id long, entry long"
+    )
+    entry = stored(entry, "repeated-entries")
     ends = entry.groupBy("entry").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
     shared = stored(entry.join(ends, "entry"), "entries")
 
     # Texts of the members, then the pairs of each with the ends of its entries.
     wanted = shared.select("id").distinct()
-    sizes = known.select("id", "n", "h1", "h2").join(classes, ["n", "h1", "h2"]).filter("id = class").select("id", "n").distinct()
+    sizes = known.select("id", "n", "h1", "h2").join(classes.drop("block"), ["n", "h1", "h2"]).filter("id = class").select("id", "n").distinct()
     texts = stored(texts.join(wanted.join(sizes, "id"), "id").select("id", "n", "text"), "entry-texts")
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     tested = shared.select(*ordered("id", "low")).unionByName(shared.select(*ordered("id", "high"))).filter("a < b").distinct()
     tested = stored(tested, "tested-pairs")
-    own = described.filter("id is not null and n > 0").join(classes, ["n", "h1", "h2"])
+    own = known.join(classes.drop("block"), ["n", "h1", "h2"])
     several = own.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("id", "low")
     same_id = own.select("id", "class").join(several, "id").select(F.col("class").alias("a"), F.col("low").alias("b"))
     first = components(similar_pairs(tested, texts, shingle, percent).unionByName(same_id))
@@ -269,7 +320,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     more = more.unionByName(groups.groupBy("entry", "i", "j").applyInArrow(lambda own: _compare_blocks(own, shingle, percent), "a long, b long"))
 
     final = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
-    named = classes.join(final.withColumnRenamed("id", "class"), "class", "left").select("n", "h1", "h2", F.coalesce("component", "class").alias("component_id"))
+    named = classes.drop("block").join(final.withColumnRenamed("id", "class"), "class", "left").select("n", "h1", "h2", F.coalesce("component", "class").alias("component_id"))
     result = described.select("id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left")
     return result.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
