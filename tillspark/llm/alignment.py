@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from tillspark.llm.tokens import ByteTokens
 from tillspark.llm.words import pieces
 
 #: Text bytes that a task aligns at a time, and bytes of a block, one text at least.
-PIECE, BLOCK = 1 << 20, 16 << 20
+PIECE, BLOCK = 1 << 20, 16 << 20  # a piece has fewer than 2 ** 23 texts, so that text and pair of ids fit a number
 #: Entries of a product that are made at a time.
 ENTRIES = 1 << 22
 #: Bits of an id in a pair of ids.
@@ -151,18 +151,24 @@ class Aligned:
         for place, own, group, of, mark in ((place_a, self.a, self.group_a, self.text_a, "|"), (place_b, self.b, self.group_b, self.text_b, ";")):
             ids[place], text[place] = own, of
             sign[place[np.flatnonzero(np.diff(group, append=n_groups))]] = ord(mark)
-        width = np.ones(n, np.int64)
-        for k in range(1, 7):
-            width += ids >= 10**k
-        out = np.zeros((n, 8), np.uint8)
-        for k in range(int(width.max(initial=1))):
-            digit = ids // 10 ** np.maximum(width - 1 - k, 0) % 10
-            out[:, k] = digit + ord("0")
+        digits, widths = decimals(int(ids.max(initial=0)))
+        out, width = digits[ids], widths[ids]
         out[np.arange(n), width] = sign
         flat = out[np.arange(8) <= width[:, None]]
         return flat, np.append(0, np.cumsum(np.bincount(text, width + 1))).astype(np.int64)
 
 
+@cache
+def decimals(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digits of the numbers up to ``most``, and how many there are."""
+    numbers = np.arange(most + 1)
+    width = np.searchsorted(10 ** np.arange(1, 8), numbers, "right") + 1
+    out = np.zeros((most + 1, 8), np.uint8)
+    for k in range(7):
+        out[:, k] = numbers // 10 ** np.maximum(width - 1 - k, 0) % 10 + ord("0")
+    return out, width
+
+
 class Tokenizers:
     """Both tokenizers and the bytes of their ids, made once per task."""
 
@@ -199,8 +205,7 @@ class Block:
     def __init__(self, number: int) -> None:
         self.number, self.bytes = number, 0
         self.rows: list[tuple] = []
-        self.keys = np.zeros(0, np.int64)
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, ids: list[int | None], aligned: Aligned) -> None:
         n = len(ids)
@@ -217,16 +222,17 @@ class Block:
         data = flat.tobytes()
         digests = [hashlib.sha256(data[ends[i] : ends[i + 1] - 1]).hexdigest() if ends[i + 1] > ends[i] else "" for i in range(n)]
         # Every text's different pairs and how often it has them.
-        key = aligned.a[row] << ID_BITS | aligned.b[links.indices]
-        kinds, index = np.unique(key, return_inverse=True)
-        of_text, times = np.unique(text * len(kinds) + index, return_counts=True)
-        counts = np.bincount(index, minlength=len(kinds))
-        self.parts.append((kinds, counts, np.zeros(0)))
-        edges = np.searchsorted(of_text, np.arange(n + 1) * len(kinds))
+        pair_bits = 2 * ID_BITS
+        key = text << pair_bits | aligned.a[row] << ID_BITS | aligned.b[links.indices]
+        key.sort()
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.diff(np.append(first, len(key)))
+        of_text, pair = key[first] >> pair_bits, key[first] & (1 << pair_bits) - 1
+        self.parts.append((pair, times))
+        edges = np.searchsorted(of_text, np.arange(n + 1))
         for i in range(n):
             own = slice(edges[i], edges[i + 1])
-            pairs = kinds[of_text[own] - i * len(kinds)] if edges[i + 1] > edges[i] else kinds[:0]
-            self.rows.append((ids[i], int(per_a[i]), int(per_b[i]), int(per_group[i]), int(per_link[i]), int(shared[i]), digests[i], pairs, times[own]))
+            self.rows.append((ids[i], int(per_a[i]), int(per_b[i]), int(per_group[i]), int(per_link[i]), int(shared[i]), digests[i], pair[own], times[own]))
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         """The texts' rows, and a row without counts for the block's own pairs."""
