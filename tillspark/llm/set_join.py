@@ -52,7 +52,7 @@ SUBSET_WORDS = 18
 #: A set may leave out one of so many subsets.
 SPARE = 8
 #: Entries up to this many members are compared pair by pair, others in blocks of so many.
-SMALL_ENTRY, BLOCK = 32, 256
+SMALL_ENTRY, BLOCK = 32, 1024
 
 
 class Band:
@@ -299,24 +299,27 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
 
     # Entries that still have members in different components.
     part = shared.filter("members > 3").join(first, "id", "left").withColumn("part", F.coalesce("component", "id"))
-    split = part.groupBy("entry").agg(F.min("part").alias("lowest"), F.max("part").alias("highest"), F.min_by("part", "id").alias("main")).filter("lowest < highest")
-    open_ = stored(part.join(split.select("entry", "main"), "entry").select("entry", "members", "id", "part", "main"), "open-entries")
+    # The main part of an entry is the one with the most members; only the others have to be compared with all.
+    per_part = part.groupBy("entry", "part").agg(F.count(F.lit(1)).alias("n"))
+    split = per_part.groupBy("entry").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("all")).filter("most.n < all")
+    split = split.select("entry", F.col("most.part").alias("main"), (F.col("all") - F.col("most.n")).alias("others"))
+    open_ = stored(part.join(split, "entry").select("entry", "members", "id", "part", "main", "others"), "open-entries")
     side = open_.filter(F.col("members") <= SMALL_ENTRY).select("entry", "id", "part")
     other = side.select("entry", F.col("id").alias("id_b"), F.col("part").alias("part_b"))
     rest = side.join(other, "entry").filter("id < id_b and part != part_b").select(F.col("id").alias("a"), F.col("id_b").alias("b"))
     rest = rest.distinct().join(tested, ["a", "b"], "left_anti")
     more = similar_pairs(rest, texts, shingle, percent)
 
-    # Blocks: those outside of the first member's component against all.
+    # Blocks: those outside of the main part against all, in as few blocks as they fill.
     large = open_.filter(F.col("members") > SMALL_ENTRY)
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    number = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    outside = large.filter("part != main").select("entry", "id", number.alias("i"), F.explode(every).alias("j"))
-    inside = large.select("entry", "id", F.explode(every).alias("i"), number.alias("j"))
-    groups = outside.unionByName(inside).distinct().join(texts.select("id", "text"), "id")
+    n_i, n_j = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("others", "members"))
+    number = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    outside = large.filter("part != main").select("entry", "id", number(n_i).alias("i"), every(n_j).alias("j"))
+    inside = large.select("entry", "id", every(n_i).alias("i"), number(n_j).alias("j"))
     needed = outside.select("entry", "i").distinct()
-    groups = groups.join(needed, ["entry", "i"], "left_semi").repartition("entry", "i", "j")
+    groups = outside.unionByName(inside).distinct().join(needed, ["entry", "i"], "left_semi")
+    groups = groups.join(texts.select("id", "text"), "id").repartition("entry", "i", "j")
     more = more.unionByName(groups.groupBy("entry", "i", "j").applyInArrow(lambda own: _compare_blocks(own, shingle, percent), "a long, b long"))
 
     final = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
