@@ -79,7 +79,7 @@ def test_run_applies_all_stages(spark, folder):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
@@ -91,7 +91,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_query_matches_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     result = queries.QUERIES[name](spark, FOLDER)
     answer = connection.execute(queries.ORACLE_SQL[name])
