@@ -110,7 +110,7 @@ def test_every_round_of_training_sees_all_texts(spark):
     texts = [" ".join(rng.choice(topics[rng.randrange(3) if rng.random() < 0.1 else i % 3]) for _ in range(rng.randrange(10, 30))) for i in range(1500)]
     _, hashes, _ = hmm.tokens(pa.array(texts))
     symbols = hmm.Symbols(np.unique(hashes), np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES))
-    sequence, first, *_ = hmm.sequences(pa.array(texts), symbols)
+    sequence, first = hmm.sequences(pa.array(texts), symbols)
     model, before, calm = hmm.first_model(symbols, 3), -math.inf, 0
     while calm < 3:
         *counts, chance = hmm.expected_counts(model, *hmm.segments(sequence, first))

@@ -41,6 +41,8 @@ SEGMENT = 256
 TOGETHER = 2048
 #: Training ends when so many rounds in a row have each raised the log probability of a symbol by less: one alone may be a saddle.
 SETTLED, CALM = 1e-5, 3
+#: Scales of the forward recursion whose product stays a normal number: after 1e13 training tokens the least is about 1e-24.
+LOGS = 8
 #: Tokens that every state is taken to have emitted besides, at the symbols' shares.
 SMOOTH = 100.0
 #: Different words that a task for a range of hashes counts, about.
@@ -183,15 +185,18 @@ def _symbols(totals: DataFrame) -> tuple[Symbols, int, int]:
     return Symbols(np.sort(top[0].view(np.uint64)), *in_classes), int(stats[0].sum()), int(stats[1].sum())
 
 
-def sequences(column: pa.Array, symbols: Symbols):
-    """Symbols of texts one after the other, each with its end, and the positions where texts begin; and their words' hashes and classes."""
+def sequences(column: pa.Array, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of texts one after the other, each with its end, and the positions where texts begin."""
     words, hashes, classes = tokens(column)
-    own = symbols.of(hashes, classes)
-    n = words.per_text()
+    return with_ends(symbols.of(hashes, classes), words.per_text(), symbols.end)
+
+
+def with_ends(own: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words' symbols of texts of n words each, with an end after each text, and the positions where texts begin."""
     first = np.append(0, np.cumsum(n + 1))
-    out = np.full(int(first[-1]), symbols.end, np.int64)
-    out[np.arange(len(own)) + words.text_of()] = own
-    return out, first, words, hashes, classes
+    out = np.full(int(first[-1]), end, np.int64)
+    out[np.arange(len(own)) + np.repeat(np.arange(len(n)), n)] = own
+    return out, first
 
 
 def segments(sequence: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -279,7 +284,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], symbols: Symbols) -> Iterator[pa
     """Symbols of every text, as numbers of two bytes."""
     for batch in batches:
         for piece in pieces(batch, "text", 1 << 20):
-            sequence, first, *_ = sequences(piece.column("text"), symbols)
+            sequence, first = sequences(piece.column("text"), symbols)
             data = pa.py_buffer(sequence.astype(np.int16).tobytes())
             column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, pa.py_buffer((2 * first).astype(np.int64).tobytes()), data])
             yield pa.RecordBatch.from_arrays([column.cast(pa.binary())], ["symbols"])
@@ -318,19 +323,30 @@ def train(texts: DataFrame, n: int, symbols: Symbols, states: int = STATES, sett
 
 
 def log10_forward(model: Model, sequence: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 probability of every whole sequence: forward recursion, scaled to sum 1 after each symbol."""
+    """log10 probability of every whole sequence: forward recursion, scaled to sum 1 after each symbol.
+
+    Texts are columns and states rows; the logarithms of up to LOGS scales are taken at once, from their product.
+    """
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     begin, n = first[:-1][order], length[order]
     width = int(n.max(initial=0))
     live = np.searchsorted(-n, -np.arange(width), "left")
-    out, state = np.zeros(len(n)), np.broadcast_to(model.start, (len(n), len(model.start)))
+    emit, turned = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+    out, scales, ones = np.zeros(len(n)), np.ones(len(n)), np.ones(len(model.start))
+    state = np.repeat(model.start[:, None], len(n), axis=1)
     for t in range(width):
         m = live[t]
-        state = state[:m] * model.emit[sequence[begin[:m] + t]]
-        scale = state.sum(axis=1)
-        out[:m] += np.log10(scale)
-        state = (state / scale[:, None]) @ model.move
+        now = np.take(emit, sequence[begin[:m] + t], axis=1, mode="clip")
+        now *= state[:, :m]
+        scale = ones @ now
+        scales[:m] *= scale
+        if t % LOGS == LOGS - 1:
+            out += np.log10(scales)
+            scales[:] = 1
+        now /= scale
+        state = turned @ now
+    out += np.log10(scales)
     back = np.empty_like(out)
     back[order] = out
     return back
@@ -344,19 +360,25 @@ def _score(table: pa.Table, answers: pa.Table, model: Model, symbols: Symbols, n
     if not table.num_rows:
         return pa.table({c.split()[0]: pa.array([], pa.int64() if "long" in c else pa.float64()) for c in SCORED.split(", ")})
     known = dict(zip(answers.column("part").to_pylist(), answers.column("n").to_pylist(), strict=True))
-    hashes = _different(table)[0]
+    read = []
+    for piece in pieces(table, "text"):
+        words, own, classes = tokens(piece.column("text"))
+        read.append((words.per_text(), own, classes.astype(np.int16)))
+    hashes = np.unique(np.concatenate([own for _, own, _ in read]))
     counts = np.concatenate([np.zeros(0, np.int64), *(unpacked(known[p], np.int64) for p in sorted(known))])
     share = np.log10(symbols.tokens + symbols.words + 1.0)
     out = []
-    for piece in pieces(table, "text"):
-        sequence, first, words, own, classes = sequences(piece.column("text"), symbols)
+    for n_words, own, classes in read:
+        symbol = symbols.of(own, classes)
         count = counts[np.searchsorted(hashes, own)]
-        tail = sequence[np.arange(len(own)) + words.text_of()] > symbols.end
-        rare = np.where(tail, np.log10(count + 1.0) - share[classes], 0.0)
-        per = lambda x: np.diff(np.append(0, np.cumsum(x))[words.first])
-        n_tokens = words.per_text() + 1
-        base = per(np.log10(count + 1.0)) + math.log10(ends + 1) - n_tokens * math.log10(n + v + 1)
-        out.append((n_tokens, per(count > 0) + (ends > 0), base, log10_forward(model, sequence, first) + per(rare)))
+        log = np.log10(count + 1.0)
+        rare = np.where(symbol > symbols.end, log - share[classes], 0.0)
+        edges = np.append(0, np.cumsum(n_words))
+        per = lambda x: np.diff(np.append(0, np.cumsum(x))[edges])
+        n_tokens = n_words + 1
+        base = per(log) + math.log10(ends + 1) - n_tokens * math.log10(n + v + 1)
+        chance = log10_forward(model, *with_ends(symbol, n_words, symbols.end))
+        out.append((n_tokens, per(count > 0) + (ends > 0), base, chance + per(rare)))
     columns = [np.concatenate(x) for x in zip(*out, strict=True)]
     names = [c.split()[0] for c in SCORED.split(", ")]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
