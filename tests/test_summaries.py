@@ -1,0 +1,111 @@
+"""Stored totals per day: equal to the reports over the sales after every kind of change, and only the days concerned rewritten."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.golden_rows import AS_OF
+from tillspark.functions.dates import month_bounds
+from tillspark.operators.bitmaps import count_numbers, number_bitmaps
+from tillspark.plans import sales, summaries, views
+
+ALL = (0, 99991231)
+
+
+def rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def days_of(df):
+    return sorted(r[0] for r in df.select("DateKey").distinct().collect())
+
+
+def plain_totals(warehouse, by=(), first=0, last=99991231):
+    fact = sales.kept_sales(warehouse.read("FactSales").filter(F.col("DateKey").between(first, last)))
+    placed = fact.join(warehouse.read("DimStore").select("StoreKey", "Region"), "StoreKey", "left")
+    return placed.groupBy(*by).agg(
+        F.sum("NetSales").alias("TotalRevenue"), F.sum("GrossProfit").alias("TotalGrossProfit"),
+        F.count_distinct("OrderID").alias("TotalOrders"), F.count_distinct("CustomerKey").alias("ActiveCustomers"),
+    )
+
+
+def agree(warehouse):
+    assert rows(summaries.sales_summary(warehouse)) == rows(views.sales_summary(warehouse))
+    assert rows(summaries.period_totals(warehouse, *ALL)) == rows(plain_totals(warehouse))
+    assert rows(summaries.period_totals(warehouse, *ALL, ["SaleMonth", "Region"])) == rows(plain_totals(warehouse, ["SaleMonth", "Region"]))
+
+
+def test_days_follow_batches_replays_and_groups(golden_warehouse, golden):
+    w, fact = golden_warehouse, golden.fact
+    assert summaries.refresh(w) == []
+    first = summaries.period_totals(w, *ALL).first()
+    assert (first.TotalRevenue, first.TotalOrders, first.ActiveCustomers) == (None, 0, 0)
+
+    every = days_of(fact)
+    early, late = fact.filter(F.col("DateKey") < every[-1]), fact.filter(F.col("DateKey") == every[-1])
+    w.put_batch("FactSales", early, "one")
+    assert summaries.refresh(w) == every[:-1]
+
+    # A late batch: an order goes on on another day, and one day is new.
+    again = early.filter(F.col("DateKey") == every[0]).withColumn("DateKey", F.lit(every[1])).withColumn("OrderLineID", F.lit(9))
+    w.put_batch("FactSales", late.unionByName(again), "two")
+    assert summaries.refresh(w) == [every[1], every[-1]]
+    agree(w)
+
+    # A replay without the new day leaves that day empty.
+    w.put_batch("FactSales", again, "two")
+    assert summaries.refresh(w) == [every[1], every[-1]]
+    assert summaries.period_totals(w, every[-1], every[-1]).first().TotalOrders == 0
+    agree(w)
+    w.put_batch("FactSales", late.filter("false"), "three")
+    assert summaries.refresh(w) == []
+
+    # Another segment, and a product that goes and comes back.
+    mine = F.col("CustomerKey") == 1
+    w.replace("DimCustomer", golden.customers.withColumn("Segment", F.when(mine, F.lit("New")).otherwise(F.col("Segment"))))
+    assert summaries.refresh(w) == days_of(w.read("FactSales").filter(mine))
+    agree(w)
+    product = w.read("FactSales").first().ProductKey
+    sold = days_of(w.read("FactSales").filter(F.col("ProductKey") == product))
+    for products in (golden.products.filter(F.col("ProductKey") != product), golden.products):
+        w.replace("DimProduct", products)
+        assert summaries.refresh(w) == sold
+    agree(w)
+
+
+def test_a_refresh_that_breaks_off_is_repaired(golden_warehouse, golden, monkeypatch):
+    golden_warehouse.put_batch("FactSales", golden.fact, "one")
+    put = golden_warehouse.put_snapshot
+
+    def breaks(name, df):
+        if name == "SalesOrders":
+            raise OSError("lost")
+        put(name, df)
+
+    monkeypatch.setattr(golden_warehouse, "put_snapshot", breaks)
+    with pytest.raises(OSError, match="lost"):
+        summaries.refresh(golden_warehouse)
+    monkeypatch.undo()
+    assert summaries.refresh(golden_warehouse) == days_of(golden.fact)
+    agree(golden_warehouse)
+
+
+def test_reports_read_no_sales_and_follow_the_principal(spark, golden_warehouse, golden):
+    golden_warehouse.put_batch("FactSales", golden.fact, "one")
+    summaries.refresh(golden_warehouse)
+    region = golden.stores.first().Region
+    golden_warehouse.replace("UserRegions", spark.createDataFrame([("m@x", region)], "UserEmail string, Region string"))
+    seen = summaries.sales_summary(golden_warehouse, "m@x")
+    assert rows(seen) == rows(views.sales_summary(golden_warehouse, "m@x"))
+    own = summaries.period_totals(golden_warehouse, *month_bounds(AS_OF), principal="m@x")
+    assert rows(own) == rows(plain_totals(golden_warehouse, ["Region"], *month_bounds(AS_OF)).filter(F.col("Region") == region).drop("Region"))
+    for df in (seen, own):
+        assert not [f for f in df.inputFiles() if "/FactSales/" in f]
+
+
+def test_bitmaps_count_like_distinct(spark):
+    numbers = spark.range(100_000).selectExpr("id % 3 AS g", "CASE WHEN id % 7 = 0 THEN NULL ELSE id * id % 70001 - 5 END AS n")
+    parts = number_bitmaps(numbers.withColumn("day", F.col("n") % 5), ["g", "day"], "n")
+    assert rows(count_numbers(parts, ["g"], "d")) == rows(numbers.groupBy("g").agg(F.count_distinct("n").alias("d")))
+    assert count_numbers(parts, [], "d").first().d == numbers.select(F.count_distinct("n")).first()[0]

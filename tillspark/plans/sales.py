@@ -61,7 +61,12 @@ def _sales_totals() -> dict[str, Column]:
 def sales_summary(
     fact: DataFrame, dates: DataFrame, stores: DataFrame, products: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Sales without returns per day, place, product group and customer segment.
+    """Sales without returns per day, place, product group and customer segment."""
+    return described_days(sales_groups(fact, stores, products, customers), dates)
+
+
+def sales_groups(fact: DataFrame, stores: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """The groups of the sales summary with the key of their day.
 
     Two distinct counts make Spark shuffle every sale three times, so the sales
     carry codes for the store and product columns and the key of the day; the
@@ -78,15 +83,19 @@ def sales_summary(
     groups = sales.groupBy("DateKey", "StoreGroup", "ProductGroup", "CustomerSegment").agg(
         *[c.alias(name) for name, c in totals.items()]
     )
-    described = lookup(groups, dates.select("DateKey", *DATE_COLUMNS), "DateKey")
-    described = lookup(described, store_groups, "StoreGroup")
+    described = lookup(groups, store_groups, "StoreGroup")
     described = lookup(described, product_groups, "ProductGroup")
-    return described.select(
+    return described.select("DateKey", *STORE_COLUMNS, *PRODUCT_COLUMNS, "CustomerSegment", *totals)
+
+
+def described_days(groups: DataFrame, dates: DataFrame) -> DataFrame:
+    """The sales summary from its groups."""
+    return lookup(groups, dates.select("DateKey", *DATE_COLUMNS), "DateKey").select(
         *DATE_COLUMNS,
         *STORE_COLUMNS,
         *PRODUCT_COLUMNS,
         "CustomerSegment",
-        *totals,
+        *_sales_totals(),
         percent_of(F.col("GrossProfit"), F.col("NetSales")).alias("GrossMarginPct"),
     )
 
@@ -95,13 +104,18 @@ def kpi_summary(
     fact: DataFrame, customers: DataFrame, churn: DataFrame, inventory: DataFrame, as_of: dt.date
 ) -> DataFrame:
     """One row of key figures for the month of ``as_of``, also when nothing was sold."""
-    is_high = F.col("ChurnRiskCategory") == "High"
     month = kept_sales(current_month(fact, as_of)).agg(
         F.sum("NetSales").alias("TotalRevenue"),
         F.sum("GrossProfit").alias("TotalGrossProfit"),
         F.count_distinct("OrderID").alias("TotalOrders"),
         F.count_distinct("CustomerKey").alias("ActiveCustomers"),
     )
+    return kpi_row(month, customers, churn, inventory)
+
+
+def kpi_row(month: DataFrame, customers: DataFrame, churn: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Key figures from one row of the month's sales totals."""
+    is_high = F.col("ChurnRiskCategory") == "High"
     high_customers = customers.filter(is_high & F.col("IsActive")).agg(F.count(F.lit(1)))
     at_risk = churn.filter(is_high).agg(F.sum("RevenueAtRisk"))
     stock_outs = inventory.filter(F.col("StockOutRisk") == "High").agg(F.count(F.lit(1)))

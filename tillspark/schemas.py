@@ -5,6 +5,8 @@ decimal; ``TotalSpend`` is wide because one customer may own much of the fact.
 """
 
 from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
     BooleanType,
     DateType,
     DecimalType,
@@ -27,9 +29,12 @@ _TYPES = {
     "price": DecimalType(10, 2),
     "percent": DecimalType(5, 2),
     "money": DecimalType(18, 6),
+    "sum": DecimalType(28, 6),
     "total": DecimalType(20, 2),
     "share": DecimalType(5, 4),
     "float": DoubleType(),
+    "bits": BinaryType(),
+    "texts": ArrayType(StringType()),
 }
 
 
@@ -101,6 +106,17 @@ FOREST_INPUTS = _schema("Feature:int Name:str Shift:float Scale:float")
 SCORE_PREVIEW = _schema("CustomerID:str ChurnProbability:share ChurnRiskCategory:str ScoredDate:date")
 KPI_CONTEXT = _schema("KPIContext:str KPIText:str")
 
+# --- stored totals per day --------------------------------------------------
+SALES_GROUPS = _schema(
+    "DateKey:int Region:str State:str StoreType:str Category:str SubCategory:str Brand:str CustomerSegment:str "
+    "GrossSales:sum NetSales:sum GrossProfit:sum UnitsSold:long OrderCount:long UniqueCustomers:long"
+)
+SALES_REGIONS = _schema("DateKey:int Region:str NetSales:sum GrossProfit:sum Lines:long")
+SALES_ORDERS = _schema("DateKey:int Region:str OrderID:str")
+SALES_CUSTOMERS = _schema("DateKey:int Region:str Bucket:long Bits:bits")
+SUMMARY_BATCHES = _schema("BatchID:str Attempt:int DateKey:int")
+SUMMARY_KEYS = _schema("DimTable:str Key:long Groups:texts Present:bool")
+
 # --- constraints ------------------------------------------------------------
 BUSINESS_KEYS = {"DimCustomer": ["CustomerID"], "DimProduct": ["ProductID"], "DimStore": ["StoreID"]}
 SALES_FOREIGN_KEYS = {

@@ -45,13 +45,21 @@ TABLES: dict[str, StructType] = {
     "ModelImportance": S.MODEL_IMPORTANCE,
     "ScoreProfile": S.SCORE_PROFILE,
     "ScorePreview": S.SCORE_PREVIEW,
+    "SummaryBatches": S.SUMMARY_BATCHES,
+    "SummaryKeys": S.SUMMARY_KEYS,
 }
 BATCH_TABLES: dict[str, StructType] = {
     "FactSales": S.FACT_SALES,
     "SalesRejects": S.SALES_REJECTS,
     "AIInsights": S.INSIGHTS,
 }
-SNAPSHOT_TABLES: dict[str, StructType] = {"FactInventory": S.FACT_INVENTORY}
+SNAPSHOT_TABLES: dict[str, StructType] = {
+    "FactInventory": S.FACT_INVENTORY,
+    "SalesGroups": S.SALES_GROUPS,
+    "SalesRegions": S.SALES_REGIONS,
+    "SalesOrders": S.SALES_ORDERS,
+    "SalesCustomers": S.SALES_CUSTOMERS,
+}
 #: Batch tables whose keys are indexed, so that loads find known keys without scanning them.
 INDEXED: dict[str, list[str]] = {"FactSales": ["OrderID", "OrderLineID"]}
 
@@ -148,7 +156,7 @@ class Warehouse:
         """Replace the ``DateKey`` partitions present in ``df``; other dates survive."""
         (
             self._shaped(df, SNAPSHOT_TABLES[name])
-            .hint("rebalance")
+            .hint("rebalance", "DateKey")  # a day in few files; the adaptive planner splits a large one
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("DateKey")
