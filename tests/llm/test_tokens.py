@@ -1,0 +1,10 @@
+"""The encoder that tasks of a worker share."""
+
+from tillspark.llm import packing, tokens
+
+
+def test_a_worker_builds_its_encoder_once():
+    with open(packing.vocabulary_file(), encoding="utf-8") as file:
+        definition = file.read()
+    assert tokens.shared_tokens(definition, False) is tokens.shared_tokens(definition, False)
+    assert tokens.shared_tokens(definition, True) is not tokens.shared_tokens(definition, False)

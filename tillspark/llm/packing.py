@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillspark.llm.tables import stored
-from tillspark.llm.tokens import ByteTokens
+from tillspark.llm.tokens import shared_tokens
 from tillspark.llm.words import pieces
 
 SEQUENCE, END = 2048, 1
@@ -284,7 +284,7 @@ def whole_patterns(counts: dict[int, int], capacity: int = SEQUENCE) -> list[Pat
 
 def _cut(batches: Iterator[pa.RecordBatch], definition: str, capacity: int) -> Iterator[pa.RecordBatch]:
     """Pieces of every document with the checksum of their ids, numbered per length within the task."""
-    tokens, ranks, block = ByteTokens(definition, plain=False), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
+    tokens, ranks, block = shared_tokens(definition, plain=False), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
     end = np.array([END], ID).tobytes()
     for batch in batches:
         for part in pieces(batch, "text", TEXT_BYTES):
