@@ -170,7 +170,8 @@ def _report_warehouse(t: SampleTables) -> Warehouse:
         warehouse.replace("DimCustomer", t.scored_customers)
         warehouse.replace("FactCustomerActivity", _stored_activity(t))
         warehouse.put_batch("FactSales", t.all_sales, "all")
-        warehouse.put_snapshot("FactInventory", _inventory(t).select(*S.FACT_INVENTORY.fieldNames()))
+        # Stored by day already, so a task reads files of one day or a few.
+        warehouse.put_snapshot("FactInventory", _inventory(t).select(*S.FACT_INVENTORY.fieldNames()), by_day=True)
         warehouse.replace("UserRegions", t.user_regions)
     return warehouse
 
@@ -377,7 +378,7 @@ def _inventory(t: SampleTables) -> DataFrame:
     )
     warehouse = _stored(t.spark, t.folder, "inventory")
     if warehouse.read("FactInventory").isEmpty():
-        warehouse.put_snapshot("FactInventory", earlier.unionByName(today))
+        warehouse.put_snapshot("FactInventory", earlier.unionByName(today), by_day=True)
     return warehouse.read("FactInventory")
 
 
@@ -423,10 +424,11 @@ def stored_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Snapshots written day by day, the last one twice: a repeated day replaces itself."""
     t = SampleTables(spark, folder)
     warehouse = _stored(spark, folder, "snapshots")
-    recent = _window_sales(t)
+    # Three snapshots read both: they are computed once.
+    stock, recent = warehouse.staged("Stock", t.stock), warehouse.staged("RecentSales", _window_sales(t))
     for day in (t.as_of - dt.timedelta(days=7), t.as_of, t.as_of):
         warehouse.put_snapshot(
-            "FactInventory", inventory.inventory_snapshot(t.stock, t.products, t.stores, recent, day)
+            "FactInventory", inventory.inventory_snapshot(stock, t.products, t.stores, recent, day), by_day=True
         )
     return (
         warehouse.read("FactInventory")

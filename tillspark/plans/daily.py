@@ -90,7 +90,7 @@ def refresh_inventory(warehouse: Warehouse, as_of: dt.date) -> None:
     snapshot = inventory.inventory_snapshot(
         read("InventoryRaw"), read("DimProduct"), read("DimStore"), read("FactSales"), as_of
     )
-    warehouse.put_snapshot("FactInventory", snapshot)
+    warehouse.put_snapshot("FactInventory", snapshot, by_day=True)
 
 
 def refresh_context(warehouse: Warehouse, as_of: dt.date) -> DataFrame:

@@ -42,6 +42,8 @@ AS_OF = dt.date(2001, 7, 31)
 CALENDAR = ("1992-01-01", "2002-12-31")
 HISTORY_END = dt.date(1998, 1, 1)
 TARGET_GROWTH = "1.10"
+#: Orders of a period up to this number are broadcast; keys and dates of a million take some 60 MB.
+FEW_ORDERS = 1_000_000
 _PROBABILITY = "CAST(CAST({} * 37 % 10000 AS DECIMAL(10,0)) * 0.0001BD AS DECIMAL(5,4))"
 
 
@@ -158,6 +160,9 @@ class SampleTables:
             orders = orders.filter(_on_day("o_orderdate", ">=", since))
         if before is not None:
             orders = orders.filter(_on_day("o_orderdate", "<", before))
+        if since is not None and orders.count() <= FEW_ORDERS:
+            # How few they are shows only after the filter: planned without that, all lines would be shuffled.
+            orders = F.broadcast(orders)
         dated = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         lines = dated.selectExpr(
             "l_orderkey",

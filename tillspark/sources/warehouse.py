@@ -152,12 +152,18 @@ class Warehouse:
                 self.key_index(name).write(self.attempt_rows(name, batch_id, attempt), batch_id, attempt)
         self._publish(pointer, attempt)
 
-    def put_snapshot(self, name: str, df: DataFrame) -> None:
-        """Replace the ``DateKey`` partitions present in ``df``; other dates survive."""
+    def put_snapshot(self, name: str, df: DataFrame, by_day: bool = False) -> None:
+        """Replace the ``DateKey`` partitions present in ``df``; other dates survive.
+
+        ``by_day`` says that the tasks which compute ``df`` have rows of one day
+        each, or a few: they are written as they are, without a shuffle, in a
+        file per task and day.
+        """
+        shaped = self._shaped(df, SNAPSHOT_TABLES[name])
+        # Else a day is gathered in few files; the adaptive planner splits a large one.
+        dealt = shaped if by_day else shaped.hint("rebalance", "DateKey")
         (
-            self._shaped(df, SNAPSHOT_TABLES[name])
-            .hint("rebalance", "DateKey")  # a day in few files; the adaptive planner splits a large one
-            .write.mode("overwrite")
+            dealt.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("DateKey")
             .parquet(self._path(name))
