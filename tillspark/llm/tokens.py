@@ -8,7 +8,6 @@ kind; the ids are those of the definition.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import tiktoken
 
@@ -46,9 +45,3 @@ class ByteTokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self.encoder.encode_to_numpy(t, allowed_special=self.allowed, disallowed_special=()).tobytes() for t in texts]
-
-
-@lru_cache(maxsize=2)
-def shared_tokens(definition: str, plain: bool) -> ByteTokens:
-    """The encoder of a Python worker, for all tasks that the worker runs: building one takes seconds and memory that isn't given back at once."""
-    return ByteTokens(definition, plain)
