@@ -133,6 +133,30 @@ def test_components_match_brute_force(spark, rows, monkeypatch, small_entry):
     assert len({c for _, _, c in expected}) < len(expected) - 20
 
 
+def test_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = near_group(rng, 1000, 200, 150, 16)
+    rng.shuffle(rows)
+    pairs, similar_pairs = [], set_join.similar_pairs
+
+    def counted(found, *args):
+        pairs.append(found.count())
+        return similar_pairs(found, *args)
+
+    monkeypatch.setattr(set_join, "similar_pairs", counted)
+    got = set_join.linked(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows)
+    assert sum(pairs) <= 8 * len(rows)
+
+
+def test_of_entries_with_the_same_members_one_is_kept(spark):
+    members = {1: [5, 6, 7, 8], 2: [5, 6, 7, 8], 3: [5, 6, 7, 9], 4: [5, 8], 5: [4], 6: [5, 5, 8], 7: [5, 8, 8]}
+    rows = [(i, entry, 9 if i == 6 else 2) for entry, ids in members.items() for i in ids]
+    got = set_join.kept_entries(spark.createDataFrame(rows, "id long, entry long, degree long")).collect()
+    kept = sorted((r["entry"], r["members"], r["low"], r["high"], r["hub"]) for r in got)
+    assert kept == [(1, 4, 5, 8, 6), (3, 4, 5, 9, 6), (4, 2, 5, 8, 5), (6, 3, 5, 8, 5), (7, 3, 5, 8, 5)]
+
+
 def test_set_join_of_nothing(docs):
     assert set_join.linked(docs.limit(0)).count() == 0
     alone = set_join.linked(docs.filter("doc_id < 3")).collect()

@@ -20,10 +20,12 @@ their entries into partial count-min sketches, which are merged per range of
 counters; a second pass over the blocks writes only entries that are estimated
 to occur twice.  Estimates are never too low, so no shared entry is lost.
 
-Equal sets are one class.  All members of an index entry are compared with its
-smallest and largest id, on their texts and exactly.  Where that leaves members
-of an entry in different components, all pairs across components are compared:
-small entries pair by pair, larger ones in blocks of members against blocks.
+Equal sets are one class, and of entries with the same members one is kept.  All
+members of an entry are compared with its hub, the member with the most shared
+entries, on their texts and exactly; near copies of one text mostly have the same
+hub in all their entries, and so few pairs.  Where that leaves members of an entry
+in different components, all pairs across components are compared: small entries
+pair by pair, larger ones in blocks of members against blocks.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ SUBSET_WORDS = 18
 SPARE = 8
 #: Entries up to this many members are compared pair by pair, others in blocks of so many.
 SMALL_ENTRY, BLOCK = 32, 1024
+#: Large entries of a member that are looked at to see which pairs its blocks compare anyway.
+LARGE_KNOWN = 16
 
 
 class Band:
@@ -175,7 +179,7 @@ def _count_entries(table: pa.Table, wanted: pa.Table, width: int, shingle: int,
 
 
 def _shared_entries(table: pa.Table, asked: pa.Table, width: int, shingle: int, percent: int) -> pa.Table:
-    """A block's ids and entries that the merged sketch says occur twice; ``asked`` has its wanted ids and its answers."""
+    """A block's ids and entries that the merged sketch says occur twice, with an id's number of them; ``asked`` has its wanted ids and its answers."""
     wanted = asked.filter(pc.is_null(asked.column("part"))).column("id").combine_chunks()
     answered = asked.filter(pc.is_valid(asked.column("part")))
     known = dict(zip(answered.column("part").to_pylist(), answered.column("repeated").to_pylist(), strict=True))
@@ -187,7 +191,9 @@ def _shared_entries(table: pa.Table, asked: pa.Table, width: int, shingle: int,
         for cells in counters(index, width):
             keep &= estimated_repeated(cells, known)
         ids, kept = [owner[keep]], [index[keep]]
-    return pa.table({"id": np.concatenate(ids), "entry": np.concatenate(kept).view(np.int64)})
+    owner = np.concatenate(ids)
+    _, which, times = np.unique(owner, return_inverse=True, return_counts=True)
+    return pa.table({"id": owner, "entry": np.concatenate(kept).view(np.int64), "degree": times[which].astype(np.int64)})
 
 
 def alike(left_size: np.ndarray, right_size: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
@@ -228,21 +234,21 @@ def common_counts(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def _compare_blocks(table: pa.Table, shingle: int, percent: int) -> pa.Table:
-    """Links within two blocks of members of an entry, reduced to trees: each linked member with the smallest it reaches."""
-    ids, text = table.column("id").to_numpy(), table.column("text")
+    """Links between components within two blocks of members of an entry, reduced to trees: each component with the smallest it reaches."""
+    part, text = table.column("part").to_numpy(), table.column("text")
     rows, values = shingle_sets(text, shingle)
-    n = len(ids)
+    n = len(part)
     sizes = np.bincount(rows, minlength=n)
     linked = alike(sizes[:, None], sizes[None, :], common_counts(rows, values, n), percent)
-    label = ids.copy()
+    label = part.copy()
     while True:
         least = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
         least = np.minimum(label, least)
         if (least == label).all():
             break
         label = least
-    some = label != ids
-    return pa.table({"a": ids[some], "b": label[some]})
+    some = label != part
+    return pa.table({"a": part[some], "b": label[some]}).group_by(["a", "b"]).aggregate([])
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -250,11 +256,26 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int
     left = texts.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("text").alias("text_b"))
     sizes_fit = (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
-    near = pairs.join(texts.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b").filter(sizes_fit)
-    rows = near.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    # Bands leave few pairs whose sizes don't fit: looking the sizes up first costs more than it saves.
+    rows = pairs.join(left, "a").join(right, "b").filter(sizes_fit).select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(partial(_compare, shingle=shingle, percent=percent), "a long, b long")
 
 
+def kept_entries(entry: DataFrame) -> DataFrame:
+    """Of entries (id, entry, degree) those with different members, one for each set of members: its number of members, smallest and largest id, and hub.
+
+    Long passages that several texts share make many entries with the same
+    members, which would all ask for the same comparisons.
+    """
+    hub = F.max(F.struct(F.col("degree"), (-F.col("id")).alias("negative"), F.col("id"))).getField("id")
+    # Sets of ids are told apart by their ends, their number and two hashes that don't depend on the order.
+    ends = entry.groupBy("entry").agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members"), hub.alias("hub"),
+        F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h2"),
+    ).filter("low < high")
+    return ends.groupBy("members", "low", "high", "h1", "h2").agg(F.min("entry").alias("entry"), F.min_by("hub", "entry").alias("hub")).drop("h1", "h2")
+
+
 def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document: shingles of so many words, linked from so many percent on.
 
@@ -279,19 +300,20 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     nothing = [F.lit(None).cast("long").alias("part"), F.lit(None).cast("binary").alias("repeated")]
     asked = answers.unionByName(members.select("block", *nothing, "id"))
     entry = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
-        lambda own, answered: _shared_entries(own, answered, width, shingle, percent), "id long, entry long"
+        lambda own, answered: _shared_entries(own, answered, width, shingle, percent), "id long, entry long, degree long"
     )
     entry = stored(entry, "repeated-entries")
-    ends = entry.groupBy("entry").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
-    shared = stored(entry.join(ends, "entry"), "entries")
+    shared = stored(entry.drop("degree").join(kept_entries(entry), "entry"), "entries")
 
-    # Texts of the members, then the pairs of each with the ends of its entries.
+    # Texts of the members, then the pairs of each with the hubs of its entries.
     wanted = shared.select("id").distinct()
     sizes = known.select("id", "n", "h1", "h2").join(classes.drop("block"), ["n", "h1", "h2"]).filter("id = class").select("id", "n").distinct()
     texts = stored(texts.join(wanted.join(sizes, "id"), "id").select("id", "n", "text"), "entry-texts")
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    tested = shared.select(*ordered("id", "low")).unionByName(shared.select(*ordered("id", "high"))).filter("a < b").distinct()
-    tested = stored(tested, "tested-pairs")
+    # Up to three members are all compared by way of the smallest and the largest; others are looked at again.
+    few = shared.filter("members <= 3")
+    tested = few.select(*ordered("id", "low")).unionByName(few.select(*ordered("id", "high"))).unionByName(shared.filter("members > 3").select(*ordered("id", "hub")))
+    tested = stored(tested.filter("a < b").distinct(), "tested-pairs")
     own = known.join(classes.drop("block"), ["n", "h1", "h2"])
     several = own.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("id", "low")
     same_id = own.select("id", "class").join(several, "id").select(F.col("class").alias("a"), F.col("low").alias("b"))
@@ -304,19 +326,22 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     split = per_part.groupBy("entry").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("all")).filter("most.n < all")
     split = split.select("entry", F.col("most.part").alias("main"), (F.col("all") - F.col("most.n")).alias("others"))
     open_ = stored(part.join(split, "entry").select("entry", "members", "id", "part", "main", "others"), "open-entries")
-    side = open_.filter(F.col("members") <= SMALL_ENTRY).select("entry", "id", "part")
-    other = side.select("entry", F.col("id").alias("id_b"), F.col("part").alias("part_b"))
-    rest = side.join(other, "entry").filter("id < id_b and part != part_b").select(F.col("id").alias("a"), F.col("id_b").alias("b"))
+    large = open_.filter(F.col("members") > SMALL_ENTRY)
+    # Two that meet in a large entry are compared there, in blocks; some of its entries tell that of a member.
+    met = large.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("entry")), 1, LARGE_KNOWN).alias("large"))
+    side = open_.filter(F.col("members") <= SMALL_ENTRY).select("entry", "id", "part").join(met, "id", "left")
+    other = side.select("entry", F.col("id").alias("id_b"), F.col("part").alias("part_b"), F.col("large").alias("large_b"))
+    apart = ~F.coalesce(F.arrays_overlap("large", "large_b"), F.lit(False))
+    rest = side.join(other, "entry").filter("id < id_b and part != part_b").filter(apart).select(F.col("id").alias("a"), F.col("id_b").alias("b"))
     rest = rest.distinct().join(tested, ["a", "b"], "left_anti")
     more = similar_pairs(rest, texts, shingle, percent)
 
     # Blocks: those outside of the main part against all, in as few blocks as they fill.
-    large = open_.filter(F.col("members") > SMALL_ENTRY)
     n_i, n_j = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("others", "members"))
     number = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    outside = large.filter("part != main").select("entry", "id", number(n_i).alias("i"), every(n_j).alias("j"))
-    inside = large.select("entry", "id", every(n_i).alias("i"), number(n_j).alias("j"))
+    outside = large.filter("part != main").select("entry", "id", "part", number(n_i).alias("i"), every(n_j).alias("j"))
+    inside = large.select("entry", "id", "part", every(n_i).alias("i"), number(n_j).alias("j"))
     needed = outside.select("entry", "i").distinct()
     groups = outside.unionByName(inside).distinct().join(needed, ["entry", "i"], "left_semi")
     groups = groups.join(texts.select("id", "text"), "id").repartition("entry", "i", "j")
