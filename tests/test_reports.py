@@ -63,6 +63,23 @@ def test_returns_count_in_activity_but_not_in_the_summary(golden):
     assert sales.sales_summary(fact, golden.dates, golden.stores, golden.products, golden.customers).count() == 0
 
 
+def test_summary_counts_orders_and_customers_from_one_shuffle(spark):
+    rows = [(1, "A", 1), (1, "A", 2), (1, "A", 2), (1, None, 2), (1, None, 3), (2, "A", 1), (2, "B", 1), (3, None, 4), (3, "C", None)]
+    lines = spark.createDataFrame(rows, "k int, OrderID string, CustomerKey long").selectExpr(
+        "*", "1 AS Quantity", *[f"CAST(k AS DECIMAL(18,6)) AS {c}" for c in ("GrossSales", "NetSales", "GrossProfit")]
+    )
+    groups = sales._group_totals(lines, ["k"])
+    got = sorted(groups.select("k", "UnitsSold", "OrderCount", "UniqueCustomers", F.col("NetSales").cast("int")).collect())
+    assert list(map(tuple, got)) == [(1, 5, 1, 3, 5), (2, 2, 2, 1, 4), (3, 2, 1, 1, 6)]
+    assert groups.schema["NetSales"].dataType.simpleString() == "decimal(28,6)"
+
+
+def test_summary_does_not_copy_sales(golden):
+    summary = sales.sales_summary(golden.fact, golden.dates, golden.stores, golden.products, golden.customers)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
 def test_dashboard_name_is_null_without_a_last_name(golden):
     unnamed = golden.customers.withColumn("LastName", F.lit(None).cast("string"))
     activity = golden.spark.createDataFrame([], S.FACT_CUSTOMER_ACTIVITY)

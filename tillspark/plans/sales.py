@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillspark import fixed_values as V
@@ -68,9 +68,9 @@ def sales_summary(
 def sales_groups(fact: DataFrame, stores: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """The groups of the sales summary with the key of their day.
 
-    Two distinct counts make Spark shuffle every sale three times, so the sales
-    carry codes for the store and product columns and the key of the day; the
-    descriptive columns are joined to the groups afterwards.
+    The sales carry codes for the store and product columns and the key of the
+    day while they are grouped; the descriptive columns are joined to the groups
+    afterwards.
     """
     store_codes, store_groups = group_codes(stores, "StoreKey", STORE_COLUMNS, "StoreGroup")
     product_codes, product_groups = group_codes(products, "ProductKey", PRODUCT_COLUMNS, "ProductGroup")
@@ -79,13 +79,28 @@ def sales_groups(fact: DataFrame, stores: DataFrame, products: DataFrame, custom
     sales = lookup(
         sales, customers.select("CustomerKey", F.col("Segment").alias("CustomerSegment")), "CustomerKey"
     )
-    totals = _sales_totals()
-    groups = sales.groupBy("DateKey", "StoreGroup", "ProductGroup", "CustomerSegment").agg(
-        *[c.alias(name) for name, c in totals.items()]
-    )
+    groups = _group_totals(sales, ["DateKey", "StoreGroup", "ProductGroup", "CustomerSegment"])
     described = lookup(groups, store_groups, "StoreGroup")
     described = lookup(described, product_groups, "ProductGroup")
-    return described.select("DateKey", *STORE_COLUMNS, *PRODUCT_COLUMNS, "CustomerSegment", *totals)
+    return described.select("DateKey", *STORE_COLUMNS, *PRODUCT_COLUMNS, "CustomerSegment", *_sales_totals())
+
+
+def _group_totals(sales: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`_sales_totals` per group, from one shuffle of the sales.
+
+    Two distinct counts in one grouping make Spark copy every sale three times
+    and shuffle the copies twice.  Here the sales of a group meet once, in their
+    narrow form; the first line of each order and of each customer counts it.  A
+    group has sales of one day only, which are sorted and may spill.
+    """
+    needed = sales.select(*keys, "OrderID", "CustomerKey", "GrossSales", "NetSales", "GrossProfit", "Quantity").repartition(*keys)
+
+    def first(column: str) -> Column:
+        return (F.row_number().over(Window.partitionBy(*keys, column).orderBy(column)) == 1) & F.col(column).isNotNull()
+
+    marked = needed.withColumn("FirstOfOrder", first("OrderID")).withColumn("FirstOfCustomer", first("CustomerKey"))
+    totals = _sales_totals() | {"OrderCount": F.count_if("FirstOfOrder"), "UniqueCustomers": F.count_if("FirstOfCustomer")}
+    return marked.groupBy(*keys).agg(*[c.alias(name) for name, c in totals.items()])
 
 
 def described_days(groups: DataFrame, dates: DataFrame) -> DataFrame:
