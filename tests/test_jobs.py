@@ -129,6 +129,15 @@ def test_unreadable_lines_never_load(golden_warehouse, tmp_path, reject):
     assert logged == {line[0]: f"Line not readable: {line}" for line in bad}
 
 
+def test_readable_lines_are_staged_once(golden_warehouse, tmp_path, monkeypatch):
+    write_sales(tmp_path / "landing", "sales_1.csv", "A,1,CUST001,PRD001,STR001,2026-03-03,1,10.00,0,0")
+    staged = []
+    monkeypatch.setattr(type(golden_warehouse), "staged", lambda self, name, df: staged.append(name))
+    load_arrivals(golden_warehouse, str(tmp_path / "landing"), str(tmp_path / "checkpoint"), AS_OF, "s")
+    assert golden_warehouse.read("FactSales").count() == golden_warehouse.read("SalesRaw").count() == 1
+    assert not staged
+
+
 def test_files_load_once(spark, golden_warehouse, tmp_path):
     landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
 

@@ -77,10 +77,9 @@ class KeyIndex:
 
         Files that an attempt which broke off has left are replaced.
         """
-        unique = rows.select(*self.keys).distinct()
         self._declare()
-        # As many tasks as buckets, dealt like the buckets: each writes one sorted file.
-        dealt = unique.repartition(self.buckets, *self.keys).sortWithinPartitions(*self.keys)
+        # As many tasks as buckets, dealt like the buckets: each writes one sorted file.  Equal keys meet there, without a shuffle of their own.
+        dealt = rows.select(*self.keys).repartition(self.buckets, *self.keys).distinct().sortWithinPartitions(*self.keys)
         # A statement that names the partition: any other batch's files stay.
         name = batch_id.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
@@ -115,6 +114,9 @@ class KeyIndex:
         published = self.warehouse._published(self.name)
         if but is not None:
             published = published.filter(F.col(self.batch) != but)
+        if published.isEmpty():
+            # Known to the optimizer to be none: the new rows need not be dealt out to be compared.
+            return self.warehouse._empty(self._keys(published).schema)
         wanted = rows.select(*self.keys).distinct()
         small = if_small(wanted)
         if small is wanted:

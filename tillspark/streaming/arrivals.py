@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillspark.plans.sales_load import load_sales, marked_processed, unreadable_lines
 from tillspark.schemas import SALES_EXTRACT
-from tillspark.sources.extracts import CORRUPT, SALES_FILES, CorruptExtractError, as_sales_raw, read_files, stream_files
+from tillspark.sources.extracts import CORRUPT, SALES_FILES, CorruptExtractError, as_sales_raw, count_corrupt, read_files, stream_files
 from tillspark.sources.warehouse import Warehouse
 
 
@@ -35,14 +35,23 @@ def load_arrivals(
 
     def load(batch: DataFrame, epoch: int) -> None:
         files = sorted(r["path"] for r in batch.collect())
-        # Written once, so that good and corrupt lines come from the same read.
-        lines = warehouse.staged(f"Arrivals-{stream_name}", read_files(warehouse.spark, files, SALES_EXTRACT))
-        corrupt = lines.filter(F.col(CORRUPT).isNotNull())
-        unreadable = corrupt.count()
-        if unreadable and not reject_invalid:
-            raise CorruptExtractError(f"{unreadable} lines do not fit the schema, for example {corrupt.first()[CORRUPT]}")
-        staged = warehouse.replace("SalesRaw", as_sales_raw(lines.filter(F.col(CORRUPT).isNull())))
-        more = unreadable_lines(corrupt, CORRUPT, as_of) if unreadable else None
+        lines, more = read_files(warehouse.spark, files, SALES_EXTRACT), None
+        if reject_invalid:
+            # Written once, so that good and corrupt lines come from the same read.
+            lines = warehouse.staged(f"Arrivals-{stream_name}", lines)
+            corrupt = lines.filter(F.col(CORRUPT).isNotNull())
+            staged = warehouse.replace("SalesRaw", as_sales_raw(lines.filter(F.col(CORRUPT).isNull())))
+            more = None if corrupt.isEmpty() else unreadable_lines(corrupt, CORRUPT, as_of)
+        else:
+            # Counted while staging is written, which is published only without any.
+            counted, unreadable = count_corrupt(lines)
+
+            def check() -> None:
+                if unreadable():
+                    example = lines.filter(F.col(CORRUPT).isNotNull()).first()[CORRUPT]
+                    raise CorruptExtractError(f"{unreadable()} lines do not fit the schema, for example {example}")
+
+            staged = warehouse.replace("SalesRaw", as_sales_raw(counted), check)
         load_sales(warehouse, staged, as_of, f"{stream_name}-{epoch:08d}", reject_invalid, more)
         warehouse.replace("SalesRaw", marked_processed(staged, as_of))
 
