@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import random
+import re
+import tempfile
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.corpus import SCHEMA, documents, prose, words
-from tillspark.llm import blocks, components, decontaminate, licences, repeats, set_join
+from tillspark.llm import blocks, components, decontaminate, licences, repeats, set_join, tables
 from tillspark.llm.licence_texts import TEMPLATES
 
 
@@ -297,3 +302,47 @@ def test_licence_text_set_in_lines_is_one_passage(spark):
     assert (found["licence"], found["unit"], found["first_word"]) == ("MIT", "passage", 300)
     assert found["dice"] > 0.99
     assert licences.licences(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def shuffle_files():
+    return set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*"))
+
+
+def test_shuffle_files_of_a_stored_table_go(spark):
+    before, setting = shuffle_files(), spark.conf.get(tables.SHUFFLES_GO)
+    table = tables.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(20):
+        if not (left := shuffle_files() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(tables.SHUFFLES_GO) == setting
+    assert sum(r["count"] for r in table.collect()) == 1000
+
+
+def test_set_join_picks_member_texts_without_a_shuffle(spark, docs, monkeypatch, capsys):
+    plans, stored = {}, set_join.stored
+
+    def explained(df, name, *args):
+        capsys.readouterr()
+        df.explain("formatted")
+        plans[name] = capsys.readouterr().out
+        return stored(df, name, *args)
+
+    monkeypatch.setattr(set_join, "stored", explained)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert set_join.linked(docs).count() == docs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [x for x in plans["entry-texts"].split("\n\n") if re.match(r"\(\d+\) Exchange", x.strip())]
+    assert moved and not any("text#" in x for x in moved)
+
+
+def test_member_texts_of_a_block():
+    own = pa.table({"id": pa.array([5, 5, 6, None, 7], pa.int64()), "text": ["a", "b", "c", "d", None], "block": pa.array([0] * 5, pa.int64())})
+    wanted = pa.table({"block": pa.array([0] * 4, pa.int64()), "id": pa.array([5, 5, 7, 8], pa.int64()), "n": pa.array([1, 2, 3, 4], pa.int64())})
+    got = set_join._wanted_texts(own, wanted)
+    assert sorted(map(str, got.to_pylist())) == sorted(str({"id": i, "n": n, "text": t}) for i, n, t in [(5, 1, "a"), (5, 2, "a"), (5, 1, "b"), (5, 2, "b"), (7, 3, None)])
+    assert set_join._wanted_texts(own.slice(0, 0), wanted).num_rows == set_join._wanted_texts(own, wanted.slice(0, 0)).num_rows == 0

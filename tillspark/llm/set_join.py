@@ -196,6 +196,12 @@ def _shared_entries(table: pa.Table, asked: pa.Table, width: int, shingle: int,
     return pa.table({"id": owner, "entry": np.concatenate(kept).view(np.int64), "degree": times[which].astype(np.int64)})
 
 
+def _wanted_texts(table: pa.Table, wanted: pa.Table) -> pa.Table:
+    """A block's texts with a wanted id, and the number of shingles that goes with the id."""
+    own = table.select(["id", "text"]).join(wanted.select(["id", "n"]), "id", join_type="inner", use_threads=False)
+    return own.select(["id", "n", "text"])
+
+
 def alike(left_size: np.ndarray, right_size: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
     return 100 * common >= percent * (left_size + right_size - common)
 
@@ -285,7 +291,6 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     """
     own_texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     blocks = in_blocks(own_texts, ["id", "text"])
-    texts = blocks.select("id", "text")
     described = stored(blocks.mapInArrow(partial(_describe, shingle=shingle), DESCRIBED), "described")
     known = described.filter("n > 0 and id is not null")
     classes = stored(known.groupBy("n", "h1", "h2").agg(F.min("id").alias("class"), F.min_by("block", "id").alias("block")), "classes")
@@ -305,10 +310,10 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     entry = stored(entry, "repeated-entries")
     shared = stored(entry.drop("degree").join(kept_entries(entry), "entry"), "entries")
 
-    # Texts of the members, then the pairs of each with the hubs of its entries.
-    wanted = shared.select("id").distinct()
-    sizes = known.select("id", "n", "h1", "h2").join(classes.drop("block"), ["n", "h1", "h2"]).filter("id = class").select("id", "n").distinct()
-    texts = stored(texts.join(wanted.join(sizes, "id"), "id").select("id", "n", "text"), "entry-texts")
+    # Texts of the members, which their blocks pick without a shuffle, then the pairs of each with the hubs of its entries.
+    wanted = shared.select("id").distinct().join(classes.select("block", F.col("class").alias("id"), "n").distinct(), "id")
+    texts = blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_wanted_texts, "id long, n long, text string")
+    texts = stored(texts, "entry-texts", "zstd")
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     # Up to three members are all compared by way of the smallest and the largest; others are looked at again.
     few = shared.filter("members <= 3")
