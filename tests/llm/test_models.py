@@ -60,6 +60,52 @@ def test_forward_and_uses_match_all_segmentations():
     assert np.allclose(uses, expected)
 
 
+def test_words_share_the_work_on_their_beginnings():
+    vocabulary = language_id.load_vocabulary(language_id.vocabulary_file())
+    lookup = language_id.Lookup(vocabulary)
+    chances = np.random.default_rng(1).random((len(vocabulary), 2))
+    rng = random.Random(2)
+    spelled = [b" information" + bytes(x) for x in itertools.permutations(b"abcdefgh", 3)] + [b" \x00", b" \x00\x00", b" \xff\xfe", b" i", b" "]
+    rng.shuffle(spelled)
+    group = language_id.Words(spelled, lookup)
+    beginnings = {x[:i] for x in spelled for i in range(len(x) + 1)}
+    assert group.forward(chances).size == 2 * len(beginnings)
+    known = set(vocabulary)
+    fits = sum(x[-k:] in known for x in beginnings for k in range(1, min(len(x), language_id.MAX_PIECE) + 1))
+    assert sum(len(f[0]) for f in group.fits.values()) == fits
+    counts = np.array([[rng.randrange(4), rng.randrange(4)] for _ in spelled], float)
+    total, uses = group.whole(group.forward(chances)), group.used(chances, counts)
+    alone = [language_id.Words([x], lookup) for x in spelled]
+    assert np.allclose(total, [g.whole(g.forward(chances))[0] for g in alone], rtol=1e-12)
+    assert np.allclose(uses, sum(g.used(chances, c[None]) for g, c in zip(alone, counts, strict=True)))
+    nothing = language_id.Words([], lookup)
+    assert nothing.whole(nothing.forward(chances)).shape == (0, 2) and not nothing.used(chances, counts[:0]).any()
+
+
+def test_counts_and_scores_do_not_depend_on_how_many_words_are_kept(monkeypatch):
+    vocabulary = language_id.load_vocabulary(language_id.vocabulary_file())
+    chances = np.random.default_rng(3).dirichlet(np.ones(len(vocabulary)), 2).T
+    model = language_id.Model(["a", "b"], vocabulary, chances)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("aeinrst\u00e9") for _ in range(rng.randrange(1, 9))) for _ in range(40)) for _ in range(30)] + ["", None, "x" * 100]
+    texts += texts[:5]
+    table = pa.table({"id": range(len(texts)), "text": texts, "language": [i % 2 for i in range(len(texts))], "letters": [bool(x) for x in texts]})
+
+    def both():
+        uses = np.zeros_like(chances)
+        for b in language_id._expected(iter(table.to_batches(max_chunksize=4)), model):
+            uses[b.column("piece").to_numpy(), b.column("language").to_numpy()] += b.column("uses").to_numpy()
+        return uses, pa.Table.from_batches(language_id._scores(iter(table.to_batches(max_chunksize=4)), model)).to_pydict()
+
+    uses, scores = both()
+    monkeypatch.setattr(language_id, "KNOWN_WORDS", 200)
+    monkeypatch.setattr(language_id, "GROUP_WORDS", 7)
+    few_uses, few_scores = both()
+    assert np.allclose(uses, few_uses)
+    assert scores["lang_pred"] == few_scores["lang_pred"] and np.allclose(scores["score"], few_scores["score"])
+    assert scores["lang_pred"][30:32] == ["und", "und"] and scores["score"][:5] == pytest.approx(scores["score"][-5:])
+
+
 def test_languages_are_told_apart(spark):
     rng = random.Random(1)
     lines = {"en": ["the", "and", "with", "ing", "there", "house"], "de": ["der", "und", "mit", "ung", "straße", "haus"], "es": ["el", "y", "con", "ción", "niño", "casa"]}

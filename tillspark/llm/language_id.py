@@ -21,10 +21,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillspark.llm.words import mix, pieces, word_hashes, words_of
+from tillspark.llm.words import pieces, word_hashes, words_of
 
 MAX_PIECE, MAX_WORD = 10, 28
 #: Rounds over a sample of about so many training texts, chosen by hash, and then over all of them.
@@ -33,7 +34,8 @@ SAMPLE_TEXTS, SAMPLE_ROUNDS, ROUNDS = 20_000, 2, 1
 SMOOTH = 0.05
 #: Different words that a task keeps at a time.
 KNOWN_WORDS = 300_000
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+#: Words that are cut into pieces at a time.
+GROUP_WORDS = 50_000
 UNKNOWN = "und"
 
 
@@ -53,37 +55,58 @@ def load_vocabulary(path: str) -> list[bytes]:
     return sorted(usable | {bytes([b]) for b in range(256)})
 
 
-class Lookup:
-    """Number of a piece by the hash of its bytes: tables of slots, each with the pieces that the one before had no room for."""
+class Beginnings:
+    """Beginnings that sorted byte strings have in common, each once, in places by length and order; the empty one is place 0."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.lengths = np.array([len(x) for x in strings], np.int64)
+        longest = int(self.lengths.max(initial=0))
+        inside = np.arange(longest) < self.lengths[:, None]
+        codes = np.zeros(inside.shape, np.int16)
+        codes[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int16) + 1
+        new = np.ones(inside.shape, bool)
+        np.logical_or.accumulate(codes[1:] != codes[:-1], axis=1, out=new[1:])
+        new = np.ascontiguousarray((new & inside).T)
+        rows = [np.flatnonzero(x) for x in new]
+        #: Number of every string's beginning among those of a length.
+        self.number = np.cumsum(new, axis=1, dtype=np.int32) - 1
+        #: Beginnings of ``n`` bytes have the places ``base[n]`` to ``base[n + 1]``.
+        self.base = np.cumsum([0, 1, *map(len, rows)])
+        #: For the beginnings of ``n + 1`` bytes: the last byte, and the number of the beginning without it.
+        self.last = [codes[r, n] - 1 for n, r in enumerate(rows)]
+        self.without = [self.number[n - 1, r] if n else np.zeros(len(r), np.int32) for n, r in enumerate(rows)]
+
+    def whole(self) -> np.ndarray:
+        """Place of every string."""
+        out = np.zeros(len(self.lengths), np.int64)
+        some = np.flatnonzero(self.lengths)
+        size = self.lengths[some]
+        out[some] = self.base[size] + self.number[size - 1, some]
+        return out
+
 
-    BITS = 19
+class Lookup:
+    """Pieces byte by byte: from a beginning of pieces (0 is the empty one) and a byte to the next, and the piece that it is."""
 
     def __init__(self, vocabulary: list[bytes]) -> None:
-        hashes = np.zeros(len(vocabulary), np.uint64)
-        for i, piece in enumerate(vocabulary):
-            h = 0
-            for byte in piece:
-                h = (h * int(BASE) + byte + 1) & 0xFFFFFFFFFFFFFFFF
-            hashes[i] = h
-        hashes, left, self.tables = mix(hashes), np.arange(len(vocabulary)), []
-        while len(left):
-            slot = self.slots(hashes[left], len(self.tables))
-            _, first = np.unique(slot, return_index=True)
-            keys, ids = np.zeros(1 << self.BITS, np.uint64), np.full(1 << self.BITS, -1, np.int32)
-            keys[slot[first]], ids[slot[first]] = hashes[left[first]], left[first]
-            self.tables.append((keys, ids))
-            left = np.delete(left, first)
-
-    def slots(self, hashes: np.ndarray, table: int) -> np.ndarray:
-        return ((hashes >> np.uint64(3 * table)) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        hashes, out = mix(hashes), np.full(len(hashes), -1, np.int32)
-        for k, (keys, ids) in enumerate(self.tables):
-            slot = self.slots(hashes, k)
-            hit = keys[slot] == hashes
-            out[hit] = ids[slot[hit]]
-        return out
+        order = sorted(range(len(vocabulary)), key=vocabulary.__getitem__)
+        tree = Beginnings([vocabulary[i] for i in order])
+        size = int(tree.base[-1])
+        byte = np.concatenate([[0], *tree.last]).astype(np.int64)
+        without = np.concatenate([[0], *(tree.base[n] + x for n, x in enumerate(tree.without))])
+        # Beginnings that go on are named first; all others share one row of steps, which leads to none.
+        goes_on = np.zeros(size, bool)
+        goes_on[without] = True
+        self.rows = int(goes_on.sum())
+        name = np.empty(size, np.int64)
+        name[goes_on], name[~goes_on] = np.arange(self.rows), np.arange(self.rows, size)
+        self.steps = np.full((self.rows + 1) * 256, size, np.int32)
+        self.steps[name[without[1:]] * 256 + byte[1:]] = name[1:]
+        self.piece = np.full(size + 1, -1, np.int32)
+        self.piece[name[tree.whole()]] = order
+
+    def step(self, at: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        return self.steps.take(np.minimum(at, self.rows) * 256 + byte)
 
 
 @dataclass
@@ -96,65 +119,70 @@ class Model:
 
 
 class Words:
-    """Different words, and where which piece fits: for every end and length, the words and pieces."""
+    """Different words, and where which piece fits: for every end and length, the beginnings of words and the pieces.
+
+    The sum over the ways to cut a beginning is the same in all words that begin
+    so, and expected uses add up over words: each beginning is treated once.
+    """
 
     def __init__(self, words: list[bytes], lookup: Lookup) -> None:
-        buf = np.frombuffer(b"".join(words), np.uint8)
-        self.lengths = np.array([len(w) for w in words], np.int64)
-        self.n = len(words)
-        self.longest = int(self.lengths.max(initial=0))
-        starts = np.append(0, np.cumsum(self.lengths)[:-1]) if self.n else np.zeros(0, np.int64)
-        word = np.repeat(np.arange(self.n), self.lengths)
-        place = np.arange(len(buf)) - starts[word]
-        room = self.lengths[word] - place
-        codes = buf.astype(np.uint64) + np.uint64(1)
-        rolling = np.zeros(len(buf), np.uint64)
-        self.fits: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        live = np.arange(len(buf))
-        for size in range(1, min(MAX_PIECE, self.longest) + 1):
-            live = live[room[live] >= size]
-            rolling[live] = rolling[live] * BASE + codes[live + size - 1]
-            piece = lookup.find(rolling[live])
-            hit = piece >= 0
-            at, piece = live[hit], piece[hit]
-            order = np.argsort(place[at], kind="stable")
-            at, piece = at[order], piece[order]
-            edges = np.searchsorted(place[at], np.arange(self.longest + 1))
-            for begin in range(self.longest):
-                cut = slice(edges[begin], edges[begin + 1])
-                if cut.start < cut.stop:
-                    self.fits[begin + size, size] = (word[at[cut]], piece[cut])
+        order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        tree = Beginnings([words[i] for i in order.tolist()])
+        self.base, self.n = tree.base, len(words)
+        self.ends = np.empty(self.n, np.int64)
+        self.ends[order] = tree.whole()
+        self.longest = len(tree.last)
+        # The places of beginnings that end with a piece and of what is before it, and the piece.
+        self.fits: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for begin in range(self.longest):
+            part = np.arange(self.base[begin], self.base[begin + 1])
+            at = np.zeros(len(part), np.int32)
+            for end in range(begin + 1, min(begin + MAX_PIECE, self.longest) + 1):
+                without = tree.without[end - 1]
+                at, part = lookup.step(at.take(without), tree.last[end - 1]), part.take(without)
+                piece = lookup.piece.take(at)
+                hit = np.flatnonzero(piece >= 0)
+                if len(hit):
+                    self.fits[end, end - begin] = (self.base[end] + hit, part.take(hit), piece.take(hit))
 
     def forward(self, chances: np.ndarray) -> np.ndarray:
-        """Sum over segmentations of every beginning of every word, by language: (length, word, language)."""
-        out = np.zeros((self.longest + 1, self.n, chances.shape[1]))
+        """Sum over segmentations of every beginning, by language: (beginning, language)."""
+        out = np.zeros((self.base[-1], chances.shape[1]))
         out[0] = 1
         for end in range(1, self.longest + 1):
             for size in range(1, min(MAX_PIECE, end) + 1):
                 if (end, size) in self.fits:
-                    word, piece = self.fits[end, size]
-                    out[end, word] += out[end - size, word] * chances[piece]
+                    whole, part, piece = self.fits[end, size]
+                    out[whole] += out.take(part, axis=0) * chances.take(piece, axis=0)
         return out
 
     def whole(self, forward: np.ndarray) -> np.ndarray:
-        return forward[self.lengths, np.arange(self.n)]
+        return forward[self.ends]
 
     def used(self, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece by language, for words that occur ``counts`` (word, language) times."""
         ahead = self.forward(chances)
-        back = np.zeros_like(ahead)
         total = self.whole(ahead)
-        back[self.lengths, np.arange(self.n)] = np.divide(counts, total, out=np.zeros_like(total), where=total > 0)
+        share = np.divide(counts, total, out=np.zeros_like(total), where=total > 0)
+        languages = range(chances.shape[1])
+        back = np.stack([np.bincount(self.ends, share[:, k], len(ahead)) for k in languages], axis=1)
         out = np.zeros_like(chances)
         for end in range(self.longest, 0, -1):
+            used, flows = [], []
             for size in range(1, min(MAX_PIECE, end) + 1):
                 if (end, size) in self.fits:
-                    word, piece = self.fits[end, size]
-                    flow = back[end, word] * chances[piece]
-                    back[end - size, word] += flow
-                    flow *= ahead[end - size, word]
-                    for k in range(chances.shape[1]):
-                        out[:, k] += np.bincount(piece, flow[:, k], len(chances))
+                    whole, part, piece = self.fits[end, size]
+                    flow = back.take(whole, axis=0) * chances.take(piece, axis=0)
+                    # Beginnings with the same part stand side by side.
+                    first = np.flatnonzero(np.diff(part, prepend=-1))
+                    back[part[first]] += np.add.reduceat(flow, first, axis=0)
+                    flow *= ahead.take(part, axis=0)
+                    used.append(piece)
+                    flows.append(flow)
+            if used:
+                piece, flow = np.concatenate(used), np.concatenate(flows)
+                for k in languages:
+                    out[:, k] += np.bincount(piece, flow[:, k], len(chances))
         return out
 
 
@@ -172,6 +200,20 @@ def words_in(column: pa.Array):
     return words, word_hashes(words)
 
 
+def different(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different hashes, the first place of each, and for every place the number of its hash."""
+    coded = pa.array(hashes).dictionary_encode()
+    index = coded.indices.to_numpy().astype(np.int64)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[index[::-1]] = np.arange(len(index))[::-1]
+    return coded.dictionary.to_numpy(), first, index
+
+
+def places(kinds: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Place of each hash in ``seen``, -1 where it is not there."""
+    return pc.fill_null(pc.index_in(pa.array(kinds), value_set=pa.array(seen)), -1).to_numpy().astype(np.int64)
+
+
 def spelled(words, at: np.ndarray) -> list[bytes]:
     data = words.buf.tobytes()
     return [b" " + data[s:e] for s, e in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
@@ -181,16 +223,18 @@ def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
     """Expected uses of pieces by language in a task's texts."""
     lookup, size = Lookup(model.vocabulary), len(model.languages)
     uses = np.zeros((len(model.vocabulary), size))
-    seen: dict[int, int] = {}
+    seen = np.zeros(0, np.uint64)
     words_seen: list[bytes] = []
     counts = np.zeros((0, size))
 
     def flush() -> None:
-        nonlocal counts
-        for low in range(0, len(words_seen), 50_000):
-            cut = slice(low, low + 50_000)
-            uses[:] += Words(words_seen[cut], lookup).used(model.chances, counts[cut])
-        seen.clear()
+        nonlocal seen, counts
+        # In order, so that words with the same beginnings come together.
+        order = sorted(range(len(words_seen)), key=words_seen.__getitem__)
+        for low in range(0, len(order), GROUP_WORDS):
+            cut = order[low : low + GROUP_WORDS]
+            uses[:] += Words([words_seen[i] for i in cut], lookup).used(model.chances, counts[cut])
+        seen = seen[:0]
         words_seen.clear()
         counts = np.zeros((0, size))
 
@@ -198,12 +242,12 @@ def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
         for piece in pieces(batch, "text"):
             words, hashes = words_in(piece.column("text"))
             language = np.repeat(np.array(piece.column("language"), np.int64), words.per_text())
-            kinds, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+            kinds, first, index = different(hashes)
             own = np.bincount(index * size + language, minlength=len(kinds) * size).reshape(-1, size)
-            place = np.array([seen.get(h, -1) for h in kinds.tolist()], np.int64) if len(kinds) else np.zeros(0, np.int64)
+            place = places(kinds, seen)
             new = np.flatnonzero(place < 0)
             place[new] = len(words_seen) + np.arange(len(new))
-            seen.update(zip(kinds[new].tolist(), place[new].tolist(), strict=True))
+            seen = np.concatenate([seen, kinds[new]])
             words_seen += spelled(words, first[new])
             counts = np.concatenate([counts, np.zeros((len(new), size))])
             counts[place] += own
@@ -244,21 +288,21 @@ def train(docs: DataFrame, vocabulary: list[bytes], sample_texts: int = SAMPLE_T
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Language and posterior of every text, for equally likely languages."""
-    lookup, known = Lookup(model.vocabulary), {}
+    lookup, known = Lookup(model.vocabulary), np.zeros(0, np.uint64)
     logs = np.zeros((0, len(model.languages)))
     names = np.array([*model.languages, UNKNOWN], object)
     for batch in batches:
         for piece in pieces(batch, "text"):
             words, hashes = words_in(piece.column("text"))
-            kinds, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+            kinds, first, index = different(hashes)
             if len(known) > KNOWN_WORDS:
-                known, logs = {}, logs[:0]
-            place = np.array([known.get(h, -1) for h in kinds.tolist()], np.int64)
+                known, logs = known[:0], logs[:0]
+            place = places(kinds, known)
             new = np.flatnonzero(place < 0)
             place[new] = len(logs) + np.arange(len(new))
-            known.update(zip(kinds[new].tolist(), place[new].tolist(), strict=True))
-            for low in range(0, len(new), 50_000):
-                group = Words(spelled(words, first[new[low : low + 50_000]]), lookup)
+            known = np.concatenate([known, kinds[new]])
+            for low in range(0, len(new), GROUP_WORDS):
+                group = Words(spelled(words, first[new[low : low + GROUP_WORDS]]), lookup)
                 logs = np.concatenate([logs, np.log(np.maximum(group.whole(group.forward(model.chances)), 1e-300))])
             total = np.concatenate([np.zeros((1, logs.shape[1])), np.cumsum(logs[place[index]], axis=0)])
             total = total[words.first[1:]] - total[words.first[:-1]]
