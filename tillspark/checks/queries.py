@@ -169,7 +169,7 @@ def _report_warehouse(t: SampleTables) -> Warehouse:
         _fill_dimensions(t, warehouse)
         warehouse.replace("DimCustomer", t.scored_customers)
         warehouse.replace("FactCustomerActivity", _stored_activity(t))
-        warehouse.put_batch("FactSales", t.all_sales, "all")
+        warehouse.put_batch("FactSales", t.all_sales.drop(*sales_load.MEASURES), "all", sales_load.with_measures)
         # Stored by day already, so a task reads files of one day or a few.
         warehouse.put_snapshot("FactInventory", _inventory(t).select(*S.FACT_INVENTORY.fieldNames()), by_day=True)
         warehouse.replace("UserRegions", t.user_regions)

@@ -6,10 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillspark.session import work_dir
-
-#: Spark's setting that removes the shuffle files of a query when it ends.
-SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from tillspark.session import SHUFFLES_GO, shuffles_go, work_dir  # noqa: F401
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -18,23 +15,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write a table to the shared work folder and read it back: its plan starts anew, and a lost executor loses nothing.
-
-    Shuffle files of the write have no reader after it and go with it; Spark
-    alone keeps them until the driver happens to collect its garbage.
-    """
+    """Write a table to the shared work folder and read it back: its plan starts anew, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     writer = df.write.option("compression", compression) if compression else df.write
-    before = spark.conf.get(SHUFFLES_GO, None)
-    spark.conf.set(SHUFFLES_GO, "true")
-    try:
+    with shuffles_go(spark):
         writer.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLES_GO)
-        else:
-            spark.conf.set(SHUFFLES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,6 +20,8 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 # Rows in memory take several times the bytes of their compressed files.
 MEMORY_PER_FILE_BYTE = 4
+#: Rows of two or three numbers or short texts that are broadcast; a million take some 60 to 100 MB.
+FEW_ROWS = 1_000_000
 
 
 def scanned_bytes(df: DataFrame) -> int:
@@ -42,6 +44,21 @@ def if_small(dim: DataFrame) -> DataFrame:
     return F.broadcast(dim) if 0 <= MEMORY_PER_FILE_BYTE * scanned_bytes(dim) <= limit else dim
 
 
+def if_few(dim: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint for a few narrow columns of up to ``FEW_ROWS`` rows, beyond what :func:`if_small` allows.
+
+    Files of wide rows look too large to broadcast though two or three of their
+    columns are not, and without the hint every row of a fact is shuffled to
+    meet them.  The rows are counted, from file footers where nothing is
+    filtered; ``counted`` is a cheaper frame with as many rows or more.  Where
+    broadcasting is off it stays off.
+    """
+    hinted = if_small(dim)
+    if hinted is not dim or broadcast_limit(dim.sparkSession) <= 0:
+        return hinted
+    return F.broadcast(dim) if (dim if counted is None else counted).count() <= FEW_ROWS else dim
+
+
 def lookup(left: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Many-to-one join to a dimension with unique keys."""
     return left.join(if_small(dim), on, how)

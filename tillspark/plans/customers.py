@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillspark.fixed_values import TICKET_MONTHS
 from tillspark.functions.dates import date_key_of, months_before
 from tillspark.functions.rules import annual_value, churn_category, recommended_action, revenue_at_risk
-from tillspark.operators.joins import lookup
+from tillspark.operators.joins import if_few, lookup
 from tillspark.operators.updates import update_matched, upsert_type1
 from tillspark.schemas import FACT_CUSTOMER_ACTIVITY
 
@@ -36,7 +36,7 @@ def customer_activity(
     distinct counts spread their work over orders and categories.
     """
     bought = fact.select("CustomerKey", "OrderID", "DateKey", "ProductKey", "NetSales")
-    bought = lookup(bought, products.select("ProductKey", "Category"), "ProductKey", "left")
+    bought = bought.join(if_few(products.select("ProductKey", "Category")), "ProductKey", "left")
     totals = bought.groupBy("CustomerKey").agg(
         F.count_distinct("OrderID").alias("TotalOrders"),
         F.sum("NetSales").alias("TotalSpend"),

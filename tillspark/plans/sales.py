@@ -11,7 +11,7 @@ from tillspark import fixed_values as V
 from tillspark.functions.dates import date_key_of, month_bounds
 from tillspark.functions.money import guarded_ratio, percent_of
 from tillspark.operators.grouping import group_codes
-from tillspark.operators.joins import lookup
+from tillspark.operators.joins import if_few, lookup
 from tillspark.operators.ranking import top_rows
 from tillspark.sources.warehouse import MONTH
 
@@ -74,8 +74,8 @@ def sales_groups(fact: DataFrame, stores: DataFrame, products: DataFrame, custom
     """
     store_codes, store_groups = group_codes(stores, "StoreKey", STORE_COLUMNS, "StoreGroup")
     product_codes, product_groups = group_codes(products, "ProductKey", PRODUCT_COLUMNS, "ProductGroup")
-    sales = lookup(kept_sales(fact), product_codes, "ProductKey")
-    sales = lookup(sales, store_codes, "StoreKey")
+    sales = kept_sales(fact).join(if_few(product_codes, products), "ProductKey")
+    sales = sales.join(if_few(store_codes, stores), "StoreKey")
     sales = lookup(
         sales, customers.select("CustomerKey", F.col("Segment").alias("CustomerSegment")), "CustomerKey"
     )

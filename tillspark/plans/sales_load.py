@@ -17,6 +17,8 @@ from tillspark.schemas import FACT_SALES
 from tillspark.sources.warehouse import BATCH, Warehouse
 
 LINE_KEY = ["OrderID", "OrderLineID"]
+#: Columns of the fact that :func:`with_measures` computes.
+MEASURES = ["GrossSales", "NetSales", "GrossProfit"]
 
 
 MISSING_LINE, MISSING_DATE, UNREADABLE = "Line number missing", "Date not in calendar", "Line not readable"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,8 @@ SETTINGS = {
 
 SHUFFLE_PARTITION_BYTES = 128 << 20
 _LOCAL_WORK_DIR = "tillspark.local.work.dir"
+#: Spark's setting that removes the shuffle files of a query when it ends.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "tillspark", master: str | None = None, **extra: str) -> SparkSession:
@@ -46,6 +50,23 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Around a write: its shuffle files have no reader after it and go with it.
+
+    Spark alone keeps them until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables, one per application.
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tillspark.session import shuffles_go
+
 CORRUPT = "_corrupt_record"
 SALES_FILES = "sales_*.csv"
 CUSTOMER_FILES = "customers*.csv"
@@ -116,9 +118,15 @@ def stream_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return files.load(f"{folder.rstrip('/')}/{pattern}").select("path")
 
 
-def write_extract(df: DataFrame, path: str) -> None:
-    """Write ``df`` as delimited text with a header, replacing what was there."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_extract(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Write ``df`` as delimited text with a header, replacing what was there.
+
+    Readers of extracts take plain and compressed files alike; a compressed file is read by one task.
+    """
+    writer = df.write.mode("overwrite").option("header", True).option("compression", compression)
+    with shuffles_go(df.sparkSession):
+        # Speed before size: the level counts for gzip only.
+        writer.option("zlib.compress.level", "BEST_SPEED").csv(path)
 
 
 def as_sales_raw(extract: DataFrame) -> DataFrame:

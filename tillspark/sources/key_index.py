@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from tillspark.operators.joins import if_small
+from tillspark.session import shuffles_go
 
 if TYPE_CHECKING:
     from tillspark.sources.warehouse import Warehouse
@@ -82,9 +83,10 @@ class KeyIndex:
         dealt = rows.select(*self.keys).repartition(self.buckets, *self.keys).distinct().sortWithinPartitions(*self.keys)
         # A statement that names the partition: any other batch's files stay.
         name = batch_id.replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.table_name} PARTITION ({self.batch} = '{name}', {self.attempt} = {attempt}) SELECT * FROM {{dealt}}", dealt=dealt
-        )
+        with shuffles_go(self.spark):
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.table_name} PARTITION ({self.batch} = '{name}', {self.attempt} = {attempt}) SELECT * FROM {{dealt}}", dealt=dealt
+            )
         self.spark.catalog.refreshTable(self.table_name)
 
         written = self.spark.table(self.table_name).filter((F.col(self.batch) == batch_id) & (F.col(self.attempt) == attempt)).select(*self.keys)
@@ -99,7 +101,8 @@ class KeyIndex:
         filters = filters.select(*mark.columns).unionByName(mark)
         shaped = filters.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.filter_schema], F.lit(batch_id).alias(self.batch), F.lit(attempt).alias(self.attempt))
         writer = shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(self.batch, self.attempt).parquet(f"{self.root}/filters")
+        with shuffles_go(self.spark):
+            writer.partitionBy(self.batch, self.attempt).parquet(f"{self.root}/filters")
 
     def complete(self) -> None:
         """Index what was published before there was an index."""

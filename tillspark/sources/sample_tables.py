@@ -17,7 +17,7 @@ from tillspark.fixed_values import INSIGHT_AREAS
 from tillspark.functions.dates import date_key
 from tillspark.functions.money import MONEY, unit_margin_percent
 from tillspark.functions.rules import churn_category
-from tillspark.operators.joins import if_small, lookup, scanned_bytes
+from tillspark.operators.joins import if_few, if_small, scanned_bytes
 from tillspark.plans.calendar import calendar_between
 from tillspark.plans.sales_load import with_measures
 from tillspark.session import size_shuffles
@@ -175,7 +175,7 @@ class SampleTables:
             "CAST(CAST(round(l_discount * 100) AS INT) AS DECIMAL(5,2)) AS Discount",
             "l_returnflag",
         )
-        return lookup(lines, self.products.select("ProductKey", "UnitPrice", "UnitCost"), "ProductKey")
+        return lines.join(if_few(self.products.select("ProductKey", "UnitPrice", "UnitCost")), "ProductKey")
 
     def sales(self, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
         """Loaded sales fact."""

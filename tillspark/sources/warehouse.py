@@ -23,6 +23,7 @@ from tillspark.functions.dates import month_of_key
 from tillspark.functions.money import unit_margin_percent
 from tillspark.operators.joins import if_small
 from tillspark.operators.updates import require_unique
+from tillspark.session import shuffles_go
 from tillspark.sources.key_index import KeyIndex
 
 BATCH, ATTEMPT, MONTH = "BatchID", "Attempt", "SaleMonth"
@@ -70,6 +71,11 @@ def _computed() -> dict[str, Column]:
 
 COMPUTED = {"DimProduct": _computed}
 
+#: Codec of facts and large staging tables, smaller than Spark's default.
+CODEC = "zstd"
+#: Dimensions keep the default codec: the planner guesses from the size of their files what can be broadcast.
+LARGE_STAGING = {"SalesRaw", "InventoryRaw"}
+
 _VERSION = StructType([StructField("version", IntegerType())])
 
 
@@ -110,7 +116,9 @@ class Warehouse:
         """
         version = self._version(name) + 1
         computed = df.withColumns(COMPUTED[name]()) if name in COMPUTED else df
-        self._shaped(computed, TABLES[name]).write.mode("overwrite").parquet(self._version_path(name, version))
+        with shuffles_go(self.spark):
+            codec = CODEC if name in LARGE_STAGING else None
+            self._shaped(computed, TABLES[name]).write.mode("overwrite").parquet(self._version_path(name, version), compression=codec)
         if check is not None:
             check()
         if name in S.BUSINESS_KEYS:
@@ -121,33 +129,43 @@ class Warehouse:
     def staged(self, name: str, df: DataFrame) -> DataFrame:
         """Write rows of any shape to a working table, replacing it, and read them back."""
         path = f"{self.root}/staging/{name}"
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_go(self.spark):
+            df.write.mode("overwrite").parquet(path, compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def put_batch(self, name: str, df: DataFrame, batch_id: str) -> None:
+    def put_batch(self, name: str, df: DataFrame, batch_id: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """Append a batch, or replace it when the same batch is written again."""
-        self.put_batches({name: df}, batch_id)
+        self.put_batches({name: df}, batch_id, derive)
 
-    def put_batches(self, frames: dict[str, DataFrame], batch_id: str) -> None:
+    def put_batches(
+        self, frames: dict[str, DataFrame], batch_id: str, derive: Callable[[DataFrame], DataFrame] | None = None
+    ) -> None:
         """Write one batch of several tables and publish it as a whole.
 
         Each attempt has its own folder.  Readers see the attempt that the
         batch's pointer names, in all tables or none, so a load that breaks off
         in between shows nothing new; running it again publishes a new attempt.
+
+        Sales are dealt out by month before they are written.  Columns of the
+        fact that ``derive`` adds from the others may be missing: they are
+        computed behind that shuffle, which then need not move them.
         """
         names = "+".join(sorted(frames))
         pointer = f"{self.root}/batches/{names}/{BATCH}={batch_id}"
         mine = F.col(BATCH) == batch_id
         attempt = 1 + max(self._published(name).filter(mine).agg(F.coalesce(F.max(ATTEMPT), F.lit(0))).first()[0] for name in frames)
         for name, df in frames.items():
-            shaped = self._shaped(df, BATCH_TABLES[name])
             path = f"{self._path(name)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
             if name == "FactSales":
                 # Rebalancing splits a hot month over several files and merges small ones.
-                shaped = shaped.withColumn(MONTH, month_of_key(F.col("DateKey"))).hint("rebalance", MONTH)
-                shaped.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+                narrow = self._shaped(df, BATCH_TABLES[name], derive is not None)
+                dealt = narrow.withColumn(MONTH, month_of_key(F.col("DateKey"))).hint("rebalance", MONTH)
+                whole = dealt if derive is None else derive(dealt)
+                writer = self._shaped(whole, StructType([*BATCH_TABLES[name], StructField(MONTH, IntegerType())])).write.partitionBy(MONTH)
             else:
-                shaped.write.mode("overwrite").parquet(path)
+                writer = self._shaped(df, BATCH_TABLES[name]).write
+            with shuffles_go(self.spark):
+                writer.mode("overwrite").parquet(path, compression=CODEC)
             if name in INDEXED:
                 self.key_index(name).write(self.attempt_rows(name, batch_id, attempt), batch_id, attempt)
         self._publish(pointer, attempt)
@@ -162,12 +180,9 @@ class Warehouse:
         shaped = self._shaped(df, SNAPSHOT_TABLES[name])
         # Else a day is gathered in few files; the adaptive planner splits a large one.
         dealt = shaped if by_day else shaped.hint("rebalance", "DateKey")
-        (
-            dealt.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("DateKey")
-            .parquet(self._path(name))
-        )
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("DateKey")
+        with shuffles_go(self.spark):
+            writer.parquet(self._path(name), compression=CODEC)
 
     def key_index(self, name: str) -> KeyIndex:
         return KeyIndex(self, name, BATCH_TABLES[name], INDEXED[name])
@@ -219,5 +234,6 @@ class Warehouse:
         return StructType([*BATCH_TABLES[name].fields, *partitions])
 
     @staticmethod
-    def _shaped(df: DataFrame, schema: StructType) -> DataFrame:
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    def _shaped(df: DataFrame, schema: StructType, some: bool = False) -> DataFrame:
+        """The columns of ``schema`` in its types, or ``some`` of them: those that ``df`` has."""
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if not some or f.name in df.columns])
