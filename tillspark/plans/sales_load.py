@@ -12,7 +12,7 @@ from tillspark.fixed_values import REJECT_REASON
 from tillspark.functions.dates import date_key
 from tillspark.functions.money import MONEY, gross_sales, net_sales
 from tillspark.functions.rules import is_loadable, is_rejected
-from tillspark.operators.joins import lookup, not_in, occurring
+from tillspark.operators.joins import if_few, if_small, lookup, not_in, occurring
 from tillspark.schemas import FACT_SALES
 from tillspark.sources.warehouse import BATCH, Warehouse
 
@@ -59,9 +59,10 @@ def new_facts(
     Lines that occur twice inside one batch are both kept.
     """
     valid = not_in(raw.filter(is_loadable()), loaded, LINE_KEY)
-    keyed = lookup(valid, customers.select("CustomerID", "CustomerKey"), "CustomerID")
-    keyed = lookup(keyed, products.select("ProductID", "ProductKey", "UnitCost"), "ProductID")
-    keyed = lookup(keyed, stores.select("StoreID", "StoreKey"), "StoreID")
+    # Stores and products are few and need no shuffle: the one for the customers then moves keys instead of texts.
+    keyed = valid.join(if_few(stores.select("StoreID", "StoreKey")), "StoreID")
+    keyed = keyed.join(if_few(products.select("ProductID", "ProductKey", "UnitCost")), "ProductID")
+    keyed = lookup(keyed, customers.select("CustomerID", "CustomerKey"), "CustomerID")
     derived = (
         keyed.withColumn("DateKey", date_key(F.col("OrderDate")))
         .withColumn("Discount", F.coalesce("Discount", F.lit(0)))
@@ -129,6 +130,20 @@ def _may_be_faulty(raw: DataFrame, dates: DataFrame) -> bool:
     return not _with_fault(kinds, dates).filter(F.col("Fault").isNotNull()).isEmpty()
 
 
+def _new_lines(warehouse: Warehouse, raw: DataFrame, loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines of a batch and the loaded keys that are still to be compared with them.
+
+    A large batch is shuffled to meet the loaded keys.  Its new lines are
+    written, with no key left to compare: so these shuffle files go before the
+    next shuffles need the disk.  A small batch is taken as it is.
+    """
+    valid = raw.filter(is_loadable())
+    keys = valid.select(*LINE_KEY)
+    if if_small(keys) is not keys or loaded.isEmpty():
+        return raw, loaded
+    return warehouse.staged("NewSales", not_in(valid, loaded, LINE_KEY)), loaded.limit(0)
+
+
 @dataclass
 class LoadCounts:
     """Rows written by one load."""
@@ -160,8 +175,9 @@ def load_sales(
     index.complete()
     loaded = index.seen(raw.filter(is_loadable()), but=batch_id)
     dates = warehouse.read("DimDate")
+    lines, known = _new_lines(warehouse, raw, loaded)
     facts = new_facts(
-        raw, warehouse.read("DimCustomer"), warehouse.read("DimProduct"), warehouse.read("DimStore"), loaded
+        lines, warehouse.read("DimCustomer"), warehouse.read("DimProduct"), warehouse.read("DimStore"), known
     )
     log = rejects(raw, as_of)
     if more_rejects is not None:
@@ -179,7 +195,7 @@ def load_sales(
             )
         )
         facts = checked.filter(F.col("Fault").isNull()).drop("Fault")
-    warehouse.put_batches({"FactSales": facts, "SalesRejects": log}, batch_id)
+    warehouse.put_batches({"FactSales": facts.drop(*MEASURES), "SalesRejects": log}, batch_id, with_measures)
     mine = F.col(BATCH) == batch_id
     return LoadCounts(
         inserted=warehouse.read("FactSales").filter(mine).count(),
