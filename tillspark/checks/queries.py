@@ -692,9 +692,9 @@ def daily_refresh(spark: SparkSession, folder: str) -> DataFrame:
     _fill_dimensions(t, warehouse)
     warehouse.replace("DimCustomer", t.known_customers)
     warehouse.replace("SupportTickets", t.tickets)
-    extracts.write_extract(_as_extract(t.sales_raw), f"{landing}/sales_today.csv")
-    extracts.write_extract(t.customers_raw, f"{landing}/customers.csv")
-    extracts.write_extract(t.stock, f"{landing}/inventory.csv")
+    extracts.write_extract(_as_extract(t.sales_raw), f"{landing}/sales_today.csv", LANDING_CODEC)
+    extracts.write_extract(t.customers_raw, f"{landing}/customers.csv", LANDING_CODEC)
+    extracts.write_extract(t.stock, f"{landing}/inventory.csv", LANDING_CODEC)
     report = daily.run_day(
         warehouse,
         landing,

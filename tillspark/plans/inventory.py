@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillspark import fixed_values as V
 from tillspark.functions.dates import date_key_of
 from tillspark.functions.rules import days_of_supply, is_overstocked, overstock_cost, stock_out_risk
-from tillspark.operators.joins import lookup
+from tillspark.operators.joins import if_few, lookup
 from tillspark.operators.ranking import top_rows
 from tillspark.plans.sales import since
 from tillspark.schemas import FACT_INVENTORY
@@ -29,8 +29,8 @@ def inventory_snapshot(
     stock: DataFrame, products: DataFrame, stores: DataFrame, fact: DataFrame, as_of: dt.date
 ) -> DataFrame:
     """Stock of ``as_of`` with days of supply, stock-out risk and overstock flag."""
-    keyed = lookup(stock, products.select("ProductID", "ProductKey"), "ProductID")
-    keyed = lookup(keyed, stores.select("StoreID", "StoreKey"), "StoreID")
+    keyed = stock.join(if_few(products.select("ProductID", "ProductKey")), "ProductID")
+    keyed = keyed.join(if_few(stores.select("StoreID", "StoreKey")), "StoreID")
     joined = keyed.join(avg_daily_sales(fact, as_of), STOCK_KEY, "left")
     on_hand, reorder = F.col("QuantityOnHand"), F.col("ReorderPoint")
     columns = {
